@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,4 +43,6 @@ def read_import_file(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """A finished import file as texts (empty for missing), with ``row_no`` in file order."""
     df = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
     texts = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")).alias(c) for c in df.columns]
-    return number_rows(df, sorted(df.inputFiles())).select("row_no", *texts)
+    # the file list writes file:///x where row metadata has file:/x
+    files = sorted(re.sub("^file:/+", "file:/", f) for f in df.inputFiles())
+    return number_rows(df, files).select("row_no", *texts)
