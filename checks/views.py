@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wareflow.functions.names import base_name
+from wareflow.functions.text import number_text
 from wareflow.operators.cleaning import parse_catalog
 from wareflow.operators.grouping import leader_groups
 
@@ -223,7 +224,7 @@ SELECT 'batch|' || brand || '|' || name || '|' || price_text AS cache_key, 'batc
     WHEN 4 THEN '[1, 2]'
     WHEN 5 THEN '{{"category": "Plain"}} and {{"category": "Other"}}'
     ELSE '{{"cleaned_name": "Twin", "category": "Oral Care", "tags": []}}' END AS response
-FROM {keys} WHERE row_no % 11 <> 0
+FROM (SELECT min(row_no) AS row_no, brand, name, price_text FROM {keys} GROUP BY brand, name, price_text) WHERE row_no % 11 <> 0
 UNION ALL
 SELECT DISTINCT 'variants|' || name AS cache_key, 'variants' AS kind,
   CASE length(name) % 5
@@ -236,7 +237,7 @@ FROM {keys} WHERE length(name) % 13 <> 0
 """
 
 # product rows under the name the requests use, prices as key text
-KEYS_DUCK = "SELECT row_no, brand, name, price, category, printf('%.2f', price) AS price_text FROM {prod} WHERE price IS NOT NULL"
+KEYS_DUCK = "SELECT row_no, brand, name, price, category, CAST(price AS VARCHAR) AS price_text FROM {prod} WHERE price IS NOT NULL"
 
 OPTS = """
 SELECT row_no, group_no, brand, base_name, upc, name, price, images, w1, w2, n1, n2, n3 FROM (
@@ -275,7 +276,7 @@ def _based(spark, sf_dir):
 
 def _keys(spark, sf_dir):
     return products(spark, sf_dir).where("price IS NOT NULL").select(
-        "row_no", "brand", "name", "price", "category", F.format_string("%.2f", "price").alias("price_text")
+        "row_no", "brand", "name", "price", "category", number_text(F.col("price")).alias("price_text")
     )
 
 
@@ -308,7 +309,7 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def _duck_text(name: str) -> str:
     definition = VIEWS[name]
     text = definition if isinstance(definition, str) else definition[1]
-    return text.replace("`", '"')
+    return re.sub("AS `([^`]+)`", r'AS "\1"', text)
 
 
 def duck(body: str, *views: str, recursive: bool = False) -> str:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -16,19 +18,19 @@ MARKUP = 1.65
 UNKNOWN_BRAND = "Unknown"
 NO_TAX = "No tax info"
 
-_NUMBER = r"^[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]+)?$"
+_MISSING = "|".join(re.escape(w) for w in MISSING_WORDS)
+_IS_MISSING = rf"^(?:{_MISSING}|{SPACE}*(?:[nN][aA][nN])?{SPACE}*)\z"
+_NUMBER = r"^[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]+)?\z"
 
 
 def null_if_missing(col: Column) -> Column:
     """Stripped text, or NULL for blank cells and the usual words for "no value"."""
-    text = strip(col)
-    return F.when(~col.isin(MISSING_WORDS) & (text != "") & (F.lower(text) != "nan"), text)
+    return F.when(~col.rlike(_IS_MISSING), strip(col))
 
 
 def number(col: Column) -> Column:
     """DOUBLE of a plain decimal text, else NULL. Never NaN or infinite."""
-    text = strip(ascii_digits(col))
-    return F.when(text.rlike(_NUMBER), text.try_cast("double"))
+    return F.regexp_extract(strip(ascii_digits(col)), _NUMBER, 0).try_cast("double")
 
 
 def clean_upc(col: Column) -> Column:
@@ -45,17 +47,13 @@ def clean_name(col: Column) -> Column:
 
 def parse_quantity(col: Column) -> Column:
     """Whole part of the number; anything missing, unreadable or below one counts as one."""
-    whole = number(null_if_missing(col)).try_cast("int")
-    return F.when(whole > 0, whole).otherwise(F.lit(1))
+    return F.greatest(number(null_if_missing(col)).try_cast("int"), F.lit(1))
 
 
 def parse_cost(col: Column) -> Column:
     """Missing stays NULL, unreadable or negative text becomes 0."""
     text = null_if_missing(col)
-    value = number(text)
-    return F.when(text.isNull(), F.lit(None).cast("double")).otherwise(
-        F.when(value >= 0, value).otherwise(F.lit(0.0))
-    )
+    return F.when(text.isNotNull(), F.greatest(number(text), F.lit(0.0)))
 
 
 def vat_percent(tax: Column) -> Column:

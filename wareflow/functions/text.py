@@ -97,3 +97,12 @@ def shorten(text: Column, limit: int) -> Column:
     return F.when(
         F.length(text) > limit, F.concat(F.substring(text, 1, limit - 3), F.lit("..."))
     ).otherwise(text)
+
+
+def number_text(value: Column) -> Column:
+    """Shortest decimal text of a DOUBLE, without an exponent between 1e-4 and 1e16."""
+    size = F.abs(value)
+    plain = F.rtrim(value.cast("decimal(38,20)").cast("string"), F.lit("0"))
+    plain = F.when(F.endswith(plain, F.lit(".")), F.concat(plain, F.lit("0"))).otherwise(plain)
+    wide = ((size >= 1e7) & (size < 1e16)) | ((size < 1e-3) & (size >= 1e-4))
+    return F.when(wide, plain).otherwise(value.cast("string"))

@@ -24,7 +24,11 @@ def _upc_rows(raw: DataFrame) -> DataFrame:
 
 
 def parse_catalog(raw: DataFrame, multi_image: bool = True) -> DataFrame:
-    """Products from raw rows. A nameless row still takes its code away from later rows."""
+    """Products from raw rows. A nameless row still takes its code away from later rows.
+
+    Every product passes ``is_valid_product``: codes and names are there, quantities are at least
+    one and costs never negative.
+    """
     kept = first_by_upc(_upc_rows(raw)).withColumn("name", c.clean_name(F.col("name"))).where("name IS NOT NULL")
     images = c.image_cells_multi if multi_image else c.image_cells_strict
     vat = kept.select(
@@ -52,7 +56,7 @@ def parse_catalog(raw: DataFrame, multi_image: bool = True) -> DataFrame:
         priced.alias("total_with_vat"),
         "category",
         "images",
-    ).where(c.is_valid_product(F.col("name"), F.col("upc"), F.col("price"), F.col("quantity")))
+    )
 
 
 def parse_rejects(raw: DataFrame) -> DataFrame:

@@ -101,6 +101,7 @@ def import_projection(variants: DataFrame, groups: DataFrame, keep: tuple[str, .
         "group_no", "handle", "title", "description", "category", "tags", *METAFIELDS.values(),
         *[c for c in keep if c not in ("group_no", "line_no")],
     )
+    variants = variants.select("row_no", "group_no", "brand", "upc", "name", "price", "images", "options")
     # the counters come first: they split large groups, and no later step needs a group in one place
     counted = image_counters(variants).join(shared.join(standard_options(variants), "group_no"), "group_no")
     rows = explode_images(_with_values(counted))

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wareflow.functions.answers import batch_answer, valid_options
+from wareflow.functions.text import number_text
 
 # Kind -> (columns of its key, token limit).
 KINDS = {
@@ -48,7 +49,7 @@ RESPONSE_SCHEMA = "cache_key string, kind string, response string"
 
 
 def request_key(kind: str, brand: Column, name: Column, price: Column) -> Column:
-    parts = {"brand": brand, "name": name, "price": F.format_string("%.2f", price)}
+    parts = {"brand": brand, "name": name, "price": number_text(price)}
     return F.concat_ws("|", F.lit(kind), *[parts[p] for p in KINDS[kind][0]])
 
 
@@ -61,7 +62,7 @@ def build_requests(products: DataFrame, kind: str) -> DataFrame:
     facts = [
         F.concat(F.lit("Brand: "), "brand"),
         F.concat(F.lit("Product: "), "name"),
-        F.concat(F.lit("Price: "), F.format_string("%.2f", "price")) if kind in ("batch", "description") else None,
+        F.concat(F.lit("Price: "), number_text(F.col("price"))) if kind in ("batch", "description") else None,
         F.concat(F.lit("Category: "), category) if kind not in ("batch", "variants", "description", "clean_name") else None,
     ]
     prompt = F.concat_ws("\n", F.lit(TASKS[kind]), *[f for f in facts if f is not None])
