@@ -282,6 +282,11 @@ def _keys(spark, sf_dir):
 
 VIEWS: dict[str, str | tuple[Callable[[SparkSession, str], DataFrame], str]] = {
     "cat": CAT,
+    # the same dirty catalogue with one row per sale: many rows, few distinct names
+    "sales": """SELECT l_orderkey * 8 + l_linenumber AS p_partkey, p_name, p_brand, p_type, p_size, p_retailprice
+FROM {lineitem} JOIN {part} ON l_partkey = p_partkey""",
+    "wide": CAT.replace("{part}", "{sales}"),
+    "wide_imp": IMP.replace("{part}", "{sales}"),
     "prod": (products, PROD_DUCK),
     "based": (_based, BASED_DUCK),
     "groups": SIMPLE_GROUPS,
