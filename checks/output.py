@@ -8,7 +8,6 @@ from checks.answers import BATCH_DUCK, OPTIONS_DUCK
 from checks.grouping import members
 from checks.parsing import MARKED_DUCK, Query, cat, slug_sql
 from checks.views import VIEWS, duck, products, view
-from wareflow.functions.cleaning import clean_upc
 from wareflow.functions.options import normal_option_name
 from wareflow.functions.text import number_text
 from wareflow.operators import batches as b

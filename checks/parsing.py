@@ -130,7 +130,7 @@ QUERIES: dict[str, Query] = {
         duck(f"SELECT row_no, array_to_string({image_list('image_1', 'image_2', 'image_3')}, '|') AS images FROM cat", "cat"),
     ),
     "first_by_upc": (
-        lambda s, d: cleaning.first_by_upc(cat(s, d).withColumn("upc", c.clean_upc(F.col("upc")))).select("upc", "row_no"),
+        lambda s, d: cleaning.first_by_upc(cat(s, d).withColumn("upc", c.null_if_missing(F.col("upc")))).select("upc", "row_no"),
         duck(f"SELECT code AS upc, min(row_no) AS row_no FROM ({MARKED_DUCK}) WHERE code IS NOT NULL GROUP BY code", "cat"),
     ),
     "type_from_category": (

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import re
+from itertools import product
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from wareflow.functions.text import SPACE, ascii_digits, strip
+from wareflow.functions.text import SPACE, ascii_digits, is_ascii, strip
 
 # Cell texts that a price list uses for "no value".
 MISSING_WORDS = [
@@ -18,48 +18,46 @@ MARKUP = 1.65
 UNKNOWN_BRAND = "Unknown"
 NO_TAX = "No tax info"
 
-_MISSING = "|".join(re.escape(w) for w in MISSING_WORDS)
-_IS_MISSING = rf"^(?:{_MISSING}|{SPACE}*(?:[nN][aA][nN])?{SPACE}*)\z"
+_BLANK_OR_NAN = ["", *("".join(letters) for letters in product("nN", "aA", "nN"))]
+_IN_LINE_SPACE = SPACE.replace("]", "&&[^\n]]")
+_URL_LINE = rf"(?dm)^{_IN_LINE_SPACE}*(?:- {_IN_LINE_SPACE}*)?(http(?:[^\n]*[^\n{SPACE[1:]})?){_IN_LINE_SPACE}*$"
 _NUMBER = r"^[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]+)?\z"
 
 
 def null_if_missing(col: Column) -> Column:
     """Stripped text, or NULL for blank cells and the usual words for "no value"."""
-    return F.when(~col.rlike(_IS_MISSING), strip(col))
+    text = strip(col)
+    return F.when(~text.isin(_BLANK_OR_NAN) & ~col.isin(MISSING_WORDS), text)
 
 
-def number(col: Column) -> Column:
-    """DOUBLE of a plain decimal text, else NULL. Never NaN or infinite."""
-    return F.regexp_extract(strip(ascii_digits(col)), _NUMBER, 0).try_cast("double")
-
-
-def clean_upc(col: Column) -> Column:
-    return null_if_missing(col)
+# The functions below take cells cleaned by ``null_if_missing``; cleaning is a projection of its own,
+# so that no cell is cleaned once per use.
 
 
-def brand_or_unknown(col: Column) -> Column:
-    return F.coalesce(null_if_missing(col), F.lit(UNKNOWN_BRAND))
+def number(text: Column) -> Column:
+    """DOUBLE of a plain decimal text, else NULL. Never NaN or infinite."""
+    plain = F.regexp_extract(text, _NUMBER, 0).try_cast("double")
+    other_digits = F.regexp_extract(ascii_digits(text), _NUMBER, 0).try_cast("double")
+    return F.coalesce(plain, F.when(~is_ascii(text), other_digits))
 
 
-def clean_name(col: Column) -> Column:
-    return null_if_missing(col)
+def brand_or_unknown(text: Column) -> Column:
+    return F.coalesce(text, F.lit(UNKNOWN_BRAND))
 
 
-def parse_quantity(col: Column) -> Column:
+def parse_quantity(text: Column) -> Column:
     """Whole part of the number; anything missing, unreadable or below one counts as one."""
-    return F.greatest(number(null_if_missing(col)).try_cast("int"), F.lit(1))
+    return F.greatest(number(text).try_cast("int"), F.lit(1))
 
 
-def parse_cost(col: Column) -> Column:
+def parse_cost(text: Column) -> Column:
     """Missing stays NULL, unreadable or negative text becomes 0."""
-    text = null_if_missing(col)
     return F.when(text.isNotNull(), F.greatest(number(text), F.lit(0.0)))
 
 
-def vat_percent(tax: Column) -> Column:
+def vat_percent(text: Column) -> Column:
     """First ``<number> %`` in the tax text, else 0."""
-    text = ascii_digits(null_if_missing(tax))
-    found = F.regexp_extract(text, r"([0-9]+(?:\.[0-9]+)?)" + SPACE + "*%", 1)
+    found = F.regexp_extract(ascii_digits(text), r"([0-9]+(?:\.[0-9]+)?)" + SPACE + "*%", 1)
     return F.coalesce(found.try_cast("double"), F.lit(0.0))
 
 
@@ -67,8 +65,8 @@ def price(cost: Column, vat: Column) -> Column:
     return cost * F.lit(MARKUP) * (F.lit(1.0) + vat / F.lit(100.0))
 
 
-def tax_label(tax: Column) -> Column:
-    return F.coalesce(null_if_missing(tax), F.lit(NO_TAX))
+def tax_label(text: Column) -> Column:
+    return F.coalesce(text, F.lit(NO_TAX))
 
 
 def percent_label(vat: Column) -> Column:
@@ -77,22 +75,19 @@ def percent_label(vat: Column) -> Column:
 
 def image_cells_strict(*cells: Column) -> Column:
     """One URL per cell, cells in order."""
-    return F.filter(F.array(*[strip(c) for c in cells]), lambda u: F.startswith(u, F.lit("http")))
+    urls = [strip(c) for c in cells]
+    return F.array_compact(F.array(*[F.when(F.startswith(u, F.lit("http")), u) for u in urls]))
 
 
 def image_cells_multi(*cells: Column) -> Column:
     """All URLs of all cells; a cell may hold one per line, each with a leading ``- ``."""
-
-    def one_line(line: Column) -> Column:
-        text = strip(line)
-        return F.when(F.startswith(text, F.lit("- ")), strip(text.substr(F.lit(3), F.length(text)))).otherwise(text)
-
-    lines = F.concat(*[F.coalesce(F.split(c, "\n"), F.array().cast("array<string>")) for c in cells])
-    return F.filter(F.transform(lines, one_line), lambda u: F.startswith(u, F.lit("http")))
+    text = F.concat_ws("\n", *cells)
+    found = F.regexp_extract_all(text, F.lit(_URL_LINE), F.lit(1))
+    return F.when(F.contains(text, F.lit("http")), found).otherwise(F.array().cast("array<string>"))
 
 
 def pick_category(category: Column, sub_category: Column) -> Column:
-    return F.coalesce(null_if_missing(category), null_if_missing(sub_category), F.lit(""))
+    return F.coalesce(category, sub_category, F.lit(""))
 
 
 def is_valid_product(name: Column, upc: Column, price_: Column, quantity: Column) -> Column:

@@ -65,57 +65,67 @@ def img_attributes(tags: Column) -> Column:
     return F.filter(F.transform(tags, _attributes), lambda i: i["src"] != "")
 
 
+def _prepared(candidates: Column) -> Column:
+    """Candidates with the trimmed source and lower-case texts, computed once per image."""
+    trimmed = F.transform(
+        candidates,
+        lambda i: F.struct(
+            strip(i["src"]).alias("src"), F.lower(i["alt"]).alias("alt"), F.lower(i["class"]).alias("css"),
+            F.greatest(i["width"], i["height"]).alias("longer"), F.least(i["width"], i["height"]).alias("shorter"),
+            i["pos"].alias("pos"),
+        ),
+    )
+    return F.transform(trimmed, lambda i: i.withField("lower", F.lower(i["src"])))
+
+
 def is_product_image(img: Column) -> Column:
-    """Predicate on one candidate struct."""
-    src, lower_src = strip(img["src"]), F.lower(strip(img["src"]))
-    alt, css = F.lower(img["alt"]), F.lower(img["class"])
+    """Predicate on one prepared candidate."""
     return (
-        F.startswith(src, F.lit("https://"))
-        & ~contains_any(lower_src, SKIP_WORDS)
-        & ~contains_any(alt, SKIP_WORDS)
-        & ~contains_any(css, SKIP_WORDS)
-        & ~ends_with_any(src, TRACKER_ENDINGS)
-        & ~contains_any(lower_src, THUMBNAIL_WORDS)
-        & ~contains_any(css, THUMBNAIL_WORDS)
+        F.startswith(img["src"], F.lit("https://"))
+        & ~contains_any(img["lower"], SKIP_WORDS)
+        & ~contains_any(img["alt"], SKIP_WORDS)
+        & ~contains_any(img["css"], SKIP_WORDS)
+        & ~ends_with_any(img["src"], TRACKER_ENDINGS)
+        & ~contains_any(img["lower"], THUMBNAIL_WORDS)
+        & ~contains_any(img["css"], THUMBNAIL_WORDS)
     )
 
 
 def image_score(img: Column, product_words: Column) -> Column:
-    """INT relevance of one candidate struct for a product whose name has the given words."""
+    """INT relevance of one prepared candidate for a product whose name has the given words."""
 
     def points(condition: Column, n: int) -> Column:
         return F.when(condition, F.lit(n)).otherwise(F.lit(0))
 
-    src, alt, css = F.lower(strip(img["src"])), F.lower(img["alt"]), F.lower(img["class"])
-    longer = F.greatest(img["width"], img["height"])
+    lower, alt = img["lower"], img["alt"]
     by_size = F.lit(TINY_POINTS)
     for side, n in reversed(SIZE_POINTS):
-        by_size = F.when(longer >= side, F.lit(n)).otherwise(by_size)
+        by_size = F.when(img["longer"] >= side, F.lit(n)).otherwise(by_size)
     by_format = F.lit(0)
     for endings, n in reversed(FORMAT_POINTS):
-        by_format = F.when(ends_with_any(src, endings), F.lit(n)).otherwise(by_format)
+        by_format = F.when(ends_with_any(lower, endings), F.lit(n)).otherwise(by_format)
     hits = F.size(F.filter(product_words, lambda w: F.contains(alt, w)))
     return (
-        F.when((img["width"] > 0) & (img["height"] > 0), by_size).otherwise(F.lit(0))
-        + points(contains_any(src, MAIN_WORDS), 30)
-        + points(contains_any(css, MAIN_WORDS), 20)
+        F.when(img["shorter"] > 0, by_size).otherwise(F.lit(0))
+        + points(contains_any(lower, MAIN_WORDS), 30)
+        + points(contains_any(img["css"], MAIN_WORDS), 20)
         + F.when(alt != "", hits * 5).otherwise(F.lit(0))
         + points(F.contains(alt, F.lit("product")), 5)
         + by_format
-        + points(contains_any(src, CDN_WORDS), 10)
-        + points(F.contains(src, F.lit("product")), 15)
+        + points(contains_any(lower, CDN_WORDS), 10)
+        + points(F.contains(lower, F.lit("product")), 15)
     )
 
 
 def scored_images(candidates: Column, product_name: Column) -> Column:
     """ARRAY of (score, pos, src) of the acceptable candidates, best first, ties in page order."""
     name_words = words(F.lower(product_name))
-    kept = F.filter(candidates, is_product_image)
+    kept = F.filter(_prepared(candidates), is_product_image)
     ranked = F.array_sort(
         F.transform(
             kept,
             lambda i: F.struct(
-                (-image_score(i, name_words)).alias("rank"), i["pos"].alias("pos"), strip(i["src"]).alias("src")
+                (-image_score(i, name_words)).alias("rank"), i["pos"].alias("pos"), i["src"].alias("src")
             ),
         )
     )

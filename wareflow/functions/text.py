@@ -40,9 +40,17 @@ def _accented_letters() -> tuple[str, str]:
 ACCENTED, UNACCENTED = _accented_letters()
 
 
+def is_ascii(col: Column) -> Column:
+    return F.octet_length(col) == F.length(col)
+
+
 def strip(col: Column) -> Column:
-    """Remove Unicode white space from both ends."""
-    return F.btrim(col, F.lit(SPACE_CHARS))
+    """Remove Unicode white space from both ends.
+
+    Trimming a set of characters is slow, so texts that start and end with visible ASCII are let
+    through unchanged.
+    """
+    return F.when(col.rlike(r"(?s)^[!-~](?:.*[!-~])?\z"), col).otherwise(F.btrim(col, F.lit(SPACE_CHARS)))
 
 
 def words(col: Column) -> Column:
@@ -52,7 +60,7 @@ def words(col: Column) -> Column:
 
 def ascii_digits(col: Column) -> Column:
     """Arabic-Indic digits become ASCII digits."""
-    return F.translate(col, *ASCII_DIGITS)
+    return F.when(is_ascii(col), col).otherwise(F.translate(col, *ASCII_DIGITS))
 
 
 def contains_any(col: Column, needles: list[str]) -> Column:
@@ -79,7 +87,8 @@ def title_case(col: Column) -> Column:
 
 def slug(text: Column) -> Column:
     """Lower-case ASCII letters, digits and single hyphens, at most 255 characters."""
-    plain = F.translate(F.lower(text), ACCENTED, UNACCENTED)
+    lower = F.lower(text)
+    plain = F.when(is_ascii(text), lower).otherwise(F.translate(lower, ACCENTED, UNACCENTED))
     kept = F.regexp_replace(plain, r"[^a-z0-9\-\p{IsWhite_Space}\x1c-\x1f]", "")
     hyphens = F.regexp_replace(kept, r"[\-\p{IsWhite_Space}\x1c-\x1f]+", "-")
     cut = F.substring(F.btrim(hyphens, F.lit("-")), 1, 255)

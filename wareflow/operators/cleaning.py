@@ -20,7 +20,7 @@ def first_by_upc(df: DataFrame, key: str = "upc", order: str = "row_no") -> Data
 
 
 def _upc_rows(raw: DataFrame) -> DataFrame:
-    return raw.withColumn("upc", c.clean_upc(F.col("upc")))
+    return raw.withColumn("upc", c.null_if_missing(F.col("upc")))
 
 
 def parse_catalog(raw: DataFrame, multi_image: bool = True) -> DataFrame:
@@ -29,7 +29,9 @@ def parse_catalog(raw: DataFrame, multi_image: bool = True) -> DataFrame:
     Every product passes ``is_valid_product``: codes and names are there, quantities are at least
     one and costs never negative.
     """
-    kept = first_by_upc(_upc_rows(raw)).withColumn("name", c.clean_name(F.col("name"))).where("name IS NOT NULL")
+    first = first_by_upc(_upc_rows(raw))
+    cells = ("brand", "name", "qty", "cost", "tax", "category", "sub_category")
+    kept = first.withColumns({n: c.null_if_missing(F.col(n)) for n in cells}).where("name IS NOT NULL")
     images = c.image_cells_multi if multi_image else c.image_cells_strict
     vat = kept.select(
         "row_no",
@@ -65,7 +67,7 @@ def parse_rejects(raw: DataFrame) -> DataFrame:
     First rows come from a map-side minimum; the join back is on the unique row number, so a code
     shared by most rows does not end up in one task.
     """
-    rows = _upc_rows(raw).select("row_no", "upc", c.clean_name(F.col("name")).isNull().alias("_nameless"))
+    rows = _upc_rows(raw).select("row_no", "upc", c.null_if_missing(F.col("name")).isNull().alias("_nameless"))
     firsts = (
         rows.where("upc IS NOT NULL").groupBy("upc").agg(F.min("row_no").alias("row_no"))
         .select("row_no", F.lit(True).alias("_first"))
@@ -84,7 +86,7 @@ def parse_rejects(raw: DataFrame) -> DataFrame:
 
 def parse_stats(raw: DataFrame) -> DataFrame:
     """One row: read, kept, duplicate, incomplete and failed rows; one aggregation per code first."""
-    rows = _upc_rows(raw).select("row_no", "upc", c.clean_name(F.col("name")).isNull().alias("_nameless"))
+    rows = _upc_rows(raw).select("row_no", "upc", c.null_if_missing(F.col("name")).isNull().alias("_nameless"))
     per_code = rows.groupBy("upc").agg(
         F.count("*").alias("_rows"),
         # lowest row number with its flag in the last bit: a plain BIGINT, so it hash-aggregates

@@ -45,31 +45,31 @@ def direct_tags(brand: Column, category: Column, sub_category: Column) -> Column
 
 def direct_products(raw: DataFrame) -> DataFrame:
     """Cleaned rows, one per usable price-list row; nothing is deduplicated here."""
-    cost_text = c.null_if_missing(F.col("cost"))
-    cost = c.number(cost_text)
-    return raw.select(
+    cells = ("brand", "upc", "name", "name_ar", "cost", "tax", "category", "sub_category")
+    clean = raw.withColumns({n: c.null_if_missing(F.col(n)) for n in cells})
+    return clean.select(
         "row_no",
         c.brand_or_unknown(F.col("brand")).alias("brand"),
-        F.coalesce(c.clean_upc(F.col("upc")), F.lit("")).alias("upc"),
-        c.clean_name(F.col("name")).alias("name"),
-        c.null_if_missing(F.col("name_ar")).alias("name_ar"),
-        cost.alias("cost"),
-        (cost_text.isNotNull() & cost.isNull()).alias("_bad_cost"),
-        c.null_if_missing(F.col("tax")).alias("tax"),
-        c.null_if_missing(F.col("category")).alias("category"),
-        c.null_if_missing(F.col("sub_category")).alias("sub_category"),
+        F.coalesce("upc", F.lit("")).alias("upc"),
+        "name",
+        "name_ar",
+        c.number(F.col("cost")).alias("cost"),
+        F.col("cost").isNotNull().alias("_has_cost"),
+        "tax",
+        "category",
+        "sub_category",
         c.image_cells_multi(F.col("image_1"), F.col("image_2"), F.col("image_3")).alias("images"),
     )
 
 
 def direct_usable(products: DataFrame) -> DataFrame:
-    return products.where("name IS NOT NULL AND NOT _bad_cost").drop("_bad_cost")
+    return products.where("name IS NOT NULL AND (cost IS NOT NULL OR NOT _has_cost)").drop("_has_cost")
 
 
 def direct_rejects(raw: DataFrame) -> DataFrame:
     """(row_no, reason) of rows without a name or with an unreadable cost."""
     reason = F.when(F.col("name").isNull(), "incomplete").otherwise("bad cost")
-    return direct_products(raw).where("name IS NULL OR _bad_cost").select("row_no", reason.alias("reason"))
+    return direct_products(raw).where("name IS NULL OR (_has_cost AND cost IS NULL)").select("row_no", reason.alias("reason"))
 
 
 def direct_handles(products: DataFrame) -> DataFrame:

@@ -85,7 +85,8 @@ def unique_handles(groups: DataFrame) -> DataFrame:
 
 def unique_handles_counter(rows: DataFrame, base: Column, order: str = "row_no") -> DataFrame:
     """(row_no, handle): the base, then base-1, base-2 ... in row order."""
-    keyed = rows.select(F.col(order).alias("order_no"), base.alias("base"))
+    # the base is read twice below, once to count and once to rank
+    keyed = stored(rows.select(F.col(order).alias("order_no"), base.alias("base")), shared_folder(rows.sparkSession), "bases")
     ranked = running(keyed, "order_no", "level", ["base"]).withColumn("level", F.col("level") - 1)
 
     def name_at(level: Column) -> Column:

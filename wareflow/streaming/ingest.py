@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from wareflow.operators.cleaning import first_by_upc, parse_catalog
-from wareflow.functions.cleaning import clean_upc
+from wareflow.functions.cleaning import null_if_missing
 
 
 def _earlier(spark: SparkSession, path: str, batch_id: int, schema: str) -> DataFrame:
@@ -40,7 +40,7 @@ def ingest_batch(raw: DataFrame, target: str, batch_id: int) -> None:
     history is filtered where it lies as long as a delivery's codes fit a broadcast.
     """
     spark = raw.sparkSession
-    rows = first_by_upc(raw.withColumn("upc", clean_upc(F.col("upc"))))
+    rows = first_by_upc(raw.withColumn("upc", null_if_missing(F.col("upc"))))
     known = _earlier(spark, f"{target}/codes", batch_id, "upc string")
     seen = known.join(rows.select("upc"), "upc", "left_semi").select("upc").distinct()
     new = rows.join(seen, "upc", "left_anti").persist()
