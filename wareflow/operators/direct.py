@@ -9,6 +9,7 @@ from wareflow.functions import cleaning as c
 from wareflow.functions.text import slug
 from wareflow.operators.handles import unique_handles_counter
 from wareflow.operators.layouts import DIRECT_COLUMNS
+from wareflow.operators.shared import shared_folder, stored
 
 # Columns every product row carries unchanged.
 CONSTANTS = {
@@ -82,7 +83,8 @@ def direct_rows(raw: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     One explode makes both kinds of rows, so the price list is read once for them.
     ``keep`` may name ``row_no`` and ``image_no`` (0 for the full row).
     """
-    products = direct_usable(direct_products(raw))
+    # cleaned once, used for the handles and for the rows; the filter then reaches the stored columns
+    products = direct_usable(stored(direct_products(raw), shared_folder(raw.sparkSession), "direct"))
     rows = products.join(direct_handles(products), "row_no").select(
         "*", F.posexplode_outer("images").alias("_i", "image_src")
     )
