@@ -63,9 +63,11 @@ def default_description(brand: Column, name: Column) -> Column:
     )
 
 
-def batch_answer(answer: Column, brand: Column, name: Column) -> Column:
-    """STRUCT of the nine enrichment fields; a field that is absent or unusable gets its default."""
-    json = json_from_text(strip(answer))
+def batch_fields(json: Column, brand: Column, name: Column) -> Column:
+    """STRUCT of the nine enrichment fields; a field that is absent or unusable gets its default.
+
+    ``json`` is a column of ``json_from_text``, not the expression: it is used once per field.
+    """
 
     def field(key: str, kind: str = "string") -> Column:
         return F.try_variant_get(json, f"$.{key}", kind)

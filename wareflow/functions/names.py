@@ -44,7 +44,9 @@ def base_name_key(name: Column) -> Column:
     base = strip(F.regexp_replace(base, SPACE + "+", " "))
     base = strip(F.regexp_replace(base, r"[^\p{L}\p{N}_\p{IsWhite_Space}\x1c-\x1f]", ""))
     first_words = F.lower(F.array_join(F.slice(words(name), 1, 3), " "))
-    return F.when(F.length(base) < 3, first_words).otherwise(base)
+    # one match or none, so that the chain above is written, and run, once
+    long_enough = F.get(F.regexp_extract_all(base, F.lit(r"(?s)^.{3,}\z"), F.lit(0)), F.lit(0))
+    return F.coalesce(long_enough, first_words)
 
 
 def base_name(name: Column) -> Column:

@@ -91,8 +91,9 @@ def slug(text: Column) -> Column:
     plain = F.when(is_ascii(text), lower).otherwise(F.translate(lower, ACCENTED, UNACCENTED))
     kept = F.regexp_replace(plain, r"[^a-z0-9\-\p{IsWhite_Space}\x1c-\x1f]", "")
     hyphens = F.regexp_replace(kept, r"[\-\p{IsWhite_Space}\x1c-\x1f]+", "-")
-    cut = F.substring(F.btrim(hyphens, F.lit("-")), 1, 255)
-    return F.when(cut == "", F.lit("product")).otherwise(cut)
+    # one match or none, so that the chain above is written, and run, once
+    cut = F.get(F.regexp_extract_all(F.btrim(hyphens, F.lit("-")), F.lit("^.{1,255}"), F.lit(0)), F.lit(0))
+    return F.coalesce(cut, F.lit("product"))
 
 
 def strip_markdown(text: Column, keep_single_backtick: bool = False) -> Column:

@@ -13,8 +13,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wareflow.functions.answers import batch_answer, valid_options
-from wareflow.functions.text import number_text
+from wareflow.functions.answers import batch_fields, json_from_text, valid_options
+from wareflow.functions.text import number_text, strip
 
 # Kind -> (columns of its key, token limit).
 KINDS = {
@@ -119,8 +119,9 @@ def _answers(responses: DataFrame, kind: str) -> DataFrame:
 def apply_batch(groups: DataFrame, responses: DataFrame) -> DataFrame:
     """Groups (brand, base_name, price) with the nine fields and ``answered``."""
     keyed = groups.withColumn("_key", request_key("batch", F.col("brand"), F.col("base_name"), F.col("price")))
-    joined = keyed.join(_answers(responses, "batch"), "_key", "left").withColumn(
-        "_fields", batch_answer(F.col("_answer"), F.col("brand"), F.col("base_name"))
+    answers = _answers(responses, "batch").withColumn("_json", json_from_text(strip(F.col("_answer"))))
+    joined = keyed.join(answers, "_key", "left").withColumn(
+        "_fields", batch_fields(F.col("_json"), F.col("brand"), F.col("base_name"))
     )
     return joined.select(*groups.columns, F.col("_answer").isNotNull().alias("answered"), "_fields.*")
 

@@ -97,15 +97,16 @@ def violations(rows: DataFrame) -> DataFrame:
 
 def validation_report(rows: DataFrame) -> DataFrame:
     """One row: products, rows, errors, warnings, passed. A row counts once however much it lacks."""
-    found = violations(rows).groupBy("severity").agg(F.count("*").alias("_n"))
-
-    def number(severity: str) -> Column:
-        return F.coalesce(found.where(F.col("severity") == severity).select("_n").scalar(), F.lit(0))
-
-    size = rows.agg(F.count_distinct(_text("Handle")).alias("products"), F.count("*").alias("rows"))
-    return size.select("products", "rows", number("error").alias("errors"), number("warning").alias("warnings")).withColumn(
-        "passed", F.col("errors") == 0
-    )
+    parts = [
+        rows.agg(F.count_distinct(_text("Handle")).alias("products"), F.count("*").alias("rows")),
+        violations(rows).agg(
+            F.count_if(F.col("severity") == "error").alias("errors"),
+            F.count_if(F.col("severity") == "warning").alias("warnings"),
+        ),
+    ]
+    # two single rows become one
+    both = parts[0].unionByName(parts[1], allowMissingColumns=True)
+    return both.agg(*[F.max(c).alias(c) for c in both.columns]).withColumn("passed", F.col("errors") == 0)
 
 
 def check_output_sample(rows: DataFrame, sample: int = 10) -> DataFrame:
