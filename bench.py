@@ -16,10 +16,10 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
-from checks import answers, output, pages, parsing  # noqa: E402
-from checks.views import view  # noqa: E402
+from checks import output, pages, parsing  # noqa: E402
+from checks.views import VIEWS, view  # noqa: E402
 from wareflow.functions.text import number_text  # noqa: E402
-from wareflow.operators import cleaning, direct, validation  # noqa: E402
+from wareflow.operators import cleaning, direct, export, requests, validation  # noqa: E402
 from wareflow.operators.grouping import leader_groups  # noqa: E402
 from wareflow.operators.shared import shared_folder, stored  # noqa: E402
 from wareflow.plans.catalogue import catalogue_import, groups_of, grouped_products  # noqa: E402
@@ -55,21 +55,18 @@ def main() -> None:
     wide_imp = stored(view(spark, sf_dir, "wide_imp"), folder, "wide-imp")
     html = stored(view(spark, sf_dir, "img"), folder, "img")
     hits = stored(view(spark, sf_dir, "hits"), folder, "hits")
-    kept: dict[str, DataFrame] = {}
+    variants = stored(output.opts(spark, sf_dir), folder, "variants")
+    keys = stored(view(spark, sf_dir, "keys"), folder, "keys")
+    replies = stored(spark.sql(VIEWS["resp"], keys=keys), folder, "resp")
+    to_enrich = keys.select("row_no", "brand", F.col("name").alias("base_name"), "price")
 
     def full_import() -> DataFrame:
         members = grouped_products(wide)
         keys = groups_of(members).select(
             F.col("group_no").alias("row_no"), "brand", F.col("base_name").alias("name"), number_text(F.col("price")).alias("price_text")
         )
-        replies = stored(spark.sql(view_text("resp"), keys=keys), folder, "replies")
-        kept["members"] = members
-        return catalogue_import(members, replies)
-
-    def view_text(name: str) -> str:
-        from checks.views import VIEWS
-
-        return VIEWS[name]
+        answered = stored(spark.sql(VIEWS["resp"], keys=keys), folder, "replies")
+        return catalogue_import(members, answered)
 
     queries = {
         "parse_catalog": lambda: cleaning.parse_catalog(wide),
@@ -79,11 +76,11 @@ def main() -> None:
         "leader_groups": lambda: leader_groups(cleaning.parse_catalog(wide)),
         "full_import": full_import,
         "validation_report": lambda: validation.validation_report(wide_imp),
-        "option_values": lambda: output.QUERIES["option_values"][0](spark, sf_dir),
+        "option_values": lambda: export.option_values(variants),
         "extract_images": lambda: html.select("url", pages.im.extract_images(F.col("url"), F.col("html"), F.col("product_name"))),
         "pick_url": lambda: pages.pick_url(hits),
         "slug": lambda: parsing.QUERIES["slug"][0](spark, sf_dir),
-        "apply_batch": lambda: answers.QUERIES["apply_batch"][0](spark, sf_dir),
+        "apply_batch": lambda: requests.apply_batch(to_enrich, replies),
         "incremental_ingest": lambda: output.QUERIES["incremental_ingest"][0](spark, sf_dir),
     }
     drop(spark.range(1000).select(F.md5(F.col("id").cast("string"))))
