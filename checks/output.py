@@ -13,7 +13,6 @@ from wareflow.functions.text import number_text
 from wareflow.operators import batches as b
 from wareflow.operators import export as x
 from wareflow.operators import validation as v
-from wareflow.operators.cleaning import parse_stats
 from wareflow.operators.grouping import group_images, group_index
 from wareflow.operators.handles import unique_handles
 from wareflow.operators.layouts import IMPORT_COLUMNS, METAFIELDS

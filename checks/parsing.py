@@ -77,7 +77,7 @@ DIRECT_SELECT = ", ".join(f"""{_DIRECT.get(n, "''")} AS "{n}\"""" for n in DIREC
 _NUMERIC = {"Variant Inventory Qty", "Variant Price", "Cost per item", "Price / International"}
 _IMAGE = {
     "Handle": "handle", "Image Src": "src", "Image Position": "pos", "Image Alt Text": "name",
-    **{n: "NULL" for n in _NUMERIC},
+    **{n: f"CAST(NULL AS {'INTEGER' if n.endswith('Qty') else 'DOUBLE'})" for n in _NUMERIC},
 }
 IMAGE_SELECT = ", ".join(f"""{_IMAGE.get(n, "''")} AS "{n}\"""" for n in DIRECT_COLUMNS)
 

@@ -208,9 +208,7 @@ SELECT md5(lower(p_brand) || '|' || lower(p_name) || '|' || CAST(p_partkey AS ST
     WHEN 6 THEN 'https://[broken/' || CAST(p_partkey AS STRING)
     WHEN 7 THEN 'https://shop.example.com/search?q=' || CAST(p_partkey AS STRING)
     ELSE 'https://shop.example.com/p/' || CAST(p_partkey AS STRING) || '/' || CAST(query_rank AS STRING) || '/' || CAST(result_rank AS STRING) END AS url
-FROM {part}
-CROSS JOIN (VALUES (0), (1), (2), (3), (4)) q(query_rank)
-CROSS JOIN (VALUES (0), (1), (2)) r(result_rank)
+FROM {ranked_parts}
 """
 
 # answers to the batch and option questions of the products: plain, fenced, broken, wrong types, none
@@ -292,6 +290,13 @@ FROM {lineitem} JOIN {part} ON l_partkey = p_partkey""",
     "groups": SIMPLE_GROUPS,
     "members": (lambda spark, sf_dir: leader_groups(products(spark, sf_dir)), MEMBERS_DUCK),
     "img": IMG,
+    # five queries with three results each
+    "ranked_parts": (
+        lambda spark, sf_dir: view(spark, sf_dir, "part")
+        .withColumn("query_rank", F.explode(F.array(*[F.lit(i) for i in range(5)])))
+        .withColumn("result_rank", F.explode(F.array(*[F.lit(i) for i in range(3)]))),
+        "SELECT *, unnest(range(0, 3)) AS result_rank FROM (SELECT *, unnest(range(0, 5)) AS query_rank FROM {part})",
+    ),
     "hits": HITS,
     "keys": (_keys, KEYS_DUCK),
     "resp": RESP,
