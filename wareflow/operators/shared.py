@@ -10,9 +10,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A new folder below the one the cluster names; a local one only where none is named."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    """A new folder below the one the cluster names; in local mode alone, a local one where none is named.
+
+    On several machines a local folder would lose rows without a message, so there it is an error.
+    """
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
     if not root:
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         root = os.path.join(tempfile.gettempdir(), "wareflow")
     return f"{root.rstrip('/')}/wareflow-{uuid.uuid4().hex}"
 
