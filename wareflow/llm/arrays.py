@@ -33,6 +33,12 @@ def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def set_aside(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """`df` with neutral column names, so no added column can clash; and the new name of each column."""
+    names = {c: f"_c{i}" for i, c in enumerate(df.columns)}
+    return df.toDF(*names.values()), names
+
+
 def map_columns(
     df: DataFrame,
     function: Callable[..., list],

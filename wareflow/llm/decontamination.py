@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wareflow.llm.arrays import Alphabet, Words, find_words, lists, map_columns, mix, quoted, text_chunks
+from wareflow.llm.arrays import Alphabet, Words, find_words, map_columns, quoted, set_aside, text_chunks
 
 LETTERS = Alphabet([*range(0x00, 0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)], fold_case=True)
 BLOCK = 1_000_000
@@ -161,6 +161,7 @@ def cut_spans(docs: DataFrame, text: str = "text", spans: str = "hit_spans") ->
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, n: int = 10, remove: str = "documents", text: str = "text") -> DataFrame:
     """`docs` without contaminated documents, or without their contaminated spans (remove='spans')."""
-    found = find_contamination(docs.select(*[quoted(c) for c in docs.columns]), benchmark, n, text)
-    clean = found.where("n_hit = 0") if remove == "documents" else cut_spans(found, text)
-    return clean.select(*[quoted(c) for c in docs.columns])
+    plain, names = set_aside(docs)
+    found = find_contamination(plain, benchmark, n, names[text])
+    clean = found.where("n_hit = 0") if remove == "documents" else cut_spans(found, names[text])
+    return clean.select(*[F.col(n).alias(c) for c, n in names.items()])

@@ -176,8 +176,9 @@ def best_container(root: Node) -> Node | None:
         if node.tag in CONTAINERS and node.own:
             plain = node.own - node.linked
             worth = plain * (1 + node.bonus) * (1 - node.linked / (node.own + 1)) + 0.01 * node.path.count(">")
-            if worth > 0 and worth >= 0.95 * score:
-                best, score = node, max(worth, score) if worth < score else worth
+            inside = best is not None and node.path.startswith(best.path + ">")
+            if worth > score or inside and worth >= 0.95 * score:
+                best, score = node, max(worth, score)
     return best
 
 

@@ -55,10 +55,15 @@ class Cuts:
     """How the universe of shingles is cut for sets of each size."""
 
     def __init__(self, similar: int):
+        if not 65 <= similar <= 100:
+            raise ValueError("a similarity of 65 to 100 percent")
         self.similar = similar
+        # the smallest set of a class must have more shingles than a pair can differ in
+        s = min(similar, 99) / 100
+        growth = min(GROWTH, s * (1 + s) / (2 * (1 - s)) / 1.2)
         self.tops = [1]
         while self.tops[-1] < 1 << 40:
-            self.tops.append(max(self.tops[-1] + 1, int(self.tops[-1] * GROWTH)))
+            self.tops.append(max(self.tops[-1] + 1, int(self.tops[-1] * growth)))
 
     def signatures(self, shingles: np.ndarray) -> np.ndarray:
         """One hash for each part that is not empty.
@@ -220,7 +225,7 @@ def _split_regions(regions: DataFrame, texts: DataFrame, links: DataFrame, label
 def link_documents(docs: DataFrame, shingle: int = 4, similar: int = 85, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: doc_id, n_shingles and component_id (the smallest id reachable by links).
 
-    Two documents link when 100 * shared shingles >= `similar` * shingles of the union.
+    Two documents link when 100 * shared shingles >= `similar` * shingles of the union; `similar` is 65 to 100.
     """
     folder = shared_folder(docs.sparkSession)
     named = docs.select(F.col(quoted(doc_id)).cast("bigint").alias("id"), F.col(quoted(text)).alias("text"))

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wareflow.llm.arrays import PLAIN, WORD_BASE, Words, find_words, map_columns, quoted, range_hashes, text_chunks
+from wareflow.llm.arrays import PLAIN, WORD_BASE, Words, find_words, map_columns, quoted, range_hashes, set_aside, text_chunks
 from wareflow.operators.shared import shared_folder, stored
 
 CHUNK_WORDS = 64
@@ -80,10 +80,10 @@ class _Windows:
         return self.at[where][np.cumsum(cut) - 1]
 
 
-def _keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+def _keyed(docs: DataFrame, doc_id: str, text: str, keep: list[str] | None = None) -> DataFrame:
     """(id, mark, text): a null id as the least number; mark tells texts of one id apart."""
     number = F.coalesce(F.col(quoted(doc_id)).cast("bigint"), F.lit(_LEAST))
-    return docs.select(number.alias("id"), F.xxhash64(F.col(quoted(text))).bitwiseAND(0xFFFFFF).cast("int").alias("mark"), F.col(quoted(text)).alias("text"))
+    return docs.select(number.alias("id"), F.xxhash64(F.col(quoted(text))).bitwiseAND(0xFFFFFF).cast("int").alias("mark"), F.col(quoted(text)).alias("text"), *(keep or []))
 
 
 def _small_windows(keyed: DataFrame, window: int) -> DataFrame:
@@ -271,11 +271,9 @@ def remove_repeats(docs: DataFrame, window: int = 20, doc_id: str = "doc_id", te
 
     A text without a repeat stays as it is, white space included.
     """
-    rows = _apply(docs, window, doc_id, text, cut=True).dropDuplicates(["id", "mark"])
-    number = F.coalesce(F.col(quoted(doc_id)).cast("bigint"), F.lit(_LEAST))
-    others = [c for c in docs.columns if c != text]
-    rest = docs.select(*[quoted(c) for c in others], number.alias("_id"), F.xxhash64(F.col(quoted(text))).bitwiseAND(0xFFFFFF).cast("int").alias("_mark"), F.col(quoted(text)).isNull().alias("_null"))
-    joined = rest.join(rows.withColumnsRenamed({"id": "_id", "mark": "_mark"}), ["_id", "_mark"], "left")
-    kept = joined.where("n_removed = 0 OR n_removed < n_words")
-    made = kept.withColumn("_text", F.when(~F.col("_null"), F.col("result")))
-    return made.select(*[(F.col("_text") if c == text else F.col(quoted(c))).alias(c) for c in docs.columns])
+    plain, names = set_aside(docs)
+    rows = _apply(plain, window, names[doc_id], names[text], cut=True).dropDuplicates(["id", "mark"])
+    keyed = _keyed(plain, names[doc_id], names[text], keep=list(names.values())).drop("text")
+    kept = keyed.join(rows, ["id", "mark"], "left").where("n_removed = 0 OR n_removed < n_words")
+    body = F.when(F.col(names[text]).isNotNull(), F.col("result"))
+    return kept.select(*[(body if c == text else F.col(n)).alias(c) for c, n in names.items()])
