@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,7 +23,7 @@ def _resp(s, d):
 
 
 def _all_requests(s, d) -> DataFrame:
-    return reduce(DataFrame.unionByName, [r.build_requests(_keys(s, d), kind) for kind in r.KINDS])
+    return r.build_requests(_keys(s, d), *r.KINDS)
 
 
 def _stored_responses(s, d):
@@ -39,8 +37,27 @@ def _shout(kinds, prompts, max_tokens):
     return [f"{k}|{len(p)}|{m}" for k, p, m in zip(kinds, prompts, max_tokens)]
 
 
+def _retried(s, d):
+    """One run in which two kinds of call break, a second one that asks again what is pending."""
+    path = f"{shared_folder(s)}/responses"
+    requests = _all_requests(s, d)
+
+    def first(kinds, prompts, max_tokens):
+        if kinds[0] in ("batch", "tags"):
+            raise ConnectionError("no service")
+        return _shout(kinds, prompts, max_tokens)
+
+    def second(kinds, prompts, max_tokens):
+        return [None if k == "tags" else text for k, text in zip(kinds, _shout(kinds, prompts, max_tokens))]
+
+    write_responses(r.fill_responses(requests, first, chunk=1, run_no=1), path)
+    write_responses(r.fill_responses(r.pending_requests(requests, read_responses(s, path)), second, run_no=2), path)
+    return read_responses(s, path)
+
+
+_STATUS = "CASE WHEN response IS NULL THEN 'miss' ELSE 'ok' END"
 _KEY_PARTS = {
-    kind: "'" + kind + "'" + "".join(" || '|' || " + {"price": "price_text"}.get(p, p) for p in parts)
+    kind: "'" + kind + "'" + "".join(" || '|' || " + {"price": "coalesce(price_text, 'None')"}.get(p, p) for p in parts)
     for kind, (parts, _) in r.KINDS.items()
 }
 
@@ -73,8 +90,9 @@ _FIELDS = {
     "description": "'<p>Premium <strong>' || brand || '</strong> product. ' || name || '.</p>'",
     "benefits": "''", "ingredients": "''", "good_for": "''", "suggested_usage": "''", "allergy_info": "''",
 }
+# markdown goes from parsed answers only
 _CLEAN = {
-    k: f"replace(replace(replace(replace(coalesce({_text(k)}, {default}), '```', ''), '**', ''), '*', ''), '`', '')"
+    k: f"CASE WHEN js IS NULL THEN {default} ELSE replace(replace(replace(replace(coalesce({_text(k)}, {default}), '```', ''), '**', ''), '*', ''), '`', '') END"
     for k, default in _FIELDS.items()
 }
 BATCH_DUCK = f"""
@@ -82,7 +100,7 @@ SELECT row_no, brand, name, price, response IS NOT NULL AS answered, coalesce({_
   coalesce({_text('category')}, 'Health & Beauty > Other') AS category,
   array_to_string(coalesce(CAST(json_extract(js, '$.tags') AS VARCHAR[]), [lower(brand), 'product', 'beauty']), '|') AS tags,
   {', '.join(f'{sql} AS {k}' for k, sql in _CLEAN.items())}
-FROM keys k LEFT JOIN ({PARSED_DUCK}) p ON p.kind = 'batch' AND p.cache_key = 'batch|' || brand || '|' || name || '|' || price_text
+FROM keys k LEFT JOIN ({PARSED_DUCK}) p ON p.kind = 'batch' AND p.cache_key = 'batch|' || brand || '|' || name || '|' || coalesce(price_text, 'None')
 """
 OPTIONS_DUCK = f"""
 SELECT cache_key, list_transform(list_filter(items, lambda o: json_type(o, '$.name') = 'VARCHAR' AND json_type(o, '$.value') = 'VARCHAR'),
@@ -152,11 +170,24 @@ QUERIES: dict[str, Query] = {
     ),
     "read_responses": (
         _stored_responses,
-        duck("SELECT cache_key, kind, response FROM resp", "resp"),
+        duck(f"SELECT cache_key, kind, response, {_STATUS} AS status, CAST(NULL AS VARCHAR) AS error, CAST(0 AS BIGINT) AS run_no FROM resp", "resp"),
+    ),
+    "retry_failed_requests": (
+        _retried,
+        duck(
+            f"""WITH asked AS ({REQUESTS_DUCK}), late AS (SELECT kind || '|' || length(prompt) || '|' || max_tokens AS response, * EXCLUDE (max_tokens) FROM asked)
+            SELECT cache_key, kind, CASE WHEN kind <> 'tags' THEN response END AS response, CASE WHEN kind <> 'tags' THEN 'ok' ELSE 'miss' END AS status,
+              CAST(NULL AS VARCHAR) AS error, CAST(CASE WHEN kind IN ('batch', 'tags') THEN 2 ELSE 1 END AS BIGINT) AS run_no FROM late
+            UNION ALL SELECT cache_key, kind, NULL, 'failed', 'ConnectionError: no service', 1 FROM late WHERE kind IN ('batch', 'tags')""",
+            "keys",
+        ),
     ),
     "fill_responses": (
-        lambda s, d: r.fill_responses(_all_requests(s, d), _shout),
-        duck(f"SELECT cache_key, kind, kind || '|' || length(prompt) || '|' || max_tokens AS response FROM ({REQUESTS_DUCK})", "keys"),
+        lambda s, d: r.fill_responses(_all_requests(s, d), _shout, run_no=3),
+        duck(
+            f"SELECT cache_key, kind, kind || '|' || length(prompt) || '|' || max_tokens AS response, 'ok' AS status, CAST(NULL AS VARCHAR) AS error, CAST(3 AS BIGINT) AS run_no FROM ({REQUESTS_DUCK})",
+            "keys",
+        ),
     ),
     "json_from_text": (
         lambda s, d: _resp(s, d)

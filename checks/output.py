@@ -20,10 +20,10 @@ from wareflow.operators.ordering import global_row_index
 from wareflow.operators.requests import apply_batch
 from wareflow.operators.shared import shared_folder, stored
 from wareflow.operators.stats import run_stats
-from wareflow.plans.catalogue import catalogue_files, catalogue_import, groups_of, import_columns
+from wareflow.plans.catalogue import KEPT, catalogue_files, catalogue_import, groups_of, import_columns, resumed_import
 from wareflow.sources.import_files import read_import_file, write_import_csv, write_import_files
 from wareflow.sources.tables import read_batches, write_batches
-from wareflow.streaming.ingest import incremental_ingest
+from wareflow.streaming.ingest import incremental_ingest, ingest_batch, ingested_products, rerun_failed
 
 
 def opts(s, d):
@@ -157,9 +157,45 @@ def _conversion(s, d):
 _KEPT = ("group_no", "group_index", "batch_no", "line_no")
 
 
-def import_rows(s, d, keep=()):
+def import_rows(s, d, keep=(), **options):
     rows, answers = _conversion(s, d)
-    return catalogue_import(rows, answers, keep=keep)
+    return catalogue_import(rows, answers, keep=keep, **options)
+
+
+def _resumed_import(s, d):
+    """A run that is stopped after two batches of 20 groups, then one that goes on to the end."""
+    path = f"{shared_folder(s)}/batches"
+    rows, answers = _conversion(s, d)
+    resumed_import(rows, answers, path, groups_per_batch=20, max_batches=2)
+    return import_columns(resumed_import(rows, answers, path, groups_per_batch=20))
+
+
+def _limited_files(s, d):
+    """Two batches of many: the file names still count all batches."""
+    rows = catalogue_files(import_rows(s, d, KEPT, groups_per_batch=20, max_batches=2), 40)
+    return rows.select("group_index", "line_no", "batch_no", "batch_row", "file_no", "file_name")
+
+
+def _ingest_after_failure(s, d):
+    """Two deliveries; the first breaks after its products are written, and is run again at the end."""
+    folder, raw = shared_folder(s), cat(s, d)
+    half = raw.select(F.expr("percentile_approx(row_no, 0.5)")).scalar()
+
+    def breaks(rows, target, batch_id):
+        if batch_id:
+            return ingest_batch(rows, target, batch_id)
+        rows.select("upc").withColumn("batch_id", F.lit(0)).write.partitionBy("batch_id").parquet(f"{target}/codes")
+        raise OSError("disk full")
+
+    for test in (F.col("row_no") > half, F.col("row_no") <= half):
+        raw.where(test).coalesce(1).write.mode("append").parquet(f"{folder}/incoming")
+        stream = s.readStream.schema(raw.schema).parquet(f"{folder}/incoming")
+        incremental_ingest(stream, f"{folder}/target", f"{folder}/progress", breaks).awaitTermination()
+    rerun_failed(s, f"{folder}/target")
+    return ingested_products(s, f"{folder}/target").select(*_INGESTED)
+
+
+_INGESTED = ["row_no", "brand", "upc", "name", "quantity", "price", "tax", "vat_percentage", "total_with_vat", "category"]
 
 
 def _full(select: str) -> str:
@@ -204,7 +240,7 @@ def _ingest(s, d):
         raw.where(test).repartitionByRange(2, "row_no").write.mode("append").parquet(f"{folder}/incoming")
         stream = s.readStream.schema(raw.schema).option("maxFilesPerTrigger", 10).parquet(f"{folder}/incoming")
         incremental_ingest(stream, f"{folder}/target", f"{folder}/progress").awaitTermination()
-    return s.read.parquet(f"{folder}/target/products").select("row_no", "upc", "name", "price")
+    return ingested_products(s, f"{folder}/target").select(*_INGESTED)
 
 
 def _run_stats(s, d):
@@ -369,7 +405,25 @@ QUERIES: dict[str, Query] = {
     ),
     "incremental_ingest": (
         _ingest,
-        duck("SELECT row_no, upc, name, price FROM prod", "prod"),
+        duck(f"SELECT {', '.join(_INGESTED)} FROM prod", "prod"),
+    ),
+    "ingest_after_failure": (
+        # the later rows fail first and are run again last, so the earlier rows take their codes as ever
+        _ingest_after_failure,
+        duck(f"SELECT {', '.join(_INGESTED)} FROM prod", "prod"),
+    ),
+    "limited_files": (
+        _limited_files,
+        _full(
+            f"""SELECT group_index, line_no, batch_no, batch_row, CAST(floor((batch_row - 1) / 40) AS BIGINT) + 1 AS file_no, {_FILE_NAME.format(m=40)} AS file_name
+            FROM (SELECT *, row_number() OVER (PARTITION BY batch_no ORDER BY group_index, line_no) AS batch_row, count(*) OVER (PARTITION BY batch_no) AS n, max(batch_no) OVER () AS nb
+              FROM (SELECT e.gi AS group_index, l.rows_before + u.i AS line_no, CAST(floor((e.gi - 1) / 20) AS BIGINT) + 1 AS batch_no
+                FROM lines l JOIN enriched e USING (group_no), LATERAL (SELECT unnest(range(1, CAST(greatest(len(l.images), 1) AS INTEGER) + 1)) AS i) u)) WHERE batch_no <= 2"""
+        ),
+    ),
+    "resume_import": (
+        _resumed_import,
+        _full(f"SELECT {IMPORT_SELECT} FROM out"),
     ),
     "run_stats": (
         _run_stats,

@@ -213,7 +213,7 @@ FROM {ranked_parts}
 
 # answers to the batch and option questions of the products: plain, fenced, broken, wrong types, none
 RESP = """
-SELECT 'batch|' || brand || '|' || name || '|' || price_text AS cache_key, 'batch' AS kind,
+SELECT 'batch|' || brand || '|' || name || '|' || coalesce(price_text, 'None') AS cache_key, 'batch' AS kind,
   CASE row_no % 7
     WHEN 0 THEN '{{"cleaned_name": "Nice ' || name || '", "description": "**Bold** `text` for ' || brand || '", "category": "Health & Beauty > Hair Care", "tags": ["a-tag", "b-tag", "' || lower(brand) || '"], "benefits": "* one", "ingredients": "x", "good_for": "y", "suggested_usage": "z", "allergy_info": "w"}}'
     WHEN 1 THEN 'Sure:' || chr(10) || '```json' || chr(10) || '{{"cleaned_name": "Fenced ' || name || '",' || chr(10) || '"category": "Home > ' || brand || '", "tags": ["t1"]}}' || chr(10) || '```'
@@ -235,7 +235,7 @@ FROM {keys} WHERE length(name) % 13 <> 0
 """
 
 # product rows under the name the requests use, prices as key text
-KEYS_DUCK = "SELECT row_no, brand, name, price, category, CAST(price AS VARCHAR) AS price_text FROM {prod} WHERE price IS NOT NULL"
+KEYS_DUCK = "SELECT row_no, brand, name, price, category, CAST(price AS VARCHAR) AS price_text FROM {prod}"
 
 OPTS = """
 SELECT row_no, group_no, brand, base_name, upc, name, price, images, w1, w2, n1, n2, n3 FROM (
@@ -273,7 +273,7 @@ def _based(spark, sf_dir):
 
 
 def _keys(spark, sf_dir):
-    return products(spark, sf_dir).where("price IS NOT NULL").select(
+    return products(spark, sf_dir).select(
         "row_no", "brand", "name", "price", "category", number_text(F.col("price")).alias("price_text")
     )
 

@@ -81,7 +81,10 @@ def batch_fields(json: Column, brand: Column, name: Column) -> Column:
         F.coalesce(field("category"), F.lit(OTHER_CATEGORY)).alias("category"),
         tags.alias("tags"),
         *[
-            strip_markdown(F.coalesce(field(k), defaults.get(k, F.lit("")))).alias(k)
+            # markdown goes from parsed answers only; a default without an answer stays as it is
+            F.when(json.isNull(), defaults.get(k, F.lit("")))
+            .otherwise(strip_markdown(F.coalesce(field(k), defaults.get(k, F.lit("")))))
+            .alias(k)
             for k in BATCH_TEXTS
         ],
     )

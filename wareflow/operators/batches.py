@@ -54,10 +54,12 @@ def split_files(
 
     A batch that fits into one file has no part number; a single batch has no batch number either,
     unless it must be cut. ``all_batches`` (with ``batch_no``) tells the number of batches where
-    ``rows`` holds only some of them.
+    ``rows`` holds only some of them; a column ``n_batches`` of ``rows`` tells it as well.
     """
-    sizes = rows.groupBy("batch_no").agg(F.count("*").alias("_rows"))
-    n_batches = (rows if all_batches is None else all_batches).agg(F.max("batch_no")).scalar()
+    counted = "n_batches" in rows.columns and all_batches is None
+    number = F.max("n_batches") if counted else F.lit(None).cast("bigint")
+    sizes = rows.groupBy("batch_no").agg(F.count("*").alias("_rows"), number.alias("_batches"))
+    n_batches = F.col("_batches") if counted else (rows if all_batches is None else all_batches).agg(F.max("batch_no")).scalar()
     single = (n_batches == 1) & (F.col("_rows") <= max_rows)
     tag = F.concat(F.lit("_batch"), three_digits(F.col("batch_no")))
     sized = sizes.select(

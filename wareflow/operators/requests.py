@@ -45,19 +45,17 @@ TASKS = {
     "suggested_usage": "Explain how to use this product.",
     "allergy": "Give the warnings that fit this product.",
 }
-RESPONSE_SCHEMA = "cache_key string, kind string, response string"
+# status: ok, miss (asked, nothing there) or failed (the call broke; error says how). A later run_no counts more.
+RESPONSE_SCHEMA = "cache_key string, kind string, response string, status string, error string, run_no bigint"
 
 
 def request_key(kind: str, brand: Column, name: Column, price: Column) -> Column:
-    parts = {"brand": brand, "name": name, "price": number_text(price)}
+    # Fixed value: how a missing price is spelled in a key
+    parts = {"brand": brand, "name": name, "price": F.coalesce(number_text(price), F.lit("None"))}
     return F.concat_ws("|", F.lit(kind), *[parts[p] for p in KINDS[kind][0]])
 
 
-def build_requests(products: DataFrame, kind: str) -> DataFrame:
-    """(cache_key, kind, prompt, max_tokens), one row per distinct key.
-
-    ``products`` has brand, name, price and, for the kinds that mention it, category.
-    """
+def _prompt(products: DataFrame, kind: str) -> Column:
     category = F.col("category") if "category" in products.columns else F.lit(None).cast("string")
     facts = [
         F.concat(F.lit("Brand: "), "brand"),
@@ -65,55 +63,78 @@ def build_requests(products: DataFrame, kind: str) -> DataFrame:
         F.concat(F.lit("Price: "), number_text(F.col("price"))) if kind in ("batch", "description") else None,
         F.concat(F.lit("Category: "), category) if kind not in ("batch", "variants", "description", "clean_name") else None,
     ]
-    prompt = F.concat_ws("\n", F.lit(TASKS[kind]), *[f for f in facts if f is not None])
-    return (
-        products.select(
-            request_key(kind, F.col("brand"), F.col("name"), F.col("price")).alias("cache_key"), prompt.alias("prompt")
+    return F.concat_ws("\n", F.lit(TASKS[kind]), *[f for f in facts if f is not None])
+
+
+def build_requests(products: DataFrame, *kinds: str) -> DataFrame:
+    """(cache_key, kind, prompt, max_tokens), one row per distinct key of each kind; one pass for all kinds.
+
+    ``products`` has brand, name, price and, for the kinds that mention it, category.
+    """
+    asked = [
+        F.struct(
+            request_key(kind, F.col("brand"), F.col("name"), F.col("price")).alias("cache_key"),
+            F.lit(kind).alias("kind"),
+            _prompt(products, kind).alias("prompt"),
+            F.lit(KINDS[kind][1]).alias("max_tokens"),
         )
-        # one prompt per key: a map-side minimum, so repeated names cost nothing
-        .groupBy("cache_key")
-        .agg(F.min("prompt").alias("prompt"))
-        .select("cache_key", F.lit(kind).alias("kind"), "prompt", F.lit(KINDS[kind][1]).alias("max_tokens"))
-    )
+        for kind in kinds
+    ]
+    rows = products.select(F.explode(F.array(*asked)).alias("_r")).select("_r.*")
+    # one prompt per key: a map-side minimum, so repeated names cost nothing
+    least = rows.groupBy("cache_key", "kind", "max_tokens").agg(F.min("prompt").alias("prompt"))
+    return least.select("cache_key", "kind", "prompt", "max_tokens")
+
+
+def with_status(responses: DataFrame) -> DataFrame:
+    """Responses with status, error and run_no; where a table lacks them, NULL answers are misses of run 0."""
+    plain = F.when(F.col("response").isNull(), "miss").otherwise("ok")
+    missing = {"status": plain, "error": F.lit(None).cast("string"), "run_no": F.lit(0).cast("bigint")}
+    added = {name: value for name, value in missing.items() if name not in responses.columns}
+    return responses.withColumns({**added, **({} if "status" in added else {"status": F.coalesce("status", plain)})})
 
 
 def pending_requests(requests: DataFrame, responses: DataFrame) -> DataFrame:
-    """Requests whose key has no stored answer; a stored miss (NULL) counts as an answer."""
-    return requests.join(responses.select("cache_key"), "cache_key", "left_anti")
+    """Requests whose key has no stored answer; a stored miss counts as an answer, a failed call does not."""
+    settled = with_status(responses).where("status <> 'failed'").select("cache_key")
+    return requests.join(settled, "cache_key", "left_anti")
 
 
 def fill_responses(
     pending: DataFrame,
     provider: Callable[[list[str], list[str], list[int]], list[str]],
     chunk: int = 100,
+    run_no: int = 0,
 ) -> DataFrame:
-    """(cache_key, kind, response) from ``provider(kinds, prompts, max_tokens)``, chunk by chunk.
+    """Responses from ``provider(kinds, prompts, max_tokens)``, chunk by chunk.
 
-    A chunk whose call fails gets NULL answers, the others go on. Parallel over partitions.
+    A chunk whose call fails is marked ``failed`` with the error, the others go on; the failed ones
+    stay pending. Parallel over partitions.
     """
 
     def answer(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for start in range(0, len(batch), chunk):
-                part = batch.iloc[start : start + chunk]
+                part, error = batch.iloc[start : start + chunk], None
                 try:
                     texts = list(provider(list(part["kind"]), list(part["prompt"]), list(part["max_tokens"])))
                     if len(texts) != len(part):
                         raise ValueError("one answer per request expected")
-                except Exception:  # noqa: BLE001 - any failure of the caller's function
-                    texts = [None] * len(part)
-                yield pd.DataFrame({"cache_key": part["cache_key"], "kind": part["kind"], "response": texts})
+                except Exception as broken:  # noqa: BLE001 - any failure of the caller's function
+                    texts, error = [None] * len(part), f"{type(broken).__name__}: {broken}"
+                status = ["failed" if error else "miss" if t is None else "ok" for t in texts]
+                answers = {"cache_key": part["cache_key"], "kind": part["kind"], "response": texts, "status": status, "error": error, "run_no": run_no}
+                yield pd.DataFrame(answers)
 
     return pending.select("cache_key", "kind", "prompt", "max_tokens").mapInPandas(answer, RESPONSE_SCHEMA)
 
 
 def _answers(responses: DataFrame, kind: str) -> DataFrame:
-    """One answer per key; the store may hold a key twice after a repeated run."""
-    return (
-        responses.where((F.col("kind") == kind) & F.col("response").isNotNull())
-        .groupBy(F.col("cache_key").alias("_key"))
-        .agg(F.min("response").alias("_answer"))
-    )
+    """One answer per key, the one of the last run; within a run the smallest."""
+    answered = with_status(responses).where((F.col("kind") == kind) & F.col("response").isNotNull() & (F.col("status") == "ok"))
+    # a minimum over (-run_no, response) is pre-aggregated like any other
+    last = F.min(F.struct((-F.coalesce("run_no", F.lit(0))).alias("run"), F.col("response").alias("text")))
+    return answered.groupBy(F.col("cache_key").alias("_key")).agg(last.alias("_last")).select("_key", F.col("_last.text").alias("_answer"))
 
 
 def apply_batch(groups: DataFrame, responses: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,6 +14,7 @@ from wareflow.operators.handles import unique_handles
 from wareflow.operators.layouts import IMPORT_COLUMNS
 from wareflow.operators.requests import apply_enrichment, build_requests
 from wareflow.operators.shared import shared_folder, stored
+from wareflow.sources.tables import read_batches, write_batches
 
 
 def grouped_products(raw: DataFrame) -> DataFrame:
@@ -47,21 +49,43 @@ def catalogue_import(
     groups_per_batch: int = b.GROUPS_PER_BATCH,
     max_batches: int | None = None,
     keep: tuple[str, ...] = (),
+    done: DataFrame | None = None,
 ) -> DataFrame:
     """Import rows of all groups (or of the first batches), see ``import_projection``.
 
-    ``keep`` may name group_no, group_index, batch_no and line_no.
+    ``keep`` may name group_no, group_index, batch_no, line_no and n_batches (of the whole catalogue,
+    whatever the limit). Batches in ``done`` (with ``batch_no``) are left out.
     """
-    groups, variants = apply_enrichment(groups_of(members), members, responses)
-    batched = b.assign_batches(groups, groups_per_batch)
-    # handles follow the enriched title, and are unique over the whole catalogue
-    wanted = b.limit_batches(batched, max_batches)
     folder = shared_folder(members.sparkSession)
-    wanted = stored(wanted, folder, "groups")
+    # both are read several times below: the roll-up and the parsed options are made once
+    groups, variants = apply_enrichment(stored(groups_of(members), folder, "index"), members, responses)
+    batched = stored(b.assign_batches(groups, groups_per_batch), folder, "batched")
+    # handles follow the enriched title, and are unique over the whole catalogue
+    wanted = b.limit_batches(batched, max_batches).withColumn("n_batches", batched.agg(F.max("batch_no")).scalar())
     handles = unique_handles(wanted.withColumn("base_name", F.col("title")))
-    if max_batches:
+    if done is not None:
+        wanted = b.pending_batches(wanted, done)
+    if max_batches or done is not None:
         variants = variants.join(wanted.select("group_no"), "group_no", "left_semi")
-    return import_projection(variants, wanted.join(handles, "group_no"), keep)
+    variants = variants.select("row_no", "group_no", "brand", "upc", "name", "price", "images", "options")
+    return import_projection(stored(variants, folder, "variants"), wanted.join(handles, "group_no"), keep)
+
+
+KEPT = ("group_no", "group_index", "batch_no", "line_no", "n_batches")
+
+
+def resumed_import(members: DataFrame, responses: DataFrame, path: str, **options) -> DataFrame:
+    """``catalogue_import`` with the columns ``KEPT``, batch by batch in the table at ``path``.
+
+    Batches found there are not made again; the others are added. Returns the whole table.
+    """
+    spark = members.sparkSession
+    try:
+        done = read_batches(spark, path).select("batch_no").distinct()
+    except AnalysisException:
+        done = None
+    write_batches(catalogue_import(members, responses, keep=KEPT, done=done, **options), path)
+    return read_batches(spark, path)
 
 
 def catalogue_files(rows: DataFrame, max_rows: int = b.ROWS_PER_FILE, name: str = "products") -> DataFrame:

@@ -5,16 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wareflow.operators.requests import RESPONSE_SCHEMA
+from wareflow.operators.requests import RESPONSE_SCHEMA, with_status
+
+
+RESPONSE_COLUMNS = ["cache_key", "kind", "response", "status", "error", "run_no"]
 
 
 def write_responses(responses: DataFrame, path: str) -> None:
     """Append answers; one folder per kind, so reading one kind skips the others."""
-    responses.select("cache_key", "kind", "response").write.mode("append").partitionBy("kind").parquet(path)
+    with_status(responses).select(*RESPONSE_COLUMNS).write.mode("append").partitionBy("kind").parquet(path)
 
 
 def read_responses(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(RESPONSE_SCHEMA).parquet(path).select("cache_key", "kind", "response")
+    return spark.read.schema(RESPONSE_SCHEMA).parquet(path).select(*RESPONSE_COLUMNS)
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:

@@ -13,13 +13,32 @@ from wareflow.functions.cleaning import null_if_missing
 from wareflow.operators.cleaning import first_by_upc, parse_catalog
 
 
-def _earlier(spark: SparkSession, path: str, batch_id: int, schema: str) -> DataFrame:
-    """Rows of other batches. A batch repeated after a crash must not see its own rows."""
+def _table(spark: SparkSession, path: str, schema: str) -> DataFrame:
     try:
-        table = spark.read.schema(f"{schema}, batch_id bigint").parquet(path)
+        return spark.read.schema(f"{schema}, batch_id bigint").parquet(path)
     except AnalysisException:
         return spark.createDataFrame([], f"{schema}, batch_id bigint")
-    return table.where(F.col("batch_id") != batch_id)
+
+
+def _done(spark: SparkSession, target: str) -> DataFrame:
+    """Deliveries all of whose tables are written; rows of others count for nothing."""
+    return _table(spark, f"{target}/done", "finished boolean").select("batch_id").distinct()
+
+
+def _earlier(spark: SparkSession, target: str, batch_id: int, schema: str) -> DataFrame:
+    """Codes of other finished batches. A batch repeated after a crash must not see its own rows."""
+    done = _done(spark, target).where(F.col("batch_id") != batch_id)
+    return _table(spark, f"{target}/codes", schema).join(done, "batch_id", "left_semi")
+
+
+def ingested_products(spark: SparkSession, target: str) -> DataFrame:
+    """The products of all finished deliveries."""
+    return spark.read.parquet(f"{target}/products").join(_done(spark, target), "batch_id", "left_semi").drop("batch_id")
+
+
+def failed_deliveries(spark: SparkSession, target: str) -> DataFrame:
+    """(batch_id, message) of the deliveries that are recorded and not run again with success."""
+    return _table(spark, f"{target}/errors", "message string").join(_done(spark, target), "batch_id", "left_anti")
 
 
 def _replace_batch(df: DataFrame, path: str, batch_id: int) -> None:
@@ -41,12 +60,14 @@ def ingest_batch(raw: DataFrame, target: str, batch_id: int) -> None:
     """
     spark = raw.sparkSession
     rows = first_by_upc(raw.withColumn("upc", null_if_missing(F.col("upc"))))
-    known = _earlier(spark, f"{target}/codes", batch_id, "upc string")
+    known = _earlier(spark, target, batch_id, "upc string")
     seen = known.join(rows.select("upc"), "upc", "left_semi").select("upc").distinct()
     new = rows.join(seen, "upc", "left_anti").persist()
     try:
         _replace_batch(parse_catalog(new), f"{target}/products", batch_id)
         _replace_batch(new.select("upc"), f"{target}/codes", batch_id)
+        # last: from here on, and only from here on, the delivery counts
+        _replace_batch(spark.createDataFrame([(True,)], "finished boolean"), f"{target}/done", batch_id)
     finally:
         new.unpersist()
 
@@ -59,15 +80,17 @@ def incremental_ingest(
 ) -> StreamingQuery:
     """Run all waiting deliveries of a file stream of raw rows through ``process`` and stop.
 
-    A failing delivery is recorded in ``target/errors`` and does not hold up the next one.
+    A failing delivery is recorded in ``target/errors``, its rows in ``target/failed``, and it does not
+    hold up the next one; ``rerun_failed`` runs it again.
     """
 
     def one_delivery(raw: DataFrame, batch_id: int) -> None:
         try:
             process(raw, target, batch_id)
         except Exception as error:  # noqa: BLE001 - any failure of one delivery
-            failed = raw.sparkSession.createDataFrame([(str(error)[:2000],)], "message string")
+            failed = raw.sparkSession.createDataFrame([(str(error),)], "message string")
             _replace_batch(failed, f"{target}/errors", batch_id)
+            _replace_batch(raw, f"{target}/failed", batch_id)
 
     return (
         stream.writeStream.foreachBatch(one_delivery)
@@ -75,3 +98,21 @@ def incremental_ingest(
         .trigger(availableNow=True)
         .start()
     )
+
+
+def rerun_failed(
+    spark: SparkSession,
+    target: str,
+    process: Callable[[DataFrame, str, int], None] = ingest_batch,
+) -> list[int]:
+    """Run the recorded deliveries again, oldest first; returns those that still fail."""
+    waiting = [r["batch_id"] for r in failed_deliveries(spark, target).select("batch_id").distinct().orderBy("batch_id").collect()]
+    still = []
+    for batch_id in waiting:
+        raw = spark.read.parquet(f"{target}/failed").where(F.col("batch_id") == batch_id).drop("batch_id")
+        try:
+            process(raw, target, batch_id)
+        except Exception as error:  # noqa: BLE001 - any failure of one delivery
+            _replace_batch(spark.createDataFrame([(str(error),)], "message string"), f"{target}/errors", batch_id)
+            still.append(batch_id)
+    return still
