@@ -146,12 +146,12 @@ def direct_image_rows(raw: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
 
 def convert_stats(raw: DataFrame) -> DataFrame:
     """One row: products, import rows, distinct handles and brands."""
-    products = direct_usable(direct_products(raw))
+    products = direct_usable(stored(direct_products(raw), shared_folder(raw.sparkSession), "direct"))
     rows = F.greatest(F.size("images"), F.lit(1))
-    # handles are unique by construction, so their number is the number of products
+    handles = direct_handles(products).agg(F.count_distinct("handle")).scalar()
     return products.agg(
         F.count("*").alias("products"),
         F.coalesce(F.sum(rows), F.lit(0)).alias("import_rows"),
-        F.count("*").alias("unique_handles"),
+        handles.alias("unique_handles"),
         F.count_distinct("brand").alias("brands"),
     )

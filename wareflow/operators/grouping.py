@@ -169,7 +169,10 @@ def name_leaders(nodes: DataFrame, threshold: float = THRESHOLD, block: int = BL
 
 def leader_groups(products: DataFrame, threshold: float = THRESHOLD, block: int = BLOCK) -> DataFrame:
     """Products with ``group_no`` (row number of the group's first row) and ``base_name``."""
-    nodes = stored(name_nodes(products), shared_folder(products.sparkSession), "names")
+    # read twice: for the names, and for the rows in the end
+    folder = shared_folder(products.sparkSession)
+    products = stored(products, folder, "products")
+    nodes = stored(name_nodes(products), folder, "names")
     leaders = name_leaders(nodes, threshold, block)
     base = nodes.select(F.col("node_no").alias("seed_no"), title_case(F.col("base_key")).alias("base_name"))
     by_name = (

@@ -80,7 +80,25 @@ def unique_handles(groups: DataFrame) -> DataFrame:
             .otherwise(F.concat(base, F.lit("-"), (level - 2).cast("string")))
         )
 
-    return _settle(rows, name_at, first_counter=3).select("group_no", "handle")
+    # one row per base; a name made from a base has that base before one of its dashes
+    rows = stored(rows, shared_folder(groups.sparkSession), "bases")
+    counts = rows.groupBy("base").agg(F.count("*").alias("_n"))
+    pieces = F.split("base", "-")
+    heads = F.transform(F.sequence(F.lit(1), F.size(pieces) - 1), lambda k: F.array_join(F.slice(pieces, F.lit(1), k), "-"))
+    longer = counts.where(F.size(pieces) > 1).select("base", F.explode(heads).alias("_head"))
+    known = counts.select(F.col("base").alias("_head"))
+    involved = counts.where("_n > 1").select("base").unionByName(longer.join(known, "_head", "left_semi").select("base")).distinct()
+    settled = _settle_involved(rows, involved, name_at, first_counter=3)
+    return settled.select("group_no", "handle")
+
+
+def _settle_involved(rows: DataFrame, involved: DataFrame, name_at: Callable[[Column], Column], first_counter: int) -> DataFrame:
+    """Rows whose base nobody else can reach keep the name of their level; only the others go through rounds."""
+    folder = shared_folder(rows.sparkSession)
+    involved = stored(involved, folder, "involved")
+    alone = rows.join(involved, "base", "left_anti").withColumn("handle", name_at(F.col("level")))
+    others = stored(rows.join(involved, "base", "left_semi"), folder, "others")
+    return alone if others.isEmpty() else alone.unionByName(_settle(others, name_at, first_counter).select(alone.columns))
 
 
 def unique_handles_counter(rows: DataFrame, base: Column, order: str = "row_no") -> DataFrame:
@@ -94,4 +112,10 @@ def unique_handles_counter(rows: DataFrame, base: Column, order: str = "row_no")
             F.concat(F.col("base"), F.lit("-"), level.cast("string"))
         )
 
-    return _settle(ranked, name_at, first_counter=0).select(F.col("order_no").alias(order), "handle")
+    # families meet only where a base is another one and a number
+    bases = keyed.select("base").distinct()
+    numbered = bases.select("base", F.regexp_extract("base", r"(?s)^(.*)-[0-9]+$", 1).alias("_head")).where("_head <> ''")
+    met = numbered.join(bases.withColumnRenamed("base", "_head"), "_head", "left_semi")
+    involved = met.select(F.explode(F.array("base", "_head")).alias("base")).distinct()
+    settled = _settle_involved(ranked, involved, name_at, first_counter=0)
+    return settled.select(F.col("order_no").alias(order), "handle")

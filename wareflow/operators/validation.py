@@ -56,15 +56,15 @@ def check_category_format(rows: DataFrame) -> DataFrame:
     return wrong.unionByName(none)
 
 
-def check_option_names(rows: DataFrame) -> DataFrame:
-    """Handles whose rows name an option slot differently; the detail lists the slots."""
+def _several_names(slot: int) -> Column:
+    # lowest and highest differ exactly when there are two names; no set is collected
+    name = F.nullif(_text(f"Option{slot} Name"), F.lit(""))
+    return (F.coalesce(F.min(name) != F.max(name), F.lit(False))).alias(f"_{slot}")
 
-    def several(i: int) -> Column:
-        # lowest and highest differ exactly when there are two names; no set is collected
-        name = F.nullif(_text(f"Option{i} Name"), F.lit(""))
-        return (F.coalesce(F.min(name) != F.max(name), F.lit(False))).alias(f"_{i}")
 
-    per_handle = rows.groupBy(_text("Handle").alias("_h")).agg(*[several(i) for i in _SLOTS])
+def check_option_names(rows: DataFrame) -> DataFrame:
+    """Handles whose rows name an option slot differently; the detail lists the slots."""
+    per_handle = rows.groupBy(_text("Handle").alias("_h")).agg(*[_several_names(i) for i in _SLOTS])
     slots = F.concat_ws(",", *[F.when(F.col(f"_{i}"), F.lit(f"Option{i}")) for i in _SLOTS])
     return per_handle.where(" OR ".join(f"_{i}" for i in _SLOTS)).select(
         *_violation("option_names", "error", F.col("_h"), F.lit(None), slots)
@@ -97,16 +97,23 @@ def violations(rows: DataFrame) -> DataFrame:
 
 def validation_report(rows: DataFrame) -> DataFrame:
     """One row: products, rows, errors, warnings, passed. A row counts once however much it lacks."""
-    parts = [
-        rows.agg(F.count_distinct(_text("Handle")).alias("products"), F.count("*").alias("rows")),
-        violations(rows).agg(
-            F.count_if(F.col("severity") == "error").alias("errors"),
-            F.count_if(F.col("severity") == "warning").alias("warnings"),
-        ),
-    ]
-    # two single rows become one
-    both = parts[0].unionByName(parts[1], allowMissingColumns=True)
-    return both.agg(*[F.max(c).alias(c) for c in both.columns]).withColumn("passed", F.col("errors") == 0)
+    # one pass by handle, one by category; the single checks list what is counted here
+    pairs = reduce(Column.__add__, [((_text(f"Option{i} Name") == "") & (_text(f"Option{i} Value") != "")).cast("bigint") for i in _SLOTS])
+    lacking = reduce(Column.__or__, [_text(c) == "" for c in REQUIRED]).cast("bigint")
+    per_handle = rows.groupBy(_text("Handle").alias("_h")).agg(
+        F.count("*").alias("_rows"), F.sum(pairs + lacking).alias("_errors"), *[_several_names(i) for i in _SLOTS]
+    )
+    mixed = reduce(Column.__or__, [F.col(f"_{i}") for i in _SLOTS]).cast("bigint")
+    categories = rows.select(_text("Product Category").alias("_c")).where("_c <> ''").distinct()
+    found = categories.agg(F.struct(F.count("*").alias("n"), F.count_if(~F.contains("_c", F.lit(">"))).alias("wrong")))
+    return (
+        per_handle.agg(
+            F.count("*").alias("products"), F.coalesce(F.sum("_rows"), F.lit(0)).alias("rows"), F.coalesce(F.sum(F.col("_errors") + mixed), F.lit(0)).alias("_found")
+        )
+        .withColumn("_categories", found.scalar())
+        .select("products", "rows", (F.col("_found") + F.col("_categories.wrong")).alias("errors"), F.when(F.col("_categories.n") == 0, 1).otherwise(0).cast("bigint").alias("warnings"))
+        .withColumn("passed", F.col("errors") == 0)
+    )
 
 
 def check_output_sample(rows: DataFrame, sample: int = 10) -> DataFrame:

@@ -19,9 +19,7 @@ from wareflow.sources.tables import read_batches, write_batches
 
 def grouped_products(raw: DataFrame) -> DataFrame:
     """Parsed products with their groups, written once: several later steps start from here."""
-    folder = shared_folder(raw.sparkSession)
-    products = stored(parse_catalog(raw), folder, "products")
-    return stored(leader_groups(products), folder, "members")
+    return stored(leader_groups(parse_catalog(raw)), shared_folder(raw.sparkSession), "members")
 
 
 def groups_of(members: DataFrame) -> DataFrame:
