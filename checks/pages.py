@@ -59,6 +59,7 @@ WHERE src LIKE 'https://%' AND NOT regexp_matches(lower(src), '{_SKIP}') AND NOT
 
 
 def _full_size_sql(url: str) -> str:
+    # Size marks in image addresses
     market, store, other = url, url, url
     for mark in (r"\._AC_[A-Z0-9,_]+", r"\._SR[0-9,_]+", r"\._UL[0-9,_]+", r"\._SL[0-9,_]+", r"\._UX[0-9,_]+", r"\._UY[0-9,_]+", r"\._UF[0-9,_]+"):
         market = f"regexp_replace({market}, '{mark}', '', 'g')"

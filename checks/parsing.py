@@ -13,7 +13,10 @@ from wareflow.functions import cleaning as c
 from wareflow.functions.options import type_from_category
 from wareflow.functions.text import slug
 from wareflow.operators import cleaning, direct
+from wareflow.operators.cleaning import parse_catalog
 from wareflow.operators.layouts import DIRECT_COLUMNS
+from wareflow.operators.shared import shared_folder
+from wareflow.sources.catalog import OPTIONAL, read_direct_catalog, read_products
 
 Query = tuple[Callable[[SparkSession, str], DataFrame], str | None]
 
@@ -90,6 +93,37 @@ def _cells(spark, sf_dir, fn):
     )
 
 
+# products with some fields spoiled
+SPOILED = """SELECT row_no, CASE WHEN row_no % 7 = 0 THEN '' ELSE name END AS name, CASE WHEN row_no % 11 = 0 THEN '' ELSE upc END AS upc,
+  CASE WHEN row_no % 13 = 0 THEN -price ELSE price END AS price, CASE WHEN row_no % 17 = 0 THEN 0 ELSE quantity END AS quantity FROM {prod}"""
+
+
+def _price_lists(s, d, mixed: bool) -> list[str]:
+    """The catalogue as three CSV files in row order: UTF-8, UTF-8 with mark, ISO-8859-1.
+
+    With `mixed`, the second has the other layout and its columns in another order, and none has the
+    Arabic name, which ISO-8859-1 cannot hold; without, all are UTF-8 and have it.
+    """
+    folder, rows = shared_folder(s), view(s, d, "fcat")
+    cuts = rows.select(F.expr("percentile_approx(row_no, array(0.3, 0.7))")).scalar()
+    rows = rows.withColumn("_cuts", cuts)
+    named = {"brand": "PIM | Brand", "upc": "UPC Code", "name": "English Description", "cost": "COST", **OPTIONAL}
+    other = {"tax": "TAX  ", "upc": "UPC Code", "name": "Name", "image_1": "Image 1 URL", "cost": "PRICE", "brand": "PIM | Brand", **OPTIONAL}
+    arabic = {} if mixed else {"name_ar": "Arabic Description"}
+    low, high = F.col("_cuts")[0], F.col("_cuts")[1]
+    parts = [
+        ("a", F.col("row_no") <= low, {**named, **arabic}, "UTF-8", ""),
+        ("b", (F.col("row_no") > low) & (F.col("row_no") <= high), other if mixed else {**named, **arabic}, "UTF-8", "\ufeff"),
+        ("c", F.col("row_no") > high, {**named, **arabic}, "ISO-8859-1" if mixed else "UTF-8", ""),
+    ]
+    for name, test, columns, encoding, mark in parts:
+        own = rows.where(test).coalesce(1).sortWithinPartitions("row_no")
+        cells = [F.col(c).alias(mark + title if i == 0 else title) for i, (c, title) in enumerate(columns.items())]
+        options = {"header": True, "escape": '"', "encoding": encoding, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+        own.select(*cells).write.options(**options).csv(f"{folder}/{name}")
+    return [f"{folder}/{name}" for name, *_ in parts]
+
+
 QUERIES: dict[str, Query] = {
     "parse_catalog": (
         lambda s, d: images_as_text(products(s, d)),
@@ -115,11 +149,19 @@ QUERIES: dict[str, Query] = {
         ),
     ),
     "valid_products": (
-        lambda s, d: products(s, d).select(
+        lambda s, d: s.sql(SPOILED, prod=products(s, d)).select(
             "row_no",
             c.is_valid_product(F.col("name"), F.col("upc"), F.col("price"), F.col("quantity")).alias("valid"),
         ),
-        duck("SELECT row_no, name <> '' AND upc <> '' AND coalesce(price, 0) >= 0 AND quantity > 0 AS valid FROM prod", "prod"),
+        duck(f"SELECT row_no, name <> '' AND upc <> '' AND coalesce(price, 0) >= 0 AND quantity > 0 AS valid FROM ({SPOILED.format(prod='prod')})", "prod"),
+    ),
+    "read_products_files": (
+        lambda s, d: parse_catalog(read_products(s, _price_lists(s, d, mixed=True))).drop("row_no").withColumn("images", F.array_join("images", "|")),
+        duck(f"SELECT {PROD_COLUMNS.removeprefix('row_no, ')} FROM fprod", "fprod"),
+    ),
+    "read_direct_files": (
+        lambda s, d: direct.direct_rows(read_direct_catalog(s, _price_lists(s, d, mixed=False)), ("image_no",)).where("image_no = 0").drop("image_no"),
+        duck(f"SELECT {DIRECT_SELECT} FROM ({DIRECT_DUCK.replace('FROM cat', 'FROM fcat')})", "fcat"),
     ),
     "image_cells_strict": (
         lambda s, d: _cells(s, d, c.image_cells_strict),

@@ -82,7 +82,12 @@ FROM (
 ) WHERE code IS NOT NULL AND nth = 1 AND {filled('name')} IS NOT NULL
 """
 
-# one deletion after the other, in the order of the rules
+FILE_CAT = """
+SELECT row_no, brand, upc, CASE WHEN row_no % 5 = 0 AND name <> '' THEN name || ' é' ELSE name END AS name, name_ar, qty, cost, tax,
+  category, sub_category, image_1, image_2, image_3 FROM {cat}
+"""
+
+# What is cut from names, one deletion after the other, in the order of the rules
 _MARKS = [
     r"\d+\s*(ml|g|oz|kg|l|mg|lb|fl\.oz)", r"\d+\s*pack", r"#?\d+",
     r"\b(black|white|red|blue|green|yellow|pink|purple|brown|gray|grey|beige|nude|clear)\b",
@@ -286,6 +291,9 @@ FROM {lineitem} JOIN {part} ON l_partkey = p_partkey""",
     "wide": CAT.replace("{part}", "{sales}"),
     "wide_imp": IMP.replace("{part}", "{sales}"),
     "prod": (products, PROD_DUCK),
+    # the catalogue as files hold it: some names with a letter beyond ASCII
+    "fcat": FILE_CAT,
+    "fprod": (lambda spark, sf_dir: parse_catalog(view(spark, sf_dir, "fcat")), PROD_DUCK.replace("{cat}", "{fcat}")),
     "based": (_based, BASED_DUCK),
     "groups": SIMPLE_GROUPS,
     "members": (lambda spark, sf_dir: leader_groups(products(spark, sf_dir)), MEMBERS_DUCK),

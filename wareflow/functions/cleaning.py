@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from itertools import product
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -18,7 +16,6 @@ MARKUP = 1.65
 UNKNOWN_BRAND = "Unknown"
 NO_TAX = "No tax info"
 
-_BLANK_OR_NAN = ["", *("".join(letters) for letters in product("nN", "aA", "nN"))]
 _IN_LINE_SPACE = SPACE.replace("]", "&&[^\n]]")
 _URL_LINE = rf"(?dm)^{_IN_LINE_SPACE}*(?:- {_IN_LINE_SPACE}*)?(http(?:[^\n]*[^\n{SPACE[1:]})?){_IN_LINE_SPACE}*$"
 _NUMBER = r"^[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]+)?\z"
@@ -27,7 +24,7 @@ _NUMBER = r"^[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]+)?\z"
 def null_if_missing(col: Column) -> Column:
     """Stripped text, or NULL for blank cells and the usual words for "no value"."""
     text = strip(col)
-    return F.when(~text.isin(_BLANK_OR_NAN) & ~col.isin(MISSING_WORDS), text)
+    return F.when(~F.lower(text).isin("", "nan") & ~col.isin(MISSING_WORDS), text)
 
 
 # The functions below take cells cleaned by ``null_if_missing``; cleaning is a projection of its own,

@@ -30,11 +30,12 @@ RAW_COLUMNS = ["row_no", "brand", "upc", "name", "qty", "cost", *list(OPTIONAL)[
 
 
 def _file_flags(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """(file, utf8): a file is UTF-8 if all its lines are. Lines are checked where they lie."""
+    """(file, utf8, header): a file is UTF-8 if all its lines are. Lines are checked where they lie."""
+    place = F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
     lines = spark.read.text(paths).select(
-        F.col("_metadata.file_path").alias("file"), F.is_valid_utf8("value").alias("ok")
+        F.col("_metadata.file_path").alias("file"), "value", F.is_valid_utf8("value").alias("ok"), place.alias("place")
     )
-    return lines.groupBy("file").agg(F.bool_and("ok").alias("utf8"))
+    return lines.groupBy("file").agg(F.bool_and("ok").alias("utf8"), F.min_by("value", "place").alias("header"))
 
 
 def _read(spark: SparkSession, files: list[str], encoding: str, all_files: list[str]) -> DataFrame:
@@ -49,26 +50,33 @@ def _read(spark: SparkSession, files: list[str], encoding: str, all_files: list[
     return number_rows(df, all_files)
 
 
-def read_catalog(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """All columns of one price list or of several with the same header, plus ``row_no``.
-
-    UTF-8 with or without mark; files with other bytes are read as ISO-8859-1, which takes any byte.
-    Rows are numbered by file path, then by position in the file. Only the file list and one flag
-    per file come to the driver.
-    """
+def _parts(spark: SparkSession, path: str | list[str]) -> list[DataFrame]:
+    """One table for each header and encoding, rows numbered over all files."""
     paths = [path] if isinstance(path, str) else list(path)
-    flags = {row["file"]: row["utf8"] for row in _file_flags(spark, paths).collect()}
+    flags = _file_flags(spark, paths).collect()
     if not flags:
         raise ValueError(f"no rows in {paths}")
-    all_files = sorted(flags)
-    parts = []
-    for wanted, encoding in ((True, "UTF-8"), (False, "ISO-8859-1")):
-        files = [f for f in all_files if flags[f] is wanted]
-        if files:
-            parts.append(_read(spark, files, encoding, all_files))
+    alike: dict[tuple[bool, str], list[str]] = {}
+    for row in sorted(flags, key=lambda r: r["file"]):
+        alike.setdefault((row["utf8"], row["header"]), []).append(row["file"])
+    all_files = sorted(row["file"] for row in flags)
+    return [_read(spark, files, "UTF-8" if utf8 else "ISO-8859-1", all_files) for (utf8, _), files in alike.items()]
+
+
+def _together(parts: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
+def read_catalog(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """All columns of one price list or of several, plus ``row_no``; files may differ in their columns.
+
+    UTF-8 with or without mark; files with other bytes are read as ISO-8859-1, which takes any byte.
+    Rows are numbered by file path, then by position in the file. Only the file list, the header and
+    one flag per file come to the driver.
+    """
+    return _together(_parts(spark, path))
+
+
 def _quoted(name: str) -> Column:
     return F.col(f"`{name}`")
 
@@ -97,14 +105,15 @@ def unify_layout(df: DataFrame, extra: dict[str, str] | None = None) -> DataFram
 
 
 def read_products(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Raw catalogue rows, ready for ``parse_catalog``."""
-    return unify_layout(read_catalog(spark, path))
+    """Raw catalogue rows, ready for ``parse_catalog``; each file may have either layout."""
+    return _together([unify_layout(part) for part in _parts(spark, path)])
 
 
 def read_direct_catalog(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Raw catalogue rows with the Arabic name, ready for ``direct_rows``."""
-    raw = read_catalog(spark, path)
-    missing = {*BASE.values(), *LAYOUTS[0].values()} - set(raw.columns)
-    if missing:
-        raise ValueError(f"the price list lacks the columns {sorted(missing)}")
-    return unify_layout(raw, ARABIC_NAME)
+    parts = _parts(spark, path)
+    for raw in parts:
+        missing = {*BASE.values(), *LAYOUTS[0].values()} - set(raw.columns)
+        if missing:
+            raise ValueError(f"the price list lacks the columns {sorted(missing)}")
+    return _together([unify_layout(raw, ARABIC_NAME) for raw in parts])
