@@ -231,10 +231,9 @@ def _resume(s, d):
     return b.pending_batches(rows, read_batches(s, path)).select("group_no", "batch_no")
 
 
-def _ingest(s, d):
-    """The catalogue delivered as two sets of files, one after the other."""
+def ingest_twice(s, raw):
+    """A catalogue delivered as two sets of files, one after the other."""
     folder = shared_folder(s)
-    raw = cat(s, d)
     half = raw.select(F.expr("percentile_approx(row_no, 0.5)")).scalar()
     for part, test in enumerate((F.col("row_no") <= half, F.col("row_no") > half)):
         raw.where(test).repartitionByRange(2, "row_no").write.mode("append").parquet(f"{folder}/incoming")
@@ -404,7 +403,7 @@ QUERIES: dict[str, Query] = {
         duck("SELECT group_no, CAST(floor((gi - 1) / 20) AS BIGINT) + 1 AS batch_no FROM grp WHERE (CAST(floor((gi - 1) / 20) AS BIGINT) + 1) % 2 = 1", "grp"),
     ),
     "incremental_ingest": (
-        _ingest,
+        lambda s, d: ingest_twice(s, cat(s, d)),
         duck(f"SELECT {', '.join(_INGESTED)} FROM prod", "prod"),
     ),
     "ingest_after_failure": (
