@@ -18,12 +18,15 @@ def _simple(s, d):
     return view(s, d, "groups")
 
 
-def _base_pairs(s, d):
-    """Distinct base names of the same brand, each with every later one of another text."""
+def _close_pairs(s, d):
+    """Base names of a brand with the later ones whose match ratio reaches the limit; bounds come first."""
     bases = g.name_nodes(products(s, d)).groupBy("brand", "base_key").agg(F.min("node_no").alias("first"))
-    a = bases.select("brand", F.col("base_key").alias("x"), F.col("first").alias("_a"))
-    b = bases.select("brand", F.col("base_key").alias("y"), F.col("first").alias("_b"))
-    return a.join(b, "brand").where("_a < _b").select("x", "y").distinct()
+    bases = bases.withColumn("letters", n.letter_counts(F.col("base_key")))
+    a = bases.select("brand", F.col("base_key").alias("x"), F.col("first").alias("_a"), F.col("letters").alias("_p"))
+    b = bases.select("brand", F.col("base_key").alias("y"), F.col("first").alias("_b"), F.col("letters").alias("_q"))
+    possible = n.ratio_can_reach(F.col("x"), F.col("y"), F.col("_p"), F.col("_q"), g.THRESHOLD)
+    pairs = a.join(b, "brand").where((F.col("_a") < F.col("_b")) & possible).select("x", "y").distinct()
+    return pairs.select("x", "y", F.round(g.sequence_ratio("x", "y"), 9).alias("ratio")).where(F.col("ratio") >= g.THRESHOLD)
 
 
 _BASE_PAIRS_DUCK = """SELECT DISTINCT a.base_key AS x, b.base_key AS y FROM
@@ -32,12 +35,12 @@ _BASE_PAIRS_DUCK = """SELECT DISTINCT a.base_key AS x, b.base_key AS y FROM
 
 
 def _text_pairs(s, d):
-    """First row of each brand against all names of the brand."""
+    """First name of each group with the later names of its brand that the text rules join to it."""
     nodes = g.name_nodes(products(s, d))
-    firsts = nodes.groupBy("brand").agg(F.min_by("base_key", "node_no").alias("base"))
-    return nodes.join(firsts, "brand").select(
-        "node_no", "base", n.similar_by_text(F.col("base"), F.col("name_key")).alias("similar")
-    )
+    seeds = members(s, d).select(F.col("group_no").alias("node_no")).distinct().join(nodes, "node_no")
+    seeds = seeds.select("brand", F.col("node_no").alias("seed_no"), F.col("base_key").alias("base"))
+    joined = nodes.join(seeds, "brand").where((F.col("node_no") > F.col("seed_no")) & n.similar_by_text(F.col("base"), F.col("name_key")))
+    return joined.select("seed_no", "node_no")
 
 
 def _ordered_groups(s, d):
@@ -55,9 +58,9 @@ QUERIES: dict[str, Query] = {
         duck("SELECT row_no, base_name FROM based", "based"),
     ),
     "sequence_ratio_pairs": (
-        lambda s, d: _base_pairs(s, d).select("x", "y", F.round(g.sequence_ratio("x", "y"), 9).alias("ratio")),
+        _close_pairs,
         duck(
-            "WITH " + ratio_ctes(_BASE_PAIRS_DUCK).format() + " SELECT x, y, round(ratio, 9) AS ratio FROM ratios",
+            "WITH " + ratio_ctes(_BASE_PAIRS_DUCK).format() + f" SELECT x, y, round(ratio, 9) AS ratio FROM ratios WHERE round(ratio, 9) >= {g.THRESHOLD}",
             "based",
             recursive=True,
         ),
@@ -66,9 +69,9 @@ QUERIES: dict[str, Query] = {
         _text_pairs,
         duck(
             f"""WITH nodes AS (SELECT brand, name, min(row_no) AS node_no, any_value(base_key) AS bk FROM based GROUP BY brand, name),
-            firsts AS (SELECT brand, arg_min(bk, node_no) AS base FROM nodes GROUP BY brand)
-            SELECT node_no, base, {text_rule('base', 'lower(name)')} AS similar FROM nodes JOIN firsts USING (brand)""",
-            "based",
+            seeds AS (SELECT brand, node_no AS seed_no, bk AS base FROM nodes WHERE node_no IN (SELECT group_no FROM members))
+            SELECT seed_no, node_no FROM nodes JOIN seeds USING (brand) WHERE node_no > seed_no AND {text_rule('base', 'lower(name)')}""",
+            "based", "members",
         ),
     ),
     "leader_groups": (

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from checks.answers import BATCH_DUCK, OPTIONS_DUCK
 from checks.grouping import members
-from checks.parsing import MARKED_DUCK, Query, cat, slug_sql
+from checks.parsing import MARKED_DUCK, PROD_COLUMNS, Query, cat, images_as_text, slug_sql
 from checks.views import VIEWS, duck, products, view
 from wareflow.functions.options import normal_option_name
 from wareflow.functions.text import number_text
@@ -255,7 +255,13 @@ def _limits(s, d):
         F.repeat(F.col("p_name"), F.when(F.col("p_partkey") % 17 == 0, 40).otherwise(1)).alias("handle"),
         F.repeat(F.col("p_name"), F.when(F.col("p_partkey") % 19 == 0, 40).otherwise(1)).alias("title"),
         F.repeat(F.col("p_name"), F.when(F.col("p_partkey") % 23 == 0, 600).otherwise(1)).alias("description"),
-        F.split(F.repeat(F.concat("p_type", F.lit(",")), (F.col("p_partkey") % 13).cast("int")), ",").alias("tags"),
+        F.split(
+            F.concat(
+                F.when(F.col("p_partkey") % 37 == 0, F.concat(F.repeat("p_type", 4), F.lit(","))).otherwise(F.lit("")),
+                F.repeat(F.concat("p_type", F.lit(",")), (F.col("p_partkey") % 13).cast("int")),
+            ),
+            ",",
+        ).alias("tags"),
         (F.when(F.col("p_partkey") % 29 == 0, -1.0).when(F.col("p_partkey") % 31 == 0, 2000.0).otherwise(1.0) * F.col("p_retailprice")).alias("price"),
         (F.col("p_partkey") % 5).alias("n_images"),
     )
@@ -263,11 +269,11 @@ def _limits(s, d):
 
 _LIMITS_DUCK = """WITH r AS (SELECT p_partkey AS product_no,
   length(p_name) * CASE WHEN p_partkey % 17 = 0 THEN 40 ELSE 1 END AS h, length(p_name) * CASE WHEN p_partkey % 19 = 0 THEN 40 ELSE 1 END AS t,
-  length(p_name) * CASE WHEN p_partkey % 23 = 0 THEN 600 ELSE 1 END AS d, p_partkey % 13 + 1 AS n,
+  length(p_name) * CASE WHEN p_partkey % 23 = 0 THEN 600 ELSE 1 END AS d, p_partkey % 13 + 1 + CASE WHEN p_partkey % 37 = 0 THEN 1 ELSE 0 END AS n, p_partkey % 37 = 0 AND length(p_type) * 4 > 50 AS long_tag,
   CASE WHEN p_partkey % 29 = 0 THEN -1.0 WHEN p_partkey % 31 = 0 THEN 2000.0 ELSE 1.0 END * p_retailprice AS price, p_partkey % 5 AS k FROM part)
 SELECT product_no, rule FROM (SELECT product_no, unnest([
   CASE WHEN h > 255 THEN 'handle_max_length' END, CASE WHEN t > 255 THEN 'title_max_length' END, CASE WHEN d > 5000 THEN 'description_max_length' END,
-  CASE WHEN n < 6 THEN 'tag_min_count' END, CASE WHEN n > 10 THEN 'tag_max_count' END, CASE WHEN price < 0 THEN 'price_min' END,
+  CASE WHEN long_tag THEN 'tag_max_length' END, CASE WHEN n < 6 THEN 'tag_min_count' END, CASE WHEN n > 10 THEN 'tag_max_count' END, CASE WHEN price < 0 THEN 'price_min' END,
   CASE WHEN price > 999999 THEN 'price_max' END, CASE WHEN k > 3 THEN 'max_images' END]) AS rule FROM r) WHERE rule IS NOT NULL"""
 
 CATEGORY_V = """SELECT 'category_format' AS rule, 'error' AS severity, CAST(NULL AS VARCHAR) AS handle, CAST(NULL AS BIGINT) AS row_no, c AS detail
@@ -358,8 +364,8 @@ QUERIES: dict[str, Query] = {
         ),
     ),
     "global_row_index": (
-        lambda s, d: global_row_index(products(s, d).select("row_no"), "row_no", chunk=256),
-        duck("SELECT row_no, row_number() OVER (ORDER BY row_no) AS row_index FROM prod", "prod"),
+        lambda s, d: images_as_text(global_row_index(products(s, d), "row_no", chunk=256)),
+        duck(f"SELECT {PROD_COLUMNS}, row_number() OVER (ORDER BY row_no) AS row_index FROM prod", "prod"),
     ),
     "assign_batches": (
         lambda s, d: b.assign_batches(groups_of(members(s, d)), 20).select("group_no", "batch_no"),
@@ -373,11 +379,11 @@ QUERIES: dict[str, Query] = {
         _FILES_DUCK + f"SELECT group_index, line_no, batch_no, batch_row, CAST(floor((batch_row - 1) / 120) AS BIGINT) + 1 AS file_no, {_FILE_NAME.format(m=120)} AS file_name FROM placed"
     )),
     "split_catalogue": (
-        lambda s, d: b.split_catalogue(products(s, d).select("row_no"), "row_no", 500),
+        lambda s, d: images_as_text(b.split_catalogue(products(s, d), "row_no", 500)),
         duck(
-            """SELECT row_no, r AS file_row, CAST(floor((r - 1) / 500) AS BIGINT) + 1 AS file_no,
+            f"""SELECT {PROD_COLUMNS}, r AS file_row, CAST(floor((r - 1) / 500) AS BIGINT) + 1 AS file_no,
             'products' || CASE WHEN n > 500 THEN '_part' || lpad(CAST(CAST(floor((r - 1) / 500) AS BIGINT) + 1 AS VARCHAR), 3, '0') ELSE '' END || '.csv' AS file_name
-            FROM (SELECT row_no, row_number() OVER (ORDER BY row_no) AS r, count(*) OVER () AS n FROM prod)""",
+            FROM (SELECT *, row_number() OVER (ORDER BY row_no) AS r, count(*) OVER () AS n FROM prod)""",
             "prod",
         ),
     ),
@@ -437,6 +443,10 @@ QUERIES: dict[str, Query] = {
         ),
     ),
     "check_category_format": (lambda s, d: v.check_category_format(imp(s, d)), duck(CATEGORY_V, "imp")),
+    "check_category_missing": (
+        lambda s, d: v.check_category_format(imp(s, d).withColumn("Product Category", F.lit(""))),
+        "SELECT 'category_format' AS rule, 'warning' AS severity, CAST(NULL AS VARCHAR) AS handle, CAST(NULL AS BIGINT) AS row_no, 'no product categories' AS detail FROM part HAVING count(*) > 0",
+    ),
     "check_option_names": (lambda s, d: v.check_option_names(imp(s, d)), duck(OPTION_NAMES_V, "imp")),
     "check_option_pairs": (lambda s, d: v.check_option_pairs(imp(s, d)), duck(OPTION_PAIRS_V, "imp")),
     "check_required": (lambda s, d: v.check_required(imp(s, d)), duck(REQUIRED_V, "imp")),

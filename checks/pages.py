@@ -9,6 +9,8 @@ from checks.views import duck, view
 from wareflow.functions import images as im
 from wareflow.functions import urls as u
 from wareflow.operators.search import pick_url, query_rows
+from wareflow.operators.shared import shared_folder
+from wareflow.sources.tables import read_pages
 
 
 def _part(s, d):
@@ -86,6 +88,21 @@ def _sources(s, d):
     )
 
 
+def _stored_page_images(s, d):
+    """Pages written as a table with more columns, read back as (url, html)."""
+    path, pages = f"{shared_folder(s)}/pages", view(s, d, "img")
+    pages.write.parquet(path)
+    return (
+        read_pages(s, path)
+        .join(pages.select("url", "product_name"), "url")
+        .select(
+            "url",
+            F.size(im.img_attributes(im.img_tags(F.col("html")))).alias("n_images"),
+            F.array_join(im.extract_images(F.col("url"), F.col("html"), F.col("product_name")), "|").alias("images"),
+        )
+    )
+
+
 QUERIES: dict[str, Query] = {
     "search_queries": (
         lambda s, d: query_rows(_as_products(s, d)),
@@ -160,15 +177,12 @@ QUERIES: dict[str, Query] = {
         ),
     ),
     "page_images": (
-        lambda s, d: view(s, d, "pages").select(
-            "page_id", F.size(im.img_attributes(im.img_tags(F.col("html")))).alias("n_images"),
-            F.array_join(im.extract_images(F.col("url"), F.col("html"), F.lit("product")), "|").alias("images"),
+        _stored_page_images,
+        duck(
+            f"""WITH counted AS (SELECT page_id, CAST(count(*) AS INTEGER) AS n FROM ({TAGS_DUCK}) GROUP BY page_id)
+            SELECT i.url, coalesce(any_value(c.n), 0) AS n_images, coalesce(string_agg({_full_size_sql('src')}, '|' ORDER BY nth), '') AS images
+            FROM img i LEFT JOIN counted c USING (page_id) LEFT JOIN ({RANKED_DUCK}) r ON r.page_id = i.page_id AND nth <= 3 GROUP BY i.page_id, i.url""",
+            "img",
         ),
-        None,
     ),
 }
-# the given pages hold no image tags, so every page must come back with none
-QUERIES["page_images"] = (
-    QUERIES["page_images"][0],
-    "SELECT page_id, CAST(len(regexp_extract_all(html, '<img([^>]+)>', 1, 'i')) AS INTEGER) AS n_images, '' AS images FROM pages",
-)
