@@ -14,6 +14,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -73,6 +74,22 @@ def map_columns(
     return given.mapInArrow(run, schema)
 
 
+def packed_texts(df: DataFrame, text: str, keeps: list[str], name: str = "packed") -> DataFrame:
+    """Columns `keeps` of `df` with each text compressed, for texts that must be shuffled."""
+
+    def pack(texts: pa.Array) -> list:
+        squeeze = zstandard.ZstdCompressor(level=3).compress
+        return [pa.array([None if t is None else squeeze(t.encode()) for t in texts.to_pylist()], pa.binary())]
+
+    return map_columns(df, pack, [text], keeps, f"{name} binary")
+
+
+def unpacked(column: pa.Array) -> pa.Array:
+    expand = zstandard.ZstdDecompressor().decompress
+    raw = pa.array([None if p is None else expand(p) for p in column.to_pylist()], pa.large_binary())
+    return raw.cast(pa.large_string())
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Spreads every bit of 64-bit numbers over all bits, one to one."""
     x = (x ^ (x >> _U(30))) * _U(0xBF58476D1CE4E5B9)

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wareflow.llm.arrays import PLAIN, WORD_BASE, Words, find_words, map_columns, quoted, range_hashes, set_aside, text_chunks
+from wareflow.llm.arrays import PLAIN, WORD_BASE, Words, find_words, map_columns, quoted, packed_texts, range_hashes, set_aside, text_chunks, unpacked
 from wareflow.operators.shared import shared_folder, stored
 
 CHUNK_WORDS = 64
@@ -159,7 +159,7 @@ def _candidates(joined: DataFrame, window: int) -> DataFrame:
     def run(batches):
         for batch in batches:
             ids, marks = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            for lo, hi, data, offsets in text_chunks(batch.column(2)):
+            for lo, hi, data, offsets in text_chunks(unpacked(batch.column(2))):
                 wanted = [batch.column(3)[i].values for i in range(lo, hi)]
                 if not any(x is not None and len(x) for x in wanted):
                     continue
@@ -182,11 +182,11 @@ def _candidates(joined: DataFrame, window: int) -> DataFrame:
                 columns = [h1, h2, ids[row + lo], marks[row + lo], (at - w.words.first[row]).astype(np.int32)]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["h1", "h2", "id", "mark", "start"])
 
-    return joined.select("id", "mark", "text", "small", "settled").mapInArrow(run, "h1 bigint, h2 int, id bigint, mark int, start int")
+    return joined.select("id", "mark", "packed", "small", "settled").mapInArrow(run, "h1 bigint, h2 int, id bigint, mark int, start int")
 
 
 def _found(keyed: DataFrame, window: int) -> DataFrame:
-    """`keyed` with settled (starts of chunks) and later (starts of windows) that also start earlier."""
+    """(id, mark, packed text) with settled (starts of chunks) and later (starts of windows) that also start earlier."""
     folder = shared_folder(keyed.sparkSession)
     repeated = _small_windows(keyed, window).groupBy("small").agg(F.sum("n").alias("n")).where("n > 1").select("small")
     repeated = stored(repeated, folder, "small")
@@ -197,11 +197,12 @@ def _found(keyed: DataFrame, window: int) -> DataFrame:
     marks = small.select("id", "mark", "small", none.alias("start")).unionByName(settled.withColumn("small", F.lit(None).cast("bigint")))
     marks = marks.groupBy("id", "mark").agg(F.collect_set("small").alias("small"), F.collect_set("start").alias("settled"))
     # both joins with the texts are outer ones on the same columns, so the texts are shuffled once
-    candidates = _candidates(keyed.join(marks, ["id", "mark"], "left"), window)
+    texts = packed_texts(keyed, "text", ["id", "mark"])
+    candidates = _candidates(texts.join(marks, ["id", "mark"], "left"), window)
     later = _later(candidates)
     spans = later.withColumn("chunk", none).unionByName(settled.select("id", "mark", none.alias("start"), F.col("start").alias("chunk")))
     spans = spans.groupBy("id", "mark").agg(F.collect_set("start").alias("later"), F.collect_set("chunk").alias("settled"))
-    return keyed.join(spans, ["id", "mark"], "left")
+    return texts.join(spans, ["id", "mark"], "left")
 
 
 def _removed(w: _Windows, later: list, settled: list) -> np.ndarray:
@@ -228,7 +229,7 @@ def _apply(docs: DataFrame, window: int, doc_id: str, text: str, cut: bool) -> D
 
     def run(texts: pa.Array, later: pa.Array, settled: pa.Array) -> list:
         n_words, n_removed, out = [], [], []
-        for lo, hi, data, offsets in text_chunks(texts):
+        for lo, hi, data, offsets in text_chunks(unpacked(texts)):
             w = _Windows(data, offsets, window)
             gone = _removed(w, [later[i].values for i in range(lo, hi)], [settled[i].values for i in range(lo, hi)])
             totals = np.concatenate([[0], np.cumsum(gone)])
@@ -246,7 +247,7 @@ def _apply(docs: DataFrame, window: int, doc_id: str, text: str, cut: bool) -> D
         return [np.concatenate([np.zeros(0, np.int64), *n_words]), np.concatenate([np.zeros(0, np.int64), *n_removed]), pa.array(out, pa.string())]
 
     keyed = _keyed(docs, doc_id, text)
-    return map_columns(_found(keyed, window), run, ["text", "later", "settled"], ["id", "mark"], "n_words bigint, n_removed bigint, result string")
+    return map_columns(_found(keyed, window), run, ["packed", "later", "settled"], ["id", "mark"], "n_words bigint, n_removed bigint, result string")
 
 
 def _without(raw: bytes, w: _Windows, a: int, b: int, gone: np.ndarray, lo: int, hi: int) -> str:
