@@ -104,9 +104,8 @@ def linked(rows, length, similar):
     return sorted((i, len(s), find(i)) for i, s in sets.items())
 
 
-@pytest.mark.parametrize("length,similar,leaf", [(4, 85, 32), (5, 80, 32), (2, 66, 1)])
-def test_jaccard_join(spark, length, similar, leaf, monkeypatch):
-    monkeypatch.setattr(jaccard_join, "LEAF", leaf)
+@pytest.mark.parametrize("length,similar", [(4, 85), (5, 80), (2, 66)])
+def test_jaccard_join(spark, length, similar):
     rows = corpus(similar)
     # chains of close texts: far ends are no pair, so regions must be split
     base = [f"c{i}" for i in range(60)]

@@ -10,9 +10,10 @@
 3. The distance of every member to its pivot is computed. Members within the radius are linked to it.
    Regions whose members are now all in one component are done: this is how large groups of copies
    end, after one comparison for each copy.
-4. The others are split again. By the triangle inequality two members x, y of the region of p can only
-   link if |d(x,p) - d(y,p)| <= radius; only such members in different components are compared. Small
-   regions do so at once, larger ones take new pivots, twice as many each round, until none is left.
+4. The others are split again, by set size. By the triangle inequality two members x, y of the region of
+   p can only link if |d(x,p) - d(y,p)| <= radius, and only if no more bits of their parity sketches
+   differ than shingles may (an exact lower bound of the distance). The pairs that are left, all of
+   different components, are compared in full; there are few that do not link.
 
 Links are followed by large-star and small-star steps. No pair of equal sets and no pair inside a
 finished region is ever made, and no step needs the members of a region in one task.
@@ -28,13 +29,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wareflow.llm.arrays import FOLDED, WORD_BASE, find_words, map_columns, mix, quoted, range_hashes, text_chunks
 from wareflow.operators.shared import shared_folder, stored
 
-LEAF = 32
 GROWTH = 1.6
 _U = np.uint64
 
@@ -65,6 +65,16 @@ class Cuts:
         while self.tops[-1] < 1 << 40:
             self.tops.append(max(self.tops[-1] + 1, int(self.tops[-1] * growth)))
 
+    def most_apart(self, size_class: int) -> int:
+        """Shingles in which a pair of the class can differ at most."""
+        return 2 * self.tops[size_class] * (100 - self.similar) // (100 + self.similar)
+
+    def classes(self, n: int) -> list[int]:
+        """Size classes in which a set of `n` shingles can meet another; none where only equal sets link."""
+        lowest = int(np.searchsorted(self.tops, n))
+        highest = int(np.searchsorted(self.tops, n * 100 // self.similar))
+        return [c for c in range(lowest, highest + 1) if self.most_apart(c)] if n else []
+
     def signatures(self, shingles: np.ndarray) -> np.ndarray:
         """One hash for each part that is not empty.
 
@@ -73,14 +83,9 @@ class Cuts:
         than k parts that are not empty, one of these is equal in both; each set uses every cut up to
         the first for which it has.
         """
-        n, out = len(shingles), []
-        lowest = int(np.searchsorted(self.tops, n))
-        highest = int(np.searchsorted(self.tops, n * 100 // self.similar))
-        spread = mix(shingles)
-        for size_class in range(lowest, highest + 1):
-            k = 2 * self.tops[size_class] * (100 - self.similar) // (100 + self.similar)
-            if k == 0:
-                continue  # only equal sets link
+        out, spread = [], mix(shingles)
+        for size_class in self.classes(len(shingles)):
+            k = self.most_apart(size_class)
             parts, level = k + 1 + (k + 7) // 8, 0
             while True:
                 part = ((shingles >> _U(32)) * _U(parts)) >> _U(32)
@@ -166,7 +171,7 @@ def components(links: DataFrame, folder: str) -> DataFrame:
     """(node, component): every node of `links` (a, b) with the smallest node reachable from it."""
     edges = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct()
     edges = stored(edges, folder, "edges-0")
-    turn, before = 0, None
+    turn = 0
     while True:
         # large star: larger neighbours of u go to the smallest of u's neighbourhood
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -178,10 +183,11 @@ def components(links: DataFrame, folder: str) -> DataFrame:
         moved = small.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(lower.select(F.bitwise_not("u").alias("a"), F.col("m").alias("b")))
         turn += 1
         edges = stored(moved.where("a <> b").distinct(), folder, f"edges-{turn}")
-        after = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
-        if after == before:
+        # done when every node has one edge, and none that is pointed at points on
+        below = edges.groupBy(F.bitwise_not("a").alias("u")).agg(F.count("*").alias("n"))
+        pointed = edges.select(F.bitwise_not("b").alias("u")).distinct().withColumn("hit", F.lit(True))
+        if below.join(pointed, "u", "left").where("n > 1 OR hit").isEmpty():
             break
-        before = after
     return edges.groupBy("a").agg(F.min("b").alias("component")).withColumnRenamed("a", "node")
 
 
@@ -194,32 +200,61 @@ def _close(similar: int):
     return F.col("both") * 100 >= F.lit(similar) * F.col("either")
 
 
+def _sketches(texts: DataFrame, length: int, similar: int) -> DataFrame:
+    """(id, n, size_class, parity): for each size class of a set, the parities of its counts per hash bucket.
+
+    Every shingle by which two sets differ flips one bit, so the bits that differ are at most the
+    shingles that do. There are about as many bits as shingles in the largest set of the class.
+    """
+    cuts = Cuts(similar)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows: list[tuple] = []
+            for number, s in zip(batch.column(0).to_pylist(), shingle_sets(batch.column(1), length), strict=True):
+                for size_class in cuts.classes(len(s)):
+                    bits = max(6, (cuts.tops[size_class] - 1).bit_length())
+                    odd = np.bincount((s >> _U(64 - bits)).astype(np.int64), minlength=1 << bits) & 1
+                    rows.append((number, len(s), size_class, np.packbits(odd.astype(np.uint8)).view(np.int64)))
+            if rows:
+                kinds = (pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64()))
+                columns = [pa.array(list(c), k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
+                yield pa.RecordBatch.from_arrays(columns, names=["id", "n", "size_class", "parity"])
+
+    return texts.select("id", "text").mapInArrow(run, "id bigint, n bigint, size_class int, parity array<bigint>")
+
+
 def _split_regions(regions: DataFrame, texts: DataFrame, links: DataFrame, labels: DataFrame, length: int, similar: int, folder: str) -> DataFrame:
-    """Links between members of one region that are in different components so far; returns all links."""
+    """Follows the links between members of one region that are in different components so far; returns the new labels."""
     far = F.lit(1) - F.col("both") / F.col("either")
     pivots = regions.select("pivot").distinct().select(F.col("pivot").alias("x"), "pivot", F.lit(0.0).alias("far"))
     members = _labelled(regions.select("x", "pivot", far.alias("far")).unionByName(pivots), labels, "x", "component")
-    open_regions = members.groupBy("pivot").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size"))
-    open_regions = stored(open_regions.where("low < high").select("pivot", "size"), folder, "open")
-    ranked = members.select("x", "pivot", "far").join(open_regions, "pivot")
-    ranked = stored(ranked.withColumn("rank", F.row_number().over(Window.partitionBy("pivot").orderBy("x"))), folder, "ranked")
-    largest = ranked.agg(F.max("size")).first()[0] or 0
-    low, high, turn = 0, LEAF, 0
-    radius = 1 - similar / 100
-    while low < largest:
-        now = _labelled(ranked, labels, "x", "component")
-        chosen = now.where((F.col("rank") > low) & (F.col("rank") <= high))
-        chosen = chosen.select("pivot", F.col("x").alias("y"), F.col("far").alias("far_y"), F.col("rank").alias("rank_y"), F.col("component").alias("other"))
-        window = F.abs(F.col("far") - F.col("far_y")) <= radius + 1e-9
-        pairs = now.join(chosen, "pivot").where((F.col("rank") > F.col("rank_y")) & (F.col("component") != F.col("other")) & window)
-        pairs = stored(pairs.select("x", F.col("y").alias("pivot")).distinct(), folder, f"pairs-{turn}")
-        found = _overlaps(pairs, texts, length).where(_close(similar)).select(F.col("x").alias("a"), F.col("pivot").alias("b"))
-        found = stored(found, folder, f"found-{turn}")
-        if found.first() is not None:
-            links = links.unionByName(found)
-            labels = components(links, f"{folder}/turn-{turn}")
-        low, high, turn = high, high * 3, turn + 1
-    return links
+    members = stored(members, folder, "members")
+    unfinished = members.groupBy("pivot").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
+    unfinished = stored(unfinished.select("pivot"), folder, "open")
+    if unfinished.isEmpty():
+        return labels
+    sketches = stored(_sketches(texts, length, similar), folder, "sketches").withColumnRenamed("id", "x")
+    rows = members.join(unfinished, "pivot", "left_semi").join(sketches, "x")
+    rows = stored(rows.select("pivot", "size_class", "x", "n", "parity", "far", "component"), folder, "split")
+    other = rows.select("pivot", "size_class", *[F.col(c).alias(f"{c}_y") for c in ("x", "n", "parity", "far", "component")])
+    bits = F.aggregate(F.zip_with("parity", "parity_y", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda total, k: total + k)
+    possible = (
+        (F.col("x") < F.col("x_y"))
+        & (F.col("component") != F.col("component_y"))
+        & (F.least("n", "n_y") * 100 >= F.lit(similar) * F.greatest("n", "n_y"))
+        & (F.abs(F.col("far") - F.col("far_y")) <= 1 - similar / 100 + 1e-9)
+        & (bits * (100 + similar) <= (F.col("n") + F.col("n_y")) * (100 - similar))
+    )
+    pairs = rows.join(other, ["pivot", "size_class"]).where(possible)
+    pairs = stored(pairs.select("x", F.col("x_y").alias("pivot")).distinct(), folder, "pairs")
+    if pairs.isEmpty():
+        return labels
+    found = _overlaps(pairs, texts, length).where(_close(similar)).select(F.col("x").alias("a"), F.col("pivot").alias("b"))
+    found = stored(found, folder, "found")
+    if found.isEmpty():
+        return labels
+    return stored(components(links.unionByName(found), f"{folder}/second"), folder, "labels-2")
 
 
 def link_documents(docs: DataFrame, shingle: int = 4, similar: int = 85, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -242,9 +277,8 @@ def link_documents(docs: DataFrame, shingle: int = 4, similar: int = 85, doc_id:
     # rows of one id and equal sets are one document each
     links = regions.where(_close(similar)).select(F.col("x").alias("a"), F.col("pivot").alias("b"))
     links = stored(links.unionByName(classes.where("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b")).distinct()), folder, "links")
-    labels = components(links, f"{folder}/first")
-    links = _split_regions(regions, texts, links, labels, shingle, similar, folder)
-    labels = components(links, f"{folder}/last")
+    labels = stored(components(links, f"{folder}/first"), folder, "labels")
+    labels = _split_regions(regions, texts, links, labels, shingle, similar, folder)
     joined = _labelled(keys, labels, "id", "component_id")
     return joined.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), "component_id")
 
