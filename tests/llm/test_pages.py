@@ -47,12 +47,14 @@ def test_bloom_filter_lets_all_listed_through(spark):
     assert sorted(r["page_id"] for r in got.where("verdict = 'block'").collect()) == list(range(3000))
 
 
-def test_url_query_against_duckdb(spark):
+@pytest.mark.parametrize("name", [n for n, (_, sql) in queries.QUERIES.items() if sql])
+def test_queries_against_duckdb(spark, name):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW pages AS SELECT * FROM '{SF}/pages.parquet'")
-    run, sql = queries.QUERIES["op1_url_filter"]
+    for table in ("pages", "documents", "benchmark"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
+    run, sql = queries.QUERIES[name]
     df = run(spark, SF)
-    assert sorted(map(tuple, df.collect()), key=repr) == sorted(con.execute(f"SELECT page_id, host, path, rule, verdict FROM ({sql})").fetchall(), key=repr)
+    assert sorted(map(tuple, df.collect()), key=repr) == sorted(con.execute(f"SELECT {', '.join(df.columns)} FROM ({sql})").fetchall(), key=repr)
 
 
 ARTICLE = "<article><h1>Title &amp; more</h1><p>First   <b>bold</b>\n text<br>after break<p>Second &lt;x&gt; &#233;</p><ul><li>one<li>two</ul></article>"

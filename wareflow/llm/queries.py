@@ -120,13 +120,54 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_FOLDED = f"translate(text, '{UPPER}', '{LOWER}')"
+_PLAIN_WORDS = r"coalesce(regexp_extract_all({}, '[^\x20\x09-\x0D]+'), [])"
+_LETTER_WORDS = r"coalesce(regexp_extract_all({}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), [])"
+
+OP2_SQL = f"""
+WITH d AS (SELECT doc_id, {_PLAIN_WORDS.format('text')} AS w FROM documents),
+windows AS (SELECT doc_id, p, w[p:p + 19] AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS p FROM d WHERE len(w) >= 20)),
+later AS (SELECT doc_id, p FROM (SELECT doc_id, p, row_number() OVER (PARTITION BY g ORDER BY doc_id, p) AS nth FROM windows) WHERE nth > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(p, p + 20)) AS i FROM later),
+words AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM d),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS t, count(*) AS n FROM words ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
+
+OP5_SQL = f"""
+WITH RECURSIVE d AS (SELECT doc_id, {_PLAIN_WORDS.format(_FOLDED)} AS w FROM documents),
+shingles AS (SELECT DISTINCT doc_id, w[p:p + 3] AS g FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 2))) AS p FROM d WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS inboth FROM shingles a JOIN shingles b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (SELECT x, y FROM shared JOIN sizes s ON s.doc_id = x JOIN sizes t ON t.doc_id = y WHERE 100 * inboth >= 85 * (s.n + t.n - inboth)),
+reach(x, y) AS (SELECT doc_id, doc_id FROM d UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x)
+SELECT d.doc_id, coalesce(any_value(s.n), 0) AS n_shingles, min(r.y) AS component_id
+FROM d JOIN reach r ON r.x = d.doc_id LEFT JOIN sizes s ON s.doc_id = d.doc_id GROUP BY d.doc_id
+"""
+
+OP6_SQL = f"""
+WITH d AS (SELECT doc_id, {_LETTER_WORDS.format(_FOLDED)} AS w FROM documents),
+b AS (SELECT CAST(item_id AS VARCHAR) AS item, {_LETTER_WORDS.format(_FOLDED)} AS w FROM benchmark),
+wanted AS (SELECT DISTINCT item, w[p:p + 9] AS g FROM (SELECT item, w, unnest(range(1, greatest(len(w) - 8, 2))) AS p FROM b WHERE len(w) > 0)),
+lengths AS (SELECT DISTINCT len(g) AS m FROM wanted),
+windows AS (SELECT doc_id, m, p, w[p:p + m - 1] AS g FROM (SELECT doc_id, w, m, unnest(range(1, len(w) - m + 2)) AS p FROM d JOIN lengths ON len(w) >= m)),
+hits AS (SELECT doc_id, m, p, item FROM windows JOIN wanted USING (g)),
+counted AS (SELECT doc_id, count(DISTINCT i) AS n_hit FROM (SELECT doc_id, unnest(range(p, p + m)) AS i FROM hits) GROUP BY doc_id),
+named AS (SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item FROM hits) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN counted USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
+
+
 QUERIES: dict[str, Query] = {
     "op1_url_filter": (op1, OP1_SQL),
-    "op2_substring_dedup": (op2, None),
+    "op2_substring_dedup": (op2, OP2_SQL),
     "op3_language_id": (op3, None),
     "op4_bpe": (op4, None),
-    "op5_jaccard_join": (op5, None),
-    "op6_decontamination": (op6, None),
+    "op5_jaccard_join": (op5, OP5_SQL),
+    "op6_decontamination": (op6, OP6_SQL),
     "op7_html_extraction": (op7, None),
     "op8_fingerprints": (op8, None),
     "op9_token_counts": (op9, None),
