@@ -30,7 +30,7 @@ from wareflow.llm.arrays import map_columns, process_cache, quoted, text_chunks
 from wareflow.llm.bpe import LETTER, NUMBER, Vocabulary, vocabulary
 
 SPAN = 64
-STATES = 240_000
+STATES = 120_000
 
 # kinds of characters; Q2 and Q3 begin a contraction of 2 or 3 characters, *_LAST stand before no space
 L, N, O, Q2, Q3, S_MID, S_LAST, W_MID, W_LAST, SKIP = range(10)
