@@ -35,7 +35,7 @@ def remainder(doc_id: Column, n: int) -> Column:
 
 
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rules = spark.createDataFrame(RULES, "host string, path string, verdict string")
+    rules = spark.sql("SELECT * FROM VALUES " + ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in RULES) + " AS rules(host, path, verdict)")
     return url_filter.filter_urls(table(spark, sf_dir, "pages").select("page_id", "url"), rules).select("page_id", "host", "path", "rule", "verdict")
 
 
