@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wareflow.llm.arrays import FOLDED, WORD_BASE, find_words, map_columns, mix, quoted, range_hashes, text_chunks
+from wareflow.llm.arrays import FOLDED, WORD_BASE, find_words, map_columns, mix, packed_texts, quoted, range_hashes, text_chunks, unpacked
 from wareflow.operators.shared import shared_folder, stored
 
 GROWTH = 1.6
@@ -155,14 +155,14 @@ def _overlaps(pairs: DataFrame, texts: DataFrame, length: int) -> DataFrame:
 
     def run(a: pa.Array, b: pa.Array) -> list:
         both, either = [], []
-        for s, t in zip(shingle_sets(a, length), shingle_sets(b, length), strict=True):
+        for s, t in zip(shingle_sets(unpacked(a), length), shingle_sets(unpacked(b), length), strict=True):
             n = len(np.intersect1d(s, t, assume_unique=True))
             both.append(n)
             either.append(len(s) + len(t) - n)
         return [both, either]
 
-    left = texts.withColumnsRenamed({"id": "x", "text": "text_x"})
-    right = texts.withColumnsRenamed({"id": "pivot", "text": "text_p"})
+    left = texts.withColumnsRenamed({"id": "x", "packed": "text_x"})
+    right = texts.withColumnsRenamed({"id": "pivot", "packed": "text_p"})
     joined = pairs.join(left, "x").join(right, "pivot")
     return map_columns(joined, run, ["text_x", "text_p"], pairs.columns, "both bigint, either bigint")
 
@@ -211,7 +211,7 @@ def _sketches(texts: DataFrame, length: int, similar: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows: list[tuple] = []
-            for number, s in zip(batch.column(0).to_pylist(), shingle_sets(batch.column(1), length), strict=True):
+            for number, s in zip(batch.column(0).to_pylist(), shingle_sets(unpacked(batch.column(1)), length), strict=True):
                 for size_class in cuts.classes(len(s)):
                     bits = max(6, (cuts.tops[size_class] - 1).bit_length())
                     odd = np.bincount((s >> _U(64 - bits)).astype(np.int64), minlength=1 << bits) & 1
@@ -221,7 +221,7 @@ def _sketches(texts: DataFrame, length: int, similar: int) -> DataFrame:
                 columns = [pa.array(list(c), k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
                 yield pa.RecordBatch.from_arrays(columns, names=["id", "n", "size_class", "parity"])
 
-    return texts.select("id", "text").mapInArrow(run, "id bigint, n bigint, size_class int, parity array<bigint>")
+    return texts.select("id", "packed").mapInArrow(run, "id bigint, n bigint, size_class int, parity array<bigint>")
 
 
 def _split_regions(regions: DataFrame, texts: DataFrame, links: DataFrame, labels: DataFrame, length: int, similar: int, folder: str) -> DataFrame:
@@ -272,7 +272,8 @@ def link_documents(docs: DataFrame, shingle: int = 4, similar: int = 85, doc_id:
 
     regions = _regions(named, classes, shingle, similar, folder)
     needed = regions.select("x").unionByName(regions.select(F.col("pivot").alias("x"))).distinct().withColumnRenamed("x", "id")
-    texts = stored(named.join(needed, "id", "left_semi").dropDuplicates(["id"]), folder, "texts")
+    packed = packed_texts(named, "text", ["id"])
+    texts = stored(packed.join(needed, "id", "left_semi").dropDuplicates(["id"]), folder, "texts")
     regions = stored(_overlaps(regions, texts, shingle), folder, "distances")
     # rows of one id and equal sets are one document each
     links = regions.where(_close(similar)).select(F.col("x").alias("a"), F.col("pivot").alias("b"))
