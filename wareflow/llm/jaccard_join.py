@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wareflow.llm.arrays import FOLDED, WORD_BASE, find_words, map_columns, mix, packed_texts, quoted, range_hashes, text_chunks, unpacked
+from wareflow.llm.url_filter import MAX_BLOCKS, passing
 from wareflow.operators.shared import shared_folder, stored
 
 GROWTH = 1.6
@@ -272,7 +273,9 @@ def link_documents(docs: DataFrame, shingle: int = 4, similar: int = 85, doc_id:
 
     regions = _regions(named, classes, shingle, similar, folder)
     needed = regions.select("x").unionByName(regions.select(F.col("pivot").alias("x"))).distinct().withColumnRenamed("x", "id")
-    packed = packed_texts(named, "text", ["id"])
+    # most other texts are told by a Bloom filter of bounded size before they are shuffled
+    likely = passing(named.withColumn("key", F.xxhash64("id")), needed.select(F.xxhash64("id").alias("key")), MAX_BLOCKS)
+    packed = packed_texts(likely, "text", ["id"])
     texts = stored(packed.join(needed, "id", "left_semi").dropDuplicates(["id"]), folder, "texts")
     regions = stored(_overlaps(regions, texts, shingle), folder, "distances")
     # rows of one id and equal sets are one document each

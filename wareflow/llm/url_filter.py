@@ -55,6 +55,13 @@ def bloom_blocks(keys: DataFrame, blocks: int) -> DataFrame:
     return placed.groupBy("block").agg(*[F.bit_or(w).alias(w) for w in _WORDS])
 
 
+def passing(rows: DataFrame, keys: DataFrame, blocks: int) -> DataFrame:
+    """`rows` whose `key` may be among `keys`; every one that is passes. The filter has `blocks` rows at most."""
+    bloom = F.broadcast(bloom_blocks(keys, blocks))
+    set_bits = reduce(lambda a, b: a & b, [F.col(w).bitwiseAND(b) != 0 for w, b in zip(_WORDS, _bits(F.col("key")), strict=True)])
+    return rows.withColumn("block", F.pmod("key", F.lit(blocks))).join(bloom, "block").where(set_bits)
+
+
 def listed_urls(rules: DataFrame) -> DataFrame:
     """(host, path, verdict, labels, path_length, key), each listed URL once."""
     named = rules.select(ascii_lower(F.col("host")).alias("host"), F.coalesce(F.col("path"), F.lit("")).alias("path"), "verdict").where("host <> ''")
@@ -92,9 +99,7 @@ def filter_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: s
     blocks = 1
     while blocks < MAX_BLOCKS and blocks * KEYS_PER_BLOCK < size["n"]:
         blocks *= 2
-    bloom = F.broadcast(bloom_blocks(listed, blocks))
-    set_bits = reduce(lambda a, b: a & b, [F.col(w).bitwiseAND(b) != 0 for w, b in zip(_WORDS, _bits(F.col("key")), strict=True)])
-    hits = candidates.withColumn("block", F.pmod("key", F.lit(blocks))).join(bloom, "block").where(set_bits).select("host", "head", "c")
+    hits = passing(candidates, listed.select("key"), blocks).select("host", "head", "c")
     exact = listed.select(F.struct("host", "path").alias("c"), "verdict")
     rank = F.struct(F.char_length("c.host") + F.char_length("c.path"), F.char_length("c.host"))
     judged = hits.join(exact, "c").groupBy("host", "head").agg(F.max_by(F.struct(F.concat("c.host", "c.path").alias("rule"), "verdict"), rank).alias("j"))
