@@ -48,8 +48,8 @@ NEAR_NUMBERS = "0-9\xb2\xb3\xb9\xbc-\xbe"
 NEAR_SPACES = "\t-\r \x85\xa0"
 LETTER, NUMBER = rf"[\p{{L}}--[{LATER}]]", rf"[\p{{N}}--[{LATER}]]"
 NO_MERGE = 1 << 30
-CACHED = 800_000
-BATCH_BYTES = 1 << 21
+CACHED = 300_000
+BATCH_BYTES = 1 << 20
 
 
 def byte_letters() -> dict[str, int]:
@@ -254,6 +254,16 @@ class Vocabulary:
         return ids[order], np.bincount(owner, minlength=len(words))
 
 
+def token_bytes(path: str) -> list[bytes]:
+    """The bytes of each token, special ones included; all that decoding needs."""
+    with open(path, encoding="utf-8") as f:
+        file = json.load(f)
+    letters = byte_letters()
+    raw = {i: bytes(letters[c] for c in t) for t, i in file["model"]["vocab"].items()}
+    raw |= {t["id"]: t["content"].encode() for t in file["added_tokens"]}
+    return [raw.get(i, b"") for i in range(1 + max(raw))]
+
+
 def vocabulary(path: str) -> Vocabulary:
     cache = process_cache()
     key = f"bpe {path}"
@@ -364,12 +374,12 @@ def decode(coded: DataFrame, path: str, ids: str = "token_ids", text: str = "dec
     """Columns `keep` (default all) of `coded` with the text that the ids stand for."""
 
     def run(column: pa.Array) -> list:
-        vocab = vocabulary(path)
         cache = process_cache()
         table = cache.get(f"letters {path}")
         if table is None:
-            data = np.frombuffer(b"".join(vocab.bytes), np.uint8)
-            ends = np.cumsum([len(b) for b in vocab.bytes])
+            tokens = token_bytes(path)
+            data = np.frombuffer(b"".join(tokens), np.uint8)
+            ends = np.cumsum([len(b) for b in tokens])
             table = cache[f"letters {path}"] = (data, np.concatenate([[0], ends]))
         data, at = table
         out, lo = [], 0
