@@ -67,9 +67,10 @@ def test_finishers(spark):
 def test_requests(spark):
     products = spark.createDataFrame([("B", "N", 2.0, "c"), ("B", "N", 2.0, "c"), ("B", "M", 1.5, "c")], "brand string, name string, price double, category string")
     assert sorted(row.cache_key for row in r.build_requests(products, "batch").collect()) == ["batch|B|M|1.5", "batch|B|N|2.0"]
-    stored = spark.createDataFrame([("tags|B|N", "tags", None)], r.RESPONSE_SCHEMA)
-    pending = r.pending_requests(r.build_requests(products, "tags"), stored)
-    assert [row.cache_key for row in pending.collect()] == ["tags|B|M"]
+    for status, left in (("miss", ["tags|B|M"]), ("failed", ["tags|B|M", "tags|B|N"])):
+        stored = spark.createDataFrame([("tags|B|N", "tags", None, status, None, 0)], r.RESPONSE_SCHEMA)
+        pending = r.pending_requests(r.build_requests(products, "tags"), stored)
+        assert sorted(row.cache_key for row in pending.collect()) == left
 
     def provider(kinds, prompts, tokens):
         if any("Product: 3\n" in p for p in prompts):
@@ -79,8 +80,10 @@ def test_requests(spark):
     asked = spark.range(6).select(
         F.col("id").cast("string").alias("cache_key"), F.lit("tags").alias("kind"), F.concat(F.lit("Product: "), "id", F.lit("\n")).alias("prompt"), F.lit(5).alias("max_tokens")
     ).coalesce(1)
-    got = {row.cache_key: row.response for row in r.fill_responses(asked, provider, chunk=2).collect()}
+    rows = r.fill_responses(asked, provider, chunk=2).collect()
+    got = {row.cache_key: row.response for row in rows}
     assert {k for k, text in got.items() if text is None} == {"2", "3"} and got["5"] == "PRODUCT: 5\n"
+    assert {row.cache_key: row.error for row in rows if row.status == "failed"} == dict.fromkeys("23", "RuntimeError: no answer")
 
 
 def test_images(spark):

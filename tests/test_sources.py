@@ -65,7 +65,7 @@ def test_answer_and_batch_tables(spark):
     answers = spark.createDataFrame([("k1", "batch", "x"), ("k2", "tags", None)], "cache_key string, kind string, response string")
     write_responses(answers.where("kind = 'batch'"), f"{folder}/r")
     write_responses(answers.where("kind = 'tags'"), f"{folder}/r")
-    assert sorted(map(tuple, read_responses(spark, f"{folder}/r").collect())) == [("k1", "batch", "x"), ("k2", "tags", None)]
+    assert sorted(map(tuple, read_responses(spark, f"{folder}/r").collect())) == [("k1", "batch", "x", "ok", None, 0), ("k2", "tags", None, "miss", None, 0)]
     groups = spark.createDataFrame([(1, 1), (2, 1), (3, 2)], "group_no bigint, batch_no bigint")
     write_batches(groups, f"{folder}/b")
     write_batches(groups.where("group_no = 3").withColumn("group_no", F.lit(9).cast("bigint")), f"{folder}/b")
