@@ -89,3 +89,19 @@ def test_extract_votes_per_host(spark):
     texts = {r["page_id"]: r["text"] for r in got.collect()}
     assert texts[9] == "short main" and texts[11] == "" and got.count() == len(rows)
     assert html_extraction.extract(pages.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize(
+    "page,want",
+    [
+        ("<html><h1>T</h1><p>long text</p>", "T\nlong text"),
+        ("<title>t</title><h1>T</h1><p>long text<p>more", "T\nlong text\nmore"),
+        ("<!DOCTYPE html><html><head><title>t</title><h1>T</h1><p>long text", "T\nlong text"),
+        ("<head><meta charset=utf-8><title>t</title><body><p>long text</p></body>", "long text"),
+        ("<head><title>t</title>words first<p>then a block", "words first\nthen a block"),
+        ("<html><nav>Menu</nav><p>text between</p><footer>foot</footer>", "text between"),
+        ("<h1>T</h1><p>words all around the box</p><div>box</div>", "T\nwords all around the box\nbox"),
+    ],
+)
+def test_page_without_body(page, want):
+    assert html_extraction.page_text(page, html_extraction.page_path(page)) == want

@@ -13,8 +13,10 @@ adverts, forms, comments, scripts, styles) is left out. Blocks become lines: cha
 decoded, runs of white space are one space, blocks without text are dropped.
 
 Tags that are never closed end with the container that holds them; a `<p>`, `<li>`, ... ends at the next
-one. Defined cases: a null or empty html gives an empty text; so does a page without text outside side
-content; a page without a host votes in the group of the empty host; repeated rows vote once each.
+one; a `<head>` ends at the first tag or text that cannot stand in it. Where `<body>` is left out, the root
+of the page is the body. Defined cases: a null or empty html gives an empty text; so does a page without
+text outside side content, and a text without any tag, which is no page; a page without a host votes in
+the group of the empty host; repeated rows vote once each.
 """
 
 from __future__ import annotations
@@ -42,6 +44,7 @@ CLOSES = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"},
 }
 CONTAINERS = {"article", "body", "div", "main", "section", "td"}
+IN_HEAD = {"html", "head", "base", "link", "meta", "title", "style", "script", "noscript", "template"}
 # Words in classes, ids and roles of side content, and of main content
 SIDE_WORDS = set(
     "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments cookie cookies consent disqus footer gdpr "
@@ -91,6 +94,8 @@ def parse(page: str) -> Node:
         m = _TOKEN.search(page, at)
         text = page[at : m.start()] if m else page[at:]
         if text:
+            if stack[-1].tag == "head" and text.strip():
+                stack.pop()
             stack[-1].items.append(html.unescape(text))
         if not m:
             break
@@ -109,6 +114,8 @@ def parse(page: str) -> Node:
             if tag == "p" or tag in BLOCKS:
                 stack[-1].items.append(None)
             continue
+        if stack[-1].tag == "head" and tag not in IN_HEAD:
+            stack.pop()
         if tag in BLOCKS and tag not in ("br", "hr"):
             _end_paragraph(stack)
         if tag in CLOSES:
@@ -154,6 +161,13 @@ def _walk(root: Node):
         todo += [x for x in reversed(node.items) if isinstance(x, Node) and not x.side]
 
 
+def _containers(root: Node) -> list[Node]:
+    """Containers outside side content; the root is one on a page with tags but without `<body>`."""
+    nodes = list(_walk(root))
+    implied = any(isinstance(x, Node) for x in root.items) and all(n.tag != "body" for n in nodes)
+    return [n for n in nodes if n.tag in CONTAINERS or implied and n is root]
+
+
 def _measure(root: Node) -> None:
     nodes = list(_walk(root))
     for node in reversed(nodes):
@@ -172,8 +186,8 @@ def best_container(root: Node) -> Node | None:
     """
     _measure(root)
     best, score = None, 0.0
-    for node in _walk(root):
-        if node.tag in CONTAINERS and node.own:
+    for node in _containers(root):
+        if node.own:
             plain = node.own - node.linked
             worth = plain * (1 + node.bonus) * (1 - node.linked / (node.own + 1)) + 0.01 * node.path.count(">")
             inside = best is not None and node.path.startswith(best.path + ">")
@@ -225,7 +239,7 @@ def page_text(page: str | None, path: str | None) -> str:
     if not page:
         return ""
     root = parse(page)
-    found = [n for n in _walk(root) if path is not None and n.path == path]
+    found = [n for n in _containers(root) if path is not None and n.path == path]
     lines = [line for n in found for line in block_texts(n)]
     if not lines:
         best = best_container(root)
