@@ -105,3 +105,33 @@ def test_extract_votes_per_host(spark):
 )
 def test_page_without_body(page, want):
     assert html_extraction.page_text(page, html_extraction.page_path(page)) == want
+
+
+LONG = "The whole article stands here, with many words. " * 4
+
+
+@pytest.mark.parametrize(
+    "attributes",
+    [
+        "class='content has-sidebar'", "class='page no-comments'", "id='header-and-content'", "class='layout-with-sidebar'", "class='page_without_ads'",
+        "class='header'", "class='share-price-news'", "id='search'", "class='my-search-results'", "class='widget wide'",
+    ],
+)
+def test_names_around_the_article(attributes):
+    page = f"<body><nav>Menu</nav><div {attributes}><h1>T</h1><p>{LONG}</p><div class='share'>x</div></div><div class='site-footer'>foot</div></body>"
+    assert html_extraction.page_text(page, html_extraction.page_path(page)) == f"T\n{LONG.strip()}"
+
+
+def test_names_inside_the_article():
+    kept = "<div class='no-ads'>one</div><div class='two-column-search-box'>two</div>"
+    gone = "<div class='post-comments'>a</div><div class='ad-slot'>b</div><div id='left-sidebar'>c</div><div class='newsletter'>d</div><div role='search'>e</div>"
+    page = f"<body><article><p>{LONG}</p>{kept}{gone}</article>"
+    assert html_extraction.page_text(page, html_extraction.page_path(page)) == f"{LONG.strip()}\none\ntwo"
+    # readers' comments may be longer than the article; a form may hold the whole page
+    page = f"<body><div class='post'><p>Short text.</p></div><div id='comments'><p>{LONG}</p></div></body>"
+    assert html_extraction.page_text(page, html_extraction.page_path(page)) == "Short text."
+    for side in ("class='ad'", "class='menu'", "id='cookie'"):
+        page = f"<body><div {side}>{LONG}</div><article><h1>T</h1><p>Short text.</p></article></body>"
+        assert html_extraction.page_text(page, html_extraction.page_path(page)) == "T\nShort text."
+    page = f"<body><form id='aspnetForm'><div class='menu'><a href='/'>Home</a></div><div><p>{LONG}</p></div></form></body>"
+    assert html_extraction.page_text(page, html_extraction.page_path(page)) == LONG.strip()

@@ -9,7 +9,11 @@
    path is extracted with its own best one.
 
 Inside the chosen container side content (menus, headers of the site, footers, side bars, notices,
-adverts, forms, comments, scripts, styles) is left out. Blocks become lines: character references are
+adverts, forms, comments, scripts, styles) is left out. It is told by its tag, or by a class, id or role
+that is, begins or ends with a word for side content; words after `has-`, `with-`, `no-` name what is there,
+not what it is. What holds most of the page's unlinked text is no side content by its words, nor as a form
+or header, unless an article or main element with text stands beside it; comments, adverts and consent
+notices are left out at any length where there is other text. Blocks become lines: character references are
 decoded, runs of white space are one space, blocks without text are dropped.
 
 Tags that are never closed end with the container that holds them; a `<p>`, `<li>`, ... ends at the next
@@ -52,6 +56,10 @@ SIDE_WORDS = set(
     "search share sharing sidebar sidenav signup social sponsor sponsored subscribe subscription toolbar widget widgets complementary "
     "contentinfo alert disclaimer login".split()
 )
+COMMENT_WORDS = set("comment comments disqus replies reply".split())
+NOTICE_WORDS = set("ad ads advert adverts advertisement advertising consent cookie cookies gdpr sponsored".split())
+# In a name, what follows is there or missing, or named as well
+JOINING = set("has have having hide hides hidden no non not with without".split())
 MAIN_WORDS = set("article articlebody body content entry main post story text".split())
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|$)|'[^']*(?:'|$))*)(?:>|$)", re.S)
@@ -69,9 +77,18 @@ class Node:
         self.linked = self.own = 0  # characters in links, characters in all
 
 
-def _attributes(raw: str) -> tuple[str, set[str], bool]:
-    """(generalised class part of the path, words of class, id and role, whether hidden)."""
-    name, words, hidden = "", set(), False
+def _side_words(name: str) -> set[str]:
+    """The words that make a class, id or role one of side content: all of it, or its first or last part."""
+    parts = _WORD.findall(name)
+    joined = next((i for i, p in enumerate(parts) if p in JOINING), len(parts))
+    if MAIN_WORDS.intersection(parts[joined:]) or "and" in parts and not SIDE_WORDS.issuperset(set(parts) - {"and"}):
+        return set()
+    return SIDE_WORDS.intersection(parts[:joined][:1] + parts[:joined][-1:])
+
+
+def _attributes(raw: str) -> tuple[str, set[str], set[str], bool, bool]:
+    """(generalised class part of the path, words of class, id and role, those for side content, whether comments or notices, whether hidden)."""
+    name, words, names, hidden = "", set(), set(), False
     if raw and ("=" in raw or "hidden" in raw):
         for m in _NAMES.finditer(raw):
             key, value = m[1].lower(), html.unescape(m[2] or m[3] or m[4] or "").lower()
@@ -79,17 +96,20 @@ def _attributes(raw: str) -> tuple[str, set[str], bool]:
                 name = "".join("." + c for c in sorted({re.sub(r"\d+", "", c) for c in value.split()}) if c)
             if key in ("class", "id", "role"):
                 words |= set(_WORD.findall(value))
+                names |= set(value.split())
             elif key == "style":
                 hidden |= "display:none" in value.replace(" ", "")
             else:
                 hidden |= key == "hidden" or value == "true"
-    return name, words, hidden
+    side = set().union(*map(_side_words, names)) if words & SIDE_WORDS else set()
+    return name, words, side, bool(side & COMMENT_WORDS or names & NOTICE_WORDS), hidden
 
 
 def parse(page: str) -> Node:
     """The tree of a page; what is unclosed ends with its container."""
     root = Node("", "", False, 0)
     stack, at, n = [root], 0, len(page)
+    named = {}  # what is side content by its words, or a form: node -> whether comments or notices
     while at < n:
         m = _TOKEN.search(page, at)
         text = page[at : m.start()] if m else page[at:]
@@ -125,23 +145,52 @@ def parse(page: str) -> Node:
                     break
                 if stack[depth].tag in ("ul", "ol", "dl", "table", "select"):
                     break
-        name, words, hidden = _attributes(m[3])
+        name, words, side_words, apart, hidden = _attributes(m[3])
         top = stack[-1]
-        side = hidden or tag in SIDE or bool(words & SIDE_WORDS) and tag not in ("html", "body", "article", "main", "h1")
+        side = hidden or tag in SIDE or bool(side_words) and tag not in ("html", "body", "article", "main", "h1")
         if tag == "header" and not any(x.tag in ("article", "main") for x in stack):
             side = True
         bonus = (1.0 if tag in ("article", "main") else 0.0) + (0.5 if words & MAIN_WORDS else 0.0)
         node = Node(tag, f"{top.path}>{tag}{name}", side, bonus)
         top.items.append(node)
+        if side and not hidden and (tag == "form" or tag not in SIDE):
+            named[node] = apart
         if tag in RAW:
             # raw text up to its end tag; it is never shown
             end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
             at = end.end() if end else n
         elif tag not in VOID and not m[3].rstrip().endswith("/"):
             stack.append(node)
+    if named:
+        _keep_most(root, named)
     return root
 
 
+def _keep_most(root: Node, named: dict[Node, bool]) -> None:
+    """Takes the side mark from what holds most of the unlinked text of the page, with no main element beside it.
+
+    Comments and notices lose it only if they hold all.
+    """
+    nodes, todo = [], [root]
+    while todo:
+        nodes.append(todo.pop())
+        todo += [x for x in nodes[-1].items if isinstance(x, Node) and (not x.side or x in named)]
+    plain: dict[Node, int] = {}
+    for node in reversed(nodes):
+        plain[node] = 0 if node.tag == "a" else sum(len(x.strip()) if isinstance(x, str) else plain.get(x, 0) for x in node.items if x is not None)
+    # unlinked text in main elements: `marked` inside a node, `beside` outside it (elements around it do not count)
+    marked: dict[Node, int] = {}
+    for node in reversed(nodes):
+        marked[node] = plain[node] if node.tag in ("article", "main") else sum(marked.get(x, 0) for x in node.items if isinstance(x, Node))
+    beside = {root: 0}
+    for node in nodes:
+        within = sum(marked.get(x, 0) for x in node.items if isinstance(x, Node))
+        beside.update((x, beside[node] + within - marked[x]) for x in node.items if isinstance(x, Node) and x in marked)
+    for node, apart in named.items():
+        if node in plain and (plain[node] == plain[root] > 0 if apart else 2 * plain[node] > plain[root] and not beside[node]):
+            node.side = False
+
+
 def _end_paragraph(stack: list[Node]) -> None:
     """A block ends the paragraph that is open, with the inline tags in it."""
     for depth in range(len(stack) - 1, 0, -1):
