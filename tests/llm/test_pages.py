@@ -135,3 +135,21 @@ def test_names_inside_the_article():
         assert html_extraction.page_text(page, html_extraction.page_path(page)) == "T\nShort text."
     page = f"<body><form id='aspnetForm'><div class='menu'><a href='/'>Home</a></div><div><p>{LONG}</p></div></form></body>"
     assert html_extraction.page_text(page, html_extraction.page_path(page)) == LONG.strip()
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<body><div class='post'><h1>T</h1><p>lead</p><div class='entry'><p>{}</p></div></div>",
+        "<body><div class='post'><div class='head'><h1>T</h1><p>lead</p></div><div class='entry'><p>{}</p></div></div>",
+        "<body><h1>T</h1><p>lead</p><div class='x'><p>{}</p></div>",
+        "<body><div class='top'><h1>T</h1><p>lead</p></div><div class='box'>box</div><div class='entry'><p>{}</p></div>",
+        "<body><table><tr><td>T<tr><td>lead<tr><td><p>{}</p></table>",
+        "<body><h1>T</h1><p>lead</p><article><p>{}</p></article><p><a href='/'>Home</a> | <a href='/up'>Up</a></p>",
+        "<body><div id='page'><h1>T</h1><p>lead</p><div class='entry'><p>{}</p></div></div>",
+        "<html><body><h1>T</h1><p>lead</p><main><div><p>{}</p></div></main></body></html>",
+    ],
+)
+def test_title_and_lead_beside_a_long_body(page):
+    page = page.format(LONG * 5)
+    assert html_extraction.page_text(page, html_extraction.page_path(page)) == f"T\nlead\n{(LONG * 5).strip()}"

@@ -8,7 +8,8 @@
 3. Each page is extracted with the winning path of its host. A page on which no container has that
    path is extracted with its own best one.
 
-Inside the chosen container side content (menus, headers of the site, footers, side bars, notices,
+Blocks with unlinked text that stand around the chosen container, but in no container of their own or in
+one with the title (h1), belong to the text; other containers beside it do not. Inside the chosen container side content (menus, headers of the site, footers, side bars, notices,
 adverts, forms, comments, scripts, styles) is left out. It is told by its tag, or by a class, id or role
 that is, begins or ends with a word for side content; words after `has-`, `with-`, `no-` name what is there,
 not what it is. What holds most of the page's unlinked text is no side content by its words, nor as a form
@@ -231,7 +232,9 @@ def _measure(root: Node) -> None:
 def best_container(root: Node) -> Node | None:
     """The container with the best score: text outside links, weighted by its marks.
 
-    A container inside another wins unless it has clearly less of the text.
+    Inside the body a container wins unless it has clearly less of the text, as the others there may be
+    anything; inside one that was better than the body, only if its marks make it better still or it leaves
+    out no unlinked text.
     """
     _measure(root)
     best, score = None, 0.0
@@ -240,39 +243,51 @@ def best_container(root: Node) -> Node | None:
             plain = node.own - node.linked
             worth = plain * (1 + node.bonus) * (1 - node.linked / (node.own + 1)) + 0.01 * node.path.count(">")
             inside = best is not None and node.path.startswith(best.path + ">")
-            if worth > score or inside and worth >= 0.95 * score:
+            whole = inside and (plain == best.own - best.linked or best.tag in ("", "body") and node.tag != "td" and worth >= 0.95 * score)
+            if worth > score or whole:
                 best, score = node, max(worth, score)
     return best
 
 
-def block_texts(node: Node) -> list[str]:
-    """The blocks of a container in page order, without side content."""
-    out, line = [], []
+def block_texts(root: Node, chosen: list[Node]) -> list[str]:
+    """The blocks of the chosen containers in page order, without side content.
+
+    Around them, blocks with unlinked text that are in no other container, or in one with the title.
+    """
+    out, line, plain = [], [], False  # plain: whether the line may stay
 
     def close():
+        nonlocal plain
         text = _SPACE.sub(" ", "".join(line)).strip()
-        if text:
+        if text and plain:
             out.append(text)
         line.clear()
-
-    todo: list = [iter(node.items)]
-    tags = [node.tag]
+        plain = False
+
+    wanted = set(chosen)
+    above = set()  # nodes around chosen containers or titles
+    for node in reversed(list(_walk(root))):
+        if any(isinstance(x, Node) and not x.side and (x in wanted or x in above or x.tag == "h1") for x in node.items):
+            above.add(node)
+    # node, its items, whether inside a chosen container, whether inside a link
+    todo: list = [(root, iter(root.items), root in wanted, False)]
     while todo:
-        x = next(todo[-1], StopIteration)
+        node, items, inside, linked = todo[-1]
+        x = next(items, StopIteration)
         if x is StopIteration:
             todo.pop()
-            if tags.pop() in BLOCKS:
+            if node.tag in BLOCKS:
                 close()
         elif x is None:
             close()
         elif isinstance(x, str):
             line.append(x)
+            plain = plain or inside or not linked and any(map(str.isalnum, x))
         else:
             if x.tag in BLOCKS:
                 close()
-            if not x.side:
-                todo.append(iter(x.items))
-                tags.append(x.tag)
+            if not x.side and (inside or x.tag not in CONTAINERS or x in wanted or x in above):
+                todo.append((x, iter(x.items), inside or x in wanted, linked or x.tag == "a"))
     close()
     return out
 
@@ -289,10 +304,10 @@ def page_text(page: str | None, path: str | None) -> str:
         return ""
     root = parse(page)
     found = [n for n in _containers(root) if path is not None and n.path == path]
-    lines = [line for n in found for line in block_texts(n)]
-    if not lines:
-        best = best_container(root)
-        lines = block_texts(best) if best else []
+    best = best_container(root)
+    if not any(n.own for n in found):
+        found = [best] if best else []
+    lines = block_texts(root, found) if found else []
     return "\n".join(lines)
 
 
