@@ -233,6 +233,30 @@ def test_fingerprints_odd_rows(spark):
     assert fingerprints.likeness(a, b) == 2 * 39 / 80
 
 
+@pytest.mark.parametrize(
+    "text",
+    [
+        " ".join(f"word{i * i % 97}" for i in range(3000)),
+        " ".join(f"w{i * i % 97}" for i in range(20)),
+        "".join(chr(0x4E00 + i * i % 997) for i in range(500)),
+        "".join(chr(0x4E00 + i * i % 997) + ("。" if i % 9 == 8 else "") for i in range(500)),
+        "".join(chr(0x0620 + i * i % 23) + ("؟ " if i % 30 == 29 else "") for i in range(300)),
+        "x" * 700,
+    ],
+)
+def test_fingerprints_of_texts_without_full_stops(text):
+    other = "".join(chr(0x3041 + i * i % 83) for i in range(len(text)))
+    tree = fingerprints.Tree(text)
+    assert len(text) / fingerprints.LEAF <= tree.leaves <= len(text) / 2
+    # two thirds of the text are kept
+    kept = fingerprints.likeness(tree, fingerprints.Tree(fingerprints.spliced(text, other)))
+    assert 0.3 < kept < 0.9
+    assert fingerprints.likeness(tree, fingerprints.Tree(other)) == 0
+    # one word put in near the beginning moves no cut of the rest
+    if len(text) > 400:
+        assert fingerprints.likeness(tree, fingerprints.Tree(text[:100] + " new " + text[100:])) > 0.7
+
+
 def test_language_id(spark):
     rng = random.Random(2)
     words = {"en": "the and of to house water".split(), "fr": "le la et une maison été".split(), "de": "der und die ein häuser größe".split()}
