@@ -100,6 +100,7 @@ def test_extract_votes_per_host(spark):
         ("<head><meta charset=utf-8><title>t</title><body><p>long text</p></body>", "long text"),
         ("<head><title>t</title>words first<p>then a block", "words first\nthen a block"),
         ("<html><nav>Menu</nav><p>text between</p><footer>foot</footer>", "text between"),
+        ("<p><a href='/'>only a link</a></p>", "only a link"),
         ("<h1>T</h1><p>words all around the box</p><div>box</div>", "T\nwords all around the box\nbox"),
     ],
 )
@@ -153,3 +154,16 @@ def test_names_inside_the_article():
 def test_title_and_lead_beside_a_long_body(page):
     page = page.format(LONG * 5)
     assert html_extraction.page_text(page, html_extraction.page_path(page)) == f"T\nlead\n{(LONG * 5).strip()}"
+
+
+def test_extract_with_several_templates(spark):
+    # a host with two templates, the smaller one with a box under the other's path; pages without a host; a host without agreement
+    news, shop = "<body><div class='x'><p>{}</div>", "<body><div class='x'>box</div><div class='y'><p>{}</div>"
+    rows = [(i, "http://a.b/", news.format(f"news {i} {LONG}")) for i in range(6)] + [(10 + i, "http://a.b/", shop.format(f"shop {i} {LONG}")) for i in range(4)]
+    rows += [(20 + i, None, news.format(f"news {i} {LONG}")) for i in range(3)] + [(30, "no host", shop.format(f"shop {LONG}"))]
+    rows += [(40 + i, "http://c.d/", f"<body><div class='x'>box</div><div class='{c}'><p>{c} {LONG}</div>") for i, c in enumerate("abcdefgh")]
+    got = {r["page_id"]: r["text"] for r in html_extraction.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(got[i].startswith(f"news {i % 10} ") for i in (*range(6), *range(20, 23)))
+    assert all(got[i] == f"shop {i - 10} {LONG}".strip() for i in range(10, 14))
+    assert got[30] == f"shop {LONG}".strip()
+    assert all(got[40 + i] == f"{c} {LONG}".strip() for i, c in enumerate("abcdefgh"))

@@ -3,14 +3,16 @@
 1. Each page is parsed into containers. A container's own text is scored: its characters outside links,
    with marks for the tags and class words that main or side content usually has; the best container
    names a path of tags and generalised classes (digits cut, so `post-17` and `post-18` agree).
-2. The paths are votes; Spark adds them up per host, and the path with most votes wins (of equal ones
-   the longest, then the first by name).
-3. Each page is extracted with the winning path of its host. A page on which no container has that
-   path is extracted with its own best one.
+2. The paths are votes; Spark adds them up per host. Paths with a quarter of the host's votes win, at most
+   four: a host may have several templates.
+3. A page whose own best container has a winning path is extracted with it; another page with the winning
+   path that has most votes of those it has text under (of equal ones the longest, then the last by name).
+   A page with none of them, or without a host, is extracted with its own best container.
 
 Blocks with unlinked text that stand around the chosen container, but in no container of their own or in
-one with the title (h1), belong to the text; other containers beside it do not. Inside the chosen container side content (menus, headers of the site, footers, side bars, notices,
-adverts, forms, comments, scripts, styles) is left out. It is told by its tag, or by a class, id or role
+one with the title (h1), belong to the text; other containers beside it do not. Inside the chosen
+container side content (menus, headers of the site, footers, side bars, notices, adverts, forms, comments,
+scripts, styles) is left out. It is told by its tag, or by a class, id or role
 that is, begins or ends with a word for side content; words after `has-`, `with-`, `no-` name what is there,
 not what it is. What holds most of the page's unlinked text is no side content by its words, nor as a form
 or header, unless an article or main element with text stands beside it; comments, adverts and consent
@@ -20,8 +22,8 @@ decoded, runs of white space are one space, blocks without text are dropped.
 Tags that are never closed end with the container that holds them; a `<p>`, `<li>`, ... ends at the next
 one; a `<head>` ends at the first tag or text that cannot stand in it. Where `<body>` is left out, the root
 of the page is the body. Defined cases: a null or empty html gives an empty text; so does a page without
-text outside side content, and a text without any tag, which is no page; a page without a host votes in
-the group of the empty host; repeated rows vote once each.
+text outside side content, and a text without any tag, which is no page; a page without a
+host has no vote; repeated rows vote once each.
 """
 
 from __future__ import annotations
@@ -30,7 +32,7 @@ import html
 import re
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wareflow.llm.arrays import map_columns, quoted
@@ -241,7 +243,7 @@ def best_container(root: Node) -> Node | None:
     for node in _containers(root):
         if node.own:
             plain = node.own - node.linked
-            worth = plain * (1 + node.bonus) * (1 - node.linked / (node.own + 1)) + 0.01 * node.path.count(">")
+            worth = plain * (1 + node.bonus) * (1 - node.linked / (node.own + 1)) + 0.01 * (1 + node.path.count(">"))
             inside = best is not None and node.path.startswith(best.path + ">")
             whole = inside and (plain == best.own - best.linked or best.tag in ("", "body") and node.tag != "td" and worth >= 0.95 * score)
             if worth > score or whole:
@@ -298,33 +300,37 @@ def page_path(page: str | None) -> str | None:
     return best.path if best else None
 
 
-def page_text(page: str | None, path: str | None) -> str:
-    """The main text with the winning path of the host, or else with the page's own best container."""
+def page_text(page: str | None, paths: str | list[str] | None) -> str:
+    """The main text with a winning path of the host, first ones first, or else with the page's own best container."""
     if not page:
         return ""
     root = parse(page)
-    found = [n for n in _containers(root) if path is not None and n.path == path]
     best = best_container(root)
-    if not any(n.own for n in found):
-        found = [best] if best else []
-    lines = block_texts(root, found) if found else []
-    return "\n".join(lines)
+    if best is None:
+        return ""
+    paths = [paths] if isinstance(paths, str) else paths or []
+    chosen = best.path
+    if chosen not in paths:
+        filled = {n.path for n in _containers(root) if n.own}
+        chosen = next((p for p in paths if p in filled), chosen)
+    return "\n".join(block_texts(root, [n for n in _containers(root) if n.path == chosen]))
 
 
 def vote(pages: DataFrame, url: str = "url", page: str = "html") -> DataFrame:
-    """(host, path, votes) of all pages."""
+    """(host, path, votes) of all pages with a host."""
 
     def paths(column: pa.Array) -> list:
         return [pa.array([page_path(p) for p in column.to_pylist()], pa.string())]
 
-    named = pages.select(url_host(F.col(quoted(url))).alias("host"), F.col(quoted(page)).alias("page"))
+    named = pages.select(url_host(F.col(quoted(url))).alias("host"), F.col(quoted(page)).alias("page")).where("host <> ''")
     return map_columns(named, paths, ["page"], ["host"], "path string").where("path IS NOT NULL").groupBy("host", "path").agg(F.count("*").alias("votes"))
 
 
 def winners(votes: DataFrame) -> DataFrame:
-    """(host, path): one path for each host; a host has few paths, as classes are generalised."""
-    best = F.max_by("path", F.struct("votes", F.char_length("path"), "path"))
-    return votes.groupBy("host").agg(best.alias("path"))
+    """(host, paths): up to four paths for each host; a host has few paths, as classes are generalised."""
+    shares = votes.withColumn("all", F.sum("votes").over(Window.partitionBy("host"))).where("4 * votes >= all")
+    ranked = F.sort_array(F.collect_list(F.struct("votes", F.char_length("path").alias("long"), "path")), asc=False)
+    return shares.groupBy("host").agg(ranked["path"].alias("paths"))
 
 
 def extract(pages: DataFrame, url: str = "url", page: str = "html", text: str = "text") -> DataFrame:
@@ -333,7 +339,7 @@ def extract(pages: DataFrame, url: str = "url", page: str = "html", text: str =
     def texts(column: pa.Array, paths: pa.Array) -> list:
         return [pa.array([page_text(p, q) for p, q in zip(column.to_pylist(), paths.to_pylist(), strict=True)], pa.string())]
 
-    won = winners(vote(pages, url, page)).withColumnsRenamed({"host": "_host", "path": "_path"})
+    won = winners(vote(pages, url, page)).withColumnsRenamed({"host": "_host", "paths": "_paths"})
     joined = pages.withColumn("_host", url_host(F.col(quoted(url)))).join(won, "_host", "left")
     keeps = [c for c in pages.columns]
-    return map_columns(joined, texts, [page, "_path"], keeps, f"{quoted(text)} string")
+    return map_columns(joined, texts, [page, "_paths"], keeps, f"{quoted(text)} string")
