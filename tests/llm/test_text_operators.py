@@ -273,6 +273,15 @@ def test_language_id(spark):
     assert {r["lang_pred"] for r in language_id.predict(test, empty).collect()} == {"und"}
 
 
+def test_language_of_short_texts(spark):
+    rows = [(1, "Re. I go", "en"), (2, "De la vie", "fr"), (3, "A to", "en"), (4, "y no", "es")]
+    model = language_id.fit(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"))
+    short = [(1, "Re.", "en"), (2, "De.", "fr"), (3, "A", "en"), (4, "y", "es"), (5, "go", "en"), (6, "vie", "fr")]
+    got = {r["doc_id"]: r for r in language_id.predict(spark.createDataFrame([r[:2] for r in short], "doc_id bigint, text string"), model).collect()}
+    assert {(i, got[i]["lang_pred"]) for i in got} == {(i, lang) for i, _, lang in short}
+    assert all(r["score"] > 0 for r in got.values())
+
+
 def test_toxicity(spark):
     rng = random.Random(4)
     plain, bad = [f"word{i}" for i in range(80)], ["rotten", "foul"]

@@ -12,7 +12,8 @@ languages. Rates are counted over all training rows. The filter has 2**SLOT_BITS
 whatever the number of n-grams; up to 63 languages.
 
 n-grams are four bytes of the lower-cased text in UTF-8, with every ASCII byte that is no letter taken
-as a blank, so they also see where words begin and end.
+as a blank, so they also see where words begin and end. Two blanks stand before and after each text, so
+every text with a letter has n-grams, and the first and last word have their borders.
 
 Defined cases: a null text, or one without any letter, is `und` with score 0; so is every text if
 nothing was learned; equal counts go to the first language in alphabetical order; rows with a null
@@ -23,7 +24,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wareflow.llm.arrays import map_columns, mix, quoted, text_chunks
@@ -51,6 +52,10 @@ def _grams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return gram, inside
 
 
+def _framed(text: Column) -> Column:
+    return F.concat(F.lit("  "), F.lower(text), F.lit("  "))
+
+
 def gram_counts(rows: DataFrame) -> DataFrame:
     """(lang, gram, n) over all rows (text, lang); each task adds up its own batches first."""
 
@@ -97,7 +102,7 @@ def _slots(gram: np.ndarray) -> list[np.ndarray]:
 def fit(rows: DataFrame, text: str = "text", lang: str = "lang", share: float = SHARE) -> Model:
     """Learns from every row whose text and language are not null."""
     named = rows.select(F.col(quoted(text)).alias("text"), F.col(quoted(lang)).alias("lang")).where("text IS NOT NULL AND lang IS NOT NULL")
-    counts = stored(gram_counts(named.withColumn("text", F.lower("text"))), shared_folder(rows.sparkSession), "grams")
+    counts = stored(gram_counts(named.withColumn("text", _framed(F.col("text")))), shared_folder(rows.sparkSession), "grams")
     totals = {r["lang"]: r["n"] for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
     langs = sorted(totals)
     if not langs:
@@ -147,5 +152,5 @@ def predict(docs: DataFrame, model: Model, text: str = "text", lang: str = "lang
         return [pa.array(names, pa.string()), values]
 
     keeps = [c for c in docs.columns if c not in ("_lower", "_readable")]
-    ready = docs.withColumns({"_lower": F.lower(F.col(quoted(text))), "_readable": F.coalesce(F.col(quoted(text)).rlike(r"\p{L}"), F.lit(False))})
+    ready = docs.withColumns({"_lower": _framed(F.col(quoted(text))), "_readable": F.coalesce(F.col(quoted(text)).rlike(r"\p{L}"), F.lit(False))})
     return map_columns(ready, decide, ["_lower", "_readable"], keeps, f"{quoted(lang)} string, {quoted(score)} double")
