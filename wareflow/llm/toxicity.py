@@ -1,10 +1,10 @@
 """Toxicity: a linear classifier on character n-grams scaled by naive Bayes log-count ratios.
 
 Features are the byte 5-grams of the text with A-Z lower-cased, hashed to 2**20 buckets and counted once
-per document. From all labelled rows Spark counts in how many toxic and how many other documents each
+per document. From the labelled rows given (see `labelled_sample`) Spark counts in how many toxic and how many other documents each
 bucket occurs; r = log ratio of the two smoothed rates. The `features` buckets that tell most (by the
-log-likelihood gain of a bucket alone) are kept, each scaled by its r, and a logistic regression is
-fitted on all labelled rows with Spark ML. Both tables have a fixed size, whatever the corpus.
+log-likelihood gain of a bucket alone) are kept, each scaled by its r, all others have no weight, and a
+logistic regression is fitted on the same rows with Spark ML. Both tables have a fixed size, whatever the corpus.
 
 Defined cases: a null or empty text has no feature and gets the score of the intercept; rows without a
 label, or with a null text, do not train; with no labelled row, or labels of one kind only, the score
