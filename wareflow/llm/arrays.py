@@ -1,7 +1,7 @@
 """Texts of an Arrow column as byte arrays: words, word hashes and hashes of word windows.
 
-All functions work on a slice of about `CHUNK` bytes at a time, so memory does not grow with the
-batch; one text is never split, whatever its length.
+Arrow batches are handled in runs of rows of about `SLICE` bytes, and texts in runs of about `CHUNK`
+bytes, so memory does not grow with the batch; one text is never split, whatever its length.
 """
 
 from __future__ import annotations
@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-CHUNK = 1 << 20
+SLICE = 1 << 20
+CHUNK = 1 << 18
 _U = np.uint64
 
 
@@ -40,6 +41,28 @@ def set_aside(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
     return df.toDF(*names.values()), names
 
 
+def _weights(column: pa.Array) -> np.ndarray:
+    """About how many bytes each value takes."""
+    if pa.types.is_list(column.type):
+        sizes = pc.multiply(pc.list_value_length(column), 8)
+    elif pa.types.is_string(column.type) or pa.types.is_binary(column.type):
+        sizes = pc.binary_length(column)
+    else:
+        return np.full(len(column), 8, np.int64)
+    return pc.fill_null(sizes, 0).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def slices(batches: Iterator[pa.RecordBatch], needs: int) -> Iterator[pa.RecordBatch]:
+    """The rows of `batches` in runs of about `SLICE` bytes in the first `needs` columns; none of them empty."""
+    for batch in batches:
+        n, lo = batch.num_rows, 0
+        ends = np.cumsum(sum((_weights(batch.column(i)) for i in range(needs)), np.ones(n, np.int64)))
+        while lo < n:
+            hi = max(lo + 1, int(np.searchsorted(ends, SLICE + (ends[lo - 1] if lo else 0), "right")))
+            yield batch.slice(lo, hi - lo)
+            lo = hi
+
+
 def map_columns(
     df: DataFrame,
     function: Callable[..., list],
@@ -64,9 +87,7 @@ def map_columns(
     n_needs, n_keeps = len(needs), len(keeps)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows == 0:
-                continue
+        for batch in slices(batches, n_needs):
             columns = function(*[batch.column(i) for i in range(n_needs)])
             made = [pa.array(c, t) if not isinstance(c, pa.Array) else c.cast(t) for c, t in zip(columns, kinds.types, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(n_needs + i) for i in range(n_keeps)] + made, names=schema.names)
@@ -120,10 +141,11 @@ def _powers(n: int, base: int) -> tuple[np.ndarray, np.ndarray]:
     key = f"powers{base}"
     have = cache.get(key)
     if have is None or len(have[0]) < n:
-        size = max(n, 2 * CHUNK)
         inverse = pow(base, -1, 1 << 64)
-        have = tuple(np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(size - 1, b, np.uint64)]), dtype=np.uint64) for b in (base, inverse))
-        cache[key] = have
+        have = tuple(np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(n - 1, b, np.uint64)]), dtype=np.uint64) for b in (base, inverse))
+        # those of longer texts are not kept
+        if n <= 2 * CHUNK:
+            cache[key] = have
     return have[0][:n], have[1][:n]
 
 

@@ -49,7 +49,9 @@ NEAR_SPACES = "\t-\r \x85\xa0"
 LETTER, NUMBER = rf"[\p{{L}}--[{LATER}]]", rf"[\p{{N}}--[{LATER}]]"
 NO_MERGE = 1 << 30
 CACHED = 300_000
-BATCH_BYTES = 1 << 20
+BATCH_BYTES = 1 << 19
+# proposals for longer words are made in pieces of so many bytes, as the steps of a proposal are as many as its longest piece's bytes
+PIECE = 256
 
 
 def byte_letters() -> dict[str, int]:
@@ -103,7 +105,6 @@ class Vocabulary:
                 if token[:end] not in nodes:
                     nodes[token[:end]] = len(nodes)
                     edges[(nodes[token[: end - 1]] << 8) | token[end - 1]] = nodes[token[:end]]
-        self.nodes = nodes
         self._node_token = np.full(len(nodes), -1, np.int64)
         for token, i in self.words.items():
             self._node_token[nodes[token]] = i
@@ -228,9 +229,14 @@ class Vocabulary:
         """(ids in a row, ids per word): proposals, one test of all adjacent pairs, exact merging of those that fail."""
         if not words:
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        ends = np.cumsum([len(w) for w in words])
-        flat, counts = self.greedy(np.frombuffer(b"".join(words), np.uint8), ends)
-        word = np.repeat(np.arange(len(words)), counts)
+        sizes = np.array([len(w) for w in words])
+        ends = np.cumsum(sizes)
+        pieces = (sizes + PIECE - 1) // PIECE
+        within = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+        piece_ends = np.minimum(np.repeat(ends - sizes, pieces) + (within + 1) * PIECE, np.repeat(ends, pieces))
+        flat, counts = self.greedy(np.frombuffer(b"".join(words), np.uint8), piece_ends)
+        word = np.repeat(np.repeat(np.arange(len(words)), pieces), counts)
+        counts = np.bincount(word, minlength=len(words))
         inner = np.flatnonzero(word[1:] == word[:-1])
         pairs, place = np.unique((flat[inner] << 32) | flat[inner + 1], return_inverse=True)
         bad = ~self.compatible(pairs >> 32, pairs & 0xFFFFFFFF)
@@ -238,7 +244,7 @@ class Vocabulary:
         if not len(failed):
             return flat, counts
         repaired: dict[int, list[int]] = {}
-        sizes = np.diff(ends, prepend=0)[failed]
+        sizes = sizes[failed]
         for low, high in ((0, 8), (8, 16), (16, 32), (32, 64)):
             own = failed[(sizes > low) & (sizes <= high)]
             for lo in range(0, len(own), 4096):
@@ -275,15 +281,15 @@ def vocabulary(path: str) -> Vocabulary:
 class _Encoder:
     """Encodings of the words seen: one flat array, and where each word's ids begin and end."""
 
-    def __init__(self, path: str):
-        self.vocabulary = vocabulary(path)
+    def __init__(self, path: str, specials: bool = True, cached: int = CACHED):
+        self.vocabulary, self.cached = vocabulary(path), cached
         near = PATTERN.replace(r"[^\s\p{L}\p{N}]", f"[^{NEAR_SPACES}{NEAR_LETTERS}{NEAR_NUMBERS}]").replace(r"\S", f"[^{NEAR_SPACES}]")
         near = near.replace(r"\p{L}", f"[{NEAR_LETTERS}]").replace(r"\p{N}", f"[{NEAR_NUMBERS}]").replace(r"\s", f"[{NEAR_SPACES}]")
         self.near_pattern, self.far = re.compile(near), re.compile("[^\x00-\u024f]")
         self.pattern, self.later = regex.compile(PATTERN), re.compile(f"[{LATER}]")
         exact = PATTERN.replace(r"[^\s\p{L}\p{N}]", r"(?:[^\s\p{L}\p{N}]|[LATER])").replace(r"\p{L}+", LETTER + "+").replace(r"\p{N}+", NUMBER + "+")
         self.exact_pattern = regex.compile("(?V1)" + exact.replace("LATER", LATER))
-        special = sorted(self.vocabulary.specials, key=len, reverse=True)
+        special = sorted(self.vocabulary.specials, key=len, reverse=True) if specials else []
         self.special = regex.compile("(" + "|".join(map(regex.escape, special)) + ")") if special else None
         self.forget()
 
@@ -326,7 +332,7 @@ class _Encoder:
         """Ids of all texts in a row, and the number of ids of each text."""
         parts = [self.split(t) for t in texts]
         words = [w for p in parts for w in p]
-        if len(self.index) > CACHED:
+        if len(self.index) > self.cached:
             self.forget()
         at = np.fromiter(map(self.index.get, words, repeat(-1)), np.int64, len(words))
         missing = np.flatnonzero(at < 0).tolist()
@@ -354,18 +360,55 @@ def _pieces(texts: list[str]):
         yield part
 
 
+def _encoder(path: str) -> _Encoder:
+    cache = process_cache()
+    key = f"encoder {path}"
+    if key not in cache:
+        cache[key] = _Encoder(path)
+    return cache[key]
+
+
+def _encoded(texts: list[str], path: str) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all texts in a row, and the number of ids of each text."""
+    parts = [_encoder(path).encode(part) for part in _pieces(texts)]
+    return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
+
+
+def _letters(path: str) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all tokens in a row, and where each token's begin and end."""
+    cache = process_cache()
+    key = f"letters {path}"
+    if key not in cache:
+        tokens = token_bytes(path)
+        cache[key] = (np.frombuffer(b"".join(tokens), np.uint8), np.cumsum([0] + [len(b) for b in tokens]))
+    return cache[key]
+
+
+def _decoded(ids: np.ndarray, offsets: np.ndarray, path: str) -> list[str]:
+    """The text of each ids[offsets[i]:offsets[i + 1]]."""
+    data, at = _letters(path)
+    out, lo, n = [], 0, len(offsets) - 1
+    while lo < n:
+        hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + BATCH_BYTES // 4, "right")) - 1)
+        hi = min(hi, n)
+        known = ids[offsets[lo] : offsets[hi]].astype(np.int64)
+        usable = (known >= 0) & (known < len(at) - 1)
+        known = np.where(usable, known, 0)
+        counts = np.where(usable, at[known + 1] - at[known], 0)
+        total = np.concatenate([[0], np.cumsum(counts)])
+        raw = data[np.repeat(at[known] - total[:-1], counts) + np.arange(total[-1])].tobytes()
+        edges = total[offsets[lo : hi + 1] - offsets[lo]]
+        out += [raw[a:b].decode("utf-8", "replace") for a, b in zip(edges, edges[1:], strict=False)]
+        lo = hi
+    return out
+
+
 def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "token_ids", keep: list[str] | None = None) -> DataFrame:
     """Columns `keep` (default all) of `docs` with the token ids of each whole text; special strings count as special tokens."""
 
     def run(texts: pa.Array) -> list:
-        cache = process_cache()
-        encoder = cache.get(f"encoder {path}") or cache.setdefault(f"encoder {path}", _Encoder(path))
-        flat, counts = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
-        for part in _pieces([t or "" for t in texts.to_pylist()]):
-            a, b = encoder.encode(part)
-            flat.append(a)
-            counts.append(b)
-        return [lists(np.concatenate(flat), np.concatenate(counts), pa.int32())]
+        flat, counts = _encoded([t or "" for t in texts.to_pylist()], path)
+        return [lists(flat, counts, pa.int32())]
 
     return map_columns(docs, run, [text], docs.columns if keep is None else keep, f"{quoted(ids)} array<int>")
 
@@ -374,29 +417,17 @@ def decode(coded: DataFrame, path: str, ids: str = "token_ids", text: str = "dec
     """Columns `keep` (default all) of `coded` with the text that the ids stand for."""
 
     def run(column: pa.Array) -> list:
-        cache = process_cache()
-        table = cache.get(f"letters {path}")
-        if table is None:
-            tokens = token_bytes(path)
-            data = np.frombuffer(b"".join(tokens), np.uint8)
-            ends = np.cumsum([len(b) for b in tokens])
-            table = cache[f"letters {path}"] = (data, np.concatenate([[0], ends]))
-        data, at = table
-        out, lo = [], 0
-        offsets = column.offsets.to_numpy()
-        values = column.values.to_numpy(zero_copy_only=False)
-        while lo < len(column):
-            hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + BATCH_BYTES // 4, "right")) - 1)
-            hi = min(hi, len(column))
-            known = values[offsets[lo] : offsets[hi]].astype(np.int64)
-            usable = (known >= 0) & (known < len(at) - 1)
-            known = np.where(usable, known, 0)
-            counts = np.where(usable, at[known + 1] - at[known], 0)
-            total = np.concatenate([[0], np.cumsum(counts)])
-            raw = data[np.repeat(at[known] - total[:-1], counts) + np.arange(total[-1])].tobytes()
-            edges = total[offsets[lo : hi + 1] - offsets[lo]]
-            out += [raw[a:b].decode("utf-8", "replace") for a, b in zip(edges, edges[1:], strict=False)]
-            lo = hi
-        return [pa.array(out, pa.string())]
+        return [pa.array(_decoded(column.values.to_numpy(zero_copy_only=False), column.offsets.to_numpy(), path), pa.string())]
 
     return map_columns(coded, run, [ids], coded.columns if keep is None else keep, f"{quoted(text)} string")
+
+
+def encode_and_decode(docs: DataFrame, path: str, text: str = "text", ids: str = "token_ids", decoded: str = "decoded", keep: list[str] | None = None) -> DataFrame:
+    """`encode` and then `decode` in one pass, with one Python worker for both."""
+
+    def run(texts: pa.Array) -> list:
+        flat, counts = _encoded([t or "" for t in texts.to_pylist()], path)
+        back = _decoded(flat, np.cumsum(np.concatenate([[0], counts])), path)
+        return [lists(flat, counts, pa.int32()), pa.array(back, pa.string())]
+
+    return map_columns(docs, run, [text], docs.columns if keep is None else keep, f"{quoted(ids)} array<int>, {quoted(decoded)} string")

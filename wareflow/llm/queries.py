@@ -69,9 +69,8 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
-    coded = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), VOCABULARY, keep=["doc_id"])
-    decoded = bpe.decode(coded, VOCABULARY)
-    return decoded.select(
+    coded = bpe.encode_and_decode(table(spark, sf_dir, "documents").select("doc_id", "text"), VOCABULARY, keep=["doc_id"])
+    return coded.select(
         "doc_id",
         F.size("token_ids").cast("bigint").alias("n_tokens"),
         F.sha2(F.array_join(F.col("token_ids").cast("array<string>"), ","), 256).alias("ids_sha256"),

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wareflow.llm.arrays import PLAIN, WORD_BASE, Words, find_words, map_columns, quoted, packed_texts, range_hashes, set_aside, text_chunks, unpacked
+from wareflow.llm.arrays import PLAIN, WORD_BASE, Words, find_words, map_columns, quoted, packed_texts, range_hashes, set_aside, slices, text_chunks, unpacked
 from wareflow.operators.shared import shared_folder, stored
 
 CHUNK_WORDS = 64
@@ -105,7 +105,7 @@ def _document_windows(keyed: DataFrame, window: int) -> DataFrame:
     """(small, id, mark): the half windows that stand for full ones of each document, once each."""
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches, 3):
             ids, marks = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             for lo, _, data, offsets in text_chunks(batch.column(2)):
                 w = _Windows(data, offsets, window)
@@ -124,7 +124,7 @@ def _chunks(keyed: DataFrame, window: int) -> DataFrame:
     """(h1, h2, id, mark, start): chunks of every document, with a hash of their words."""
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches, 3):
             ids, marks = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             for lo, _, data, offsets in text_chunks(batch.column(2)):
                 w = _Windows(data, offsets, window)
@@ -157,7 +157,7 @@ def _candidates(joined: DataFrame, window: int) -> DataFrame:
     """(h1, h2, id, mark, start): full windows whose stand-in is repeated, outside settled chunks."""
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches, 4):
             ids, marks = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             for lo, hi, data, offsets in text_chunks(unpacked(batch.column(2))):
                 wanted = [batch.column(3)[i].values for i in range(lo, hi)]
