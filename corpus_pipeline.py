@@ -43,10 +43,8 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with their token ids; the text is what the ids decode to."""
-    coded = bpe.encode(docs, VOCABULARY)
-    decoded = bpe.decode(coded, VOCABULARY, text="decoded", keep=[c for c in coded.columns if c != "text"])
-    out = decoded.withColumnRenamed("decoded", "text").withColumn("n_tokens", F.size("token_ids").cast("bigint"))
-    return out.select(*docs.columns, "token_ids", "n_tokens")
+    coded = bpe.encode_and_decode(docs, VOCABULARY, decoded="text")
+    return coded.withColumn("n_tokens", F.size("token_ids").cast("bigint")).select(*docs.columns, "token_ids", "n_tokens")
 
 
 def _measured(docs: DataFrame, like: DataFrame) -> DataFrame:
