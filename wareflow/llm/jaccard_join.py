@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wareflow.llm.arrays import FOLDED, WORD_BASE, find_words, map_columns, mix, packed_texts, quoted, range_hashes, text_chunks, unpacked
+from wareflow.llm.arrays import FOLDED, WORD_BASE, find_words, map_columns, mix, packed_texts, quoted, range_hashes, slices, text_chunks, unpacked
 from wareflow.llm.url_filter import MAX_BLOCKS, passing
 from wareflow.operators.shared import shared_folder, stored
 
@@ -118,14 +118,14 @@ def _signatures(docs: DataFrame, length: int, similar: int) -> DataFrame:
     cuts = Cuts(similar)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, 2):
             held, size = [], 0
             for number, s in zip(batch.column(0).to_pylist(), shingle_sets(batch.column(1), length), strict=True):
                 if len(s):
                     got = cuts.signatures(s)
                     held.append((number, got))
                     size += len(got)
-                if size > 200_000:
+                if size > 50_000:
                     yield _rows(held)
                     held, size = [], 0
             if held:
@@ -210,7 +210,7 @@ def _sketches(texts: DataFrame, length: int, similar: int) -> DataFrame:
     cuts = Cuts(similar)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, 2):
             rows: list[tuple] = []
             for number, s in zip(batch.column(0).to_pylist(), shingle_sets(unpacked(batch.column(1)), length), strict=True):
                 for size_class in cuts.classes(len(s)):
