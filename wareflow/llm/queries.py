@@ -1,4 +1,4 @@
-"""The ten operators over their whole tables: what each query returns is derived from the operator's result."""
+"""The operators over their whole tables: what each query returns is derived from the operator's result."""
 
 from __future__ import annotations
 
@@ -8,11 +8,12 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wareflow.llm import bpe, decontamination, fingerprints, html_extraction, jaccard_join, language_id, substring_dedup, token_counts, toxicity, url_filter
+from wareflow.llm import bpe, decontamination, fingerprints, html_extraction, jaccard_join, language_id, line_dedup, periodic_runs, substring_dedup, token_alignment, token_counts, toxicity, url_filter
 
 Query = tuple[Callable[[SparkSession, str], DataFrame], str | None]
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 TOKEN_LIMIT = 512
 # Bound of the sample of labelled rows that the toxicity classifier is fitted on; see toxicity.labelled_sample
 LABELLED = 50_000
@@ -119,6 +120,50 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    aligned = token_alignment.align(docs, VOCABULARY, PIECES, keep=["doc_id"])
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
+    return token_alignment.score_links(aligned.withColumn("groups_sha256", digest).drop("groups"))
+
+
+def rewound(doc_id: Column, text: Column) -> Column:
+    """Text of every tenth document by hash, with the words from one on repeated from there; others as they are."""
+    h = F.crc32(doc_id.cast("string"))
+    g = F.floor(h / 10)
+
+    def edited(words: Column) -> Column:
+        n = F.size(words)
+        a = g % n
+        p = 1 + F.floor((n - a) / (3 + g % 8))
+        at = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.get(words, F.when(i >= a, a + (i - a) % p).otherwise(i).cast("int")))
+        return F.when(n > 0, F.array_join(at, " "))
+
+    words = F.regexp_extract_all(text, F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    return F.when(h % 10 == 0, F.element_at(F.transform(F.array(words), edited), 1)).otherwise(text)
+
+
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", rewound(F.col("doc_id"), F.col("text")).alias("text"))
+    found = periodic_runs.find_runs(docs, shortest=24, times=3, keep=["doc_id"])
+    listed = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    best = F.col("strongest")
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        *[best[c].alias(c) for c in ("start", "length", "period")],
+        F.expr("(1000 * strongest.length) div strongest.period").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform(listed, lambda x: F.concat(x, F.lit("\n"))), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    cut = line_dedup.dedup_lines(docs, least=10, shortest=1)
+    return cut.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _FOLDED = f"translate(text, '{UPPER}', '{LOWER}')"
 _PLAIN_WORDS = r"coalesce(regexp_extract_all({}, '[^\x20\x09-\x0D]+'), [])"
@@ -159,6 +204,16 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
 FROM d LEFT JOIN counted USING (doc_id) LEFT JOIN named USING (doc_id)
 """
 
+OP13_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
+lines AS (SELECT r, unnest(l) AS line, unnest(range(len(l))) AS i FROM d),
+keyed AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(11) || chr(12) || chr(13)), '{UPPER}', '{LOWER}') AS k FROM lines),
+common AS (SELECT k FROM keyed WHERE length(k) >= 1 GROUP BY k HAVING count(DISTINCT r) >= 10),
+kept AS (SELECT r, count(*) AS n, string_agg(line, chr(10) ORDER BY i) AS t FROM keyed ANTI JOIN common USING (k) GROUP BY r)
+SELECT doc_id, CAST(len(l) AS BIGINT) AS n_lines, CAST(len(l) - coalesce(n, 0) AS BIGINT) AS n_dropped, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (r)
+"""
+
 
 QUERIES: dict[str, Query] = {
     "op1_url_filter": (op1, OP1_SQL),
@@ -171,4 +226,7 @@ QUERIES: dict[str, Query] = {
     "op8_fingerprints": (op8, None),
     "op9_token_counts": (op9, None),
     "op10_toxicity": (op10, None),
+    "op11_token_alignment": (op11, None),
+    "op12_periodic_runs": (op12, None),
+    "op13_line_dedup": (op13, OP13_SQL),
 }
