@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from checks.answers import BATCH_DUCK, OPTIONS_DUCK
 from checks.grouping import members
-from checks.parsing import MARKED_DUCK, PROD_COLUMNS, Query, cat, images_as_text, slug_sql
+from checks.parsing import IN_ORDER_COLUMNS, MARKED_DUCK, PROD_COLUMNS, Query, cat, images_as_text, in_order, price_list_files, slug_sql
 from checks.views import VIEWS, duck, products, view
 from wareflow.functions.options import normal_option_name
 from wareflow.functions.text import number_text
@@ -23,7 +23,7 @@ from wareflow.operators.stats import run_stats
 from wareflow.plans.catalogue import KEPT, catalogue_files, catalogue_import, groups_of, import_columns, resumed_import
 from wareflow.sources.import_files import read_import_file, write_import_csv, write_import_files
 from wareflow.sources.tables import read_batches, write_batches
-from wareflow.streaming.ingest import incremental_ingest, ingest_batch, ingested_products, rerun_failed
+from wareflow.streaming.ingest import incremental_ingest, ingest_batch, ingested_products, raw_tables, rerun_failed
 
 
 def opts(s, d):
@@ -176,10 +176,27 @@ def _limited_files(s, d):
     return rows.select("group_index", "line_no", "batch_no", "batch_row", "file_no", "file_name")
 
 
+def _deliver(raw, folder, test) -> None:
+    """Some raw rows as Parquet files."""
+    raw.where(test).repartitionByRange(2, "row_no").write.mode("append").parquet(f"{folder}/incoming")
+
+
+def _halves(raw):
+    half = raw.select(F.expr("percentile_approx(row_no, 0.5)")).scalar()
+    return F.col("row_no") <= half, F.col("row_no") > half
+
+
+def _ingest(s, raw, folder, **options) -> None:
+    incremental_ingest(s, f"{folder}/incoming", f"{folder}/target", f"{folder}/progress", raw_tables(raw.schema), files="part-*", **options).awaitTermination()
+
+
+def _ingested(s, folder):
+    return images_as_text(ingested_products(s, f"{folder}/target"))
+
+
 def _ingest_after_failure(s, d):
     """Two deliveries; the first breaks after its products are written, and is run again at the end."""
     folder, raw = shared_folder(s), cat(s, d)
-    half = raw.select(F.expr("percentile_approx(row_no, 0.5)")).scalar()
 
     def breaks(rows, target, batch_id):
         if batch_id:
@@ -187,15 +204,33 @@ def _ingest_after_failure(s, d):
         rows.select("upc").withColumn("batch_id", F.lit(0)).write.partitionBy("batch_id").parquet(f"{target}/codes")
         raise OSError("disk full")
 
-    for test in (F.col("row_no") > half, F.col("row_no") <= half):
-        raw.where(test).coalesce(1).write.mode("append").parquet(f"{folder}/incoming")
-        stream = s.readStream.schema(raw.schema).parquet(f"{folder}/incoming")
-        incremental_ingest(stream, f"{folder}/target", f"{folder}/progress", breaks).awaitTermination()
-    rerun_failed(s, f"{folder}/target")
-    return ingested_products(s, f"{folder}/target").select(*_INGESTED)
+    for test in reversed(_halves(raw)):
+        _deliver(raw, folder, test)
+        _ingest(s, raw, folder, process=breaks)
+    rerun_failed(s, f"{folder}/target", raw_tables(raw.schema))
+    return _ingested(s, folder)
 
 
-_INGESTED = ["row_no", "brand", "upc", "name", "quantity", "price", "tax", "vat_percentage", "total_with_vat", "category"]
+def _ingest_past_broken_file(s, d):
+    """Three deliveries; the files of the second are no tables, and stay so when it is run again."""
+    folder, raw = shared_folder(s), cat(s, d)
+    first, second = _halves(raw)
+    _deliver(raw, folder, first)
+    _ingest(s, raw, folder)
+    raw.select(F.coalesce("name", F.lit(""))).write.text(f"{folder}/incoming/broken")
+    _ingest(s, raw, folder)
+    _deliver(raw, folder, second)
+    _ingest(s, raw, folder)
+    still = rerun_failed(s, f"{folder}/target", raw_tables(raw.schema))
+    return _ingested(s, folder).withColumn("failed_deliveries", F.lit(len(still)))
+
+
+def _ingest_price_lists(s, d):
+    """CSV price lists of different layouts and encodings, two files a delivery; rows keep their order."""
+    folder = shared_folder(s)
+    price_list_files(s, d, folder=f"{folder}/incoming")
+    incremental_ingest(s, f"{folder}/incoming", f"{folder}/target", f"{folder}/progress", max_files=2, files="part-*").awaitTermination()
+    return in_order(_ingested(s, folder))
 
 
 def _full(select: str) -> str:
@@ -234,12 +269,10 @@ def _resume(s, d):
 def ingest_twice(s, raw):
     """A catalogue delivered as two sets of files, one after the other."""
     folder = shared_folder(s)
-    half = raw.select(F.expr("percentile_approx(row_no, 0.5)")).scalar()
-    for part, test in enumerate((F.col("row_no") <= half, F.col("row_no") > half)):
-        raw.where(test).repartitionByRange(2, "row_no").write.mode("append").parquet(f"{folder}/incoming")
-        stream = s.readStream.schema(raw.schema).option("maxFilesPerTrigger", 10).parquet(f"{folder}/incoming")
-        incremental_ingest(stream, f"{folder}/target", f"{folder}/progress").awaitTermination()
-    return ingested_products(s, f"{folder}/target").select(*_INGESTED)
+    for test in _halves(raw):
+        _deliver(raw, folder, test)
+        _ingest(s, raw, folder, max_files=10)
+    return _ingested(s, folder)
 
 
 def _run_stats(s, d):
@@ -408,14 +441,22 @@ QUERIES: dict[str, Query] = {
         _resume,
         duck("SELECT group_no, CAST(floor((gi - 1) / 20) AS BIGINT) + 1 AS batch_no FROM grp WHERE (CAST(floor((gi - 1) / 20) AS BIGINT) + 1) % 2 = 1", "grp"),
     ),
+    "ingest_past_broken_file": (
+        _ingest_past_broken_file,
+        duck(f"SELECT {PROD_COLUMNS}, 1 AS failed_deliveries FROM prod", "prod"),
+    ),
+    "ingest_price_lists": (
+        _ingest_price_lists,
+        duck(f"SELECT {IN_ORDER_COLUMNS} FROM fprod", "fprod"),
+    ),
     "incremental_ingest": (
         lambda s, d: ingest_twice(s, cat(s, d)),
-        duck(f"SELECT {', '.join(_INGESTED)} FROM prod", "prod"),
+        duck(f"SELECT {PROD_COLUMNS} FROM prod", "prod"),
     ),
     "ingest_after_failure": (
         # the later rows fail first and are run again last, so the earlier rows take their codes as ever
         _ingest_after_failure,
-        duck(f"SELECT {', '.join(_INGESTED)} FROM prod", "prod"),
+        duck(f"SELECT {PROD_COLUMNS} FROM prod", "prod"),
     ),
     "limited_files": (
         _limited_files,

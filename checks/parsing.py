@@ -15,6 +15,7 @@ from wareflow.functions.text import slug
 from wareflow.operators import cleaning, direct
 from wareflow.operators.cleaning import parse_catalog
 from wareflow.operators.layouts import DIRECT_COLUMNS
+from wareflow.operators.ordering import global_row_index
 from wareflow.operators.shared import shared_folder
 from wareflow.sources.catalog import OPTIONAL, read_direct_catalog, read_products
 
@@ -29,6 +30,11 @@ def images_as_text(df: DataFrame) -> DataFrame:
     return df.withColumn("images", F.array_join("images", "|"))
 
 
+def in_order(df: DataFrame) -> DataFrame:
+    """Rows with their position by ``row_no`` in its place."""
+    return global_row_index(df, "row_no", "nth").drop("row_no")
+
+
 PROD_COLUMNS = (
     "row_no, brand, upc, name, quantity, price, tax, vat_percentage, total_with_vat, category, "
     "array_to_string(images, '|') AS images"
@@ -98,13 +104,16 @@ SPOILED = """SELECT row_no, CASE WHEN row_no % 7 = 0 THEN '' ELSE name END AS na
   CASE WHEN row_no % 13 = 0 THEN -price ELSE price END AS price, CASE WHEN row_no % 17 = 0 THEN 0 ELSE quantity END AS quantity FROM {prod}"""
 
 
-def _price_lists(s, d, mixed: bool) -> list[str]:
-    """The catalogue as three CSV files in row order: UTF-8, UTF-8 with mark, ISO-8859-1.
+IN_ORDER_COLUMNS = "row_number() OVER (ORDER BY row_no) AS nth, " + PROD_COLUMNS.removeprefix("row_no, ")
+
+
+def price_list_files(s, d, mixed: bool = True, folder: str | None = None) -> list[str]:
+    """The catalogue as three sets of CSV files in row order: UTF-8, UTF-8 with mark, ISO-8859-1.
 
     With `mixed`, the second has the other layout and its columns in another order, and none has the
     Arabic name, which ISO-8859-1 cannot hold; without, all are UTF-8 and have it.
     """
-    folder, rows = shared_folder(s), view(s, d, "fcat")
+    folder, rows = folder or shared_folder(s), view(s, d, "fcat")
     cuts = rows.select(F.expr("percentile_approx(row_no, array(0.3, 0.7))")).scalar()
     rows = rows.withColumn("_cuts", cuts)
     named = {"brand": "PIM | Brand", "upc": "UPC Code", "name": "English Description", "cost": "COST", **OPTIONAL}
@@ -117,7 +126,7 @@ def _price_lists(s, d, mixed: bool) -> list[str]:
         ("c", F.col("row_no") > high, {**named, **arabic}, "ISO-8859-1" if mixed else "UTF-8", ""),
     ]
     for name, test, columns, encoding, mark in parts:
-        own = rows.where(test).coalesce(1).sortWithinPartitions("row_no")
+        own = rows.where(test).repartitionByRange(2, "row_no").sortWithinPartitions("row_no")
         cells = [F.col(c).alias(mark + title if i == 0 else title) for i, (c, title) in enumerate(columns.items())]
         options = {"header": True, "escape": '"', "encoding": encoding, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
         own.select(*cells).write.options(**options).csv(f"{folder}/{name}")
@@ -156,12 +165,12 @@ QUERIES: dict[str, Query] = {
         duck(f"SELECT row_no, name <> '' AND upc <> '' AND coalesce(price, 0) >= 0 AND quantity > 0 AS valid FROM ({SPOILED.format(prod='prod')})", "prod"),
     ),
     "read_products_files": (
-        lambda s, d: parse_catalog(read_products(s, _price_lists(s, d, mixed=True))).drop("row_no").withColumn("images", F.array_join("images", "|")),
-        duck(f"SELECT {PROD_COLUMNS.removeprefix('row_no, ')} FROM fprod", "fprod"),
+        lambda s, d: in_order(images_as_text(parse_catalog(read_products(s, price_list_files(s, d))))),
+        duck(f"SELECT {IN_ORDER_COLUMNS} FROM fprod", "fprod"),
     ),
     "read_direct_files": (
-        lambda s, d: direct.direct_rows(read_direct_catalog(s, _price_lists(s, d, mixed=False)), ("image_no",)).where("image_no = 0").drop("image_no"),
-        duck(f"SELECT {DIRECT_SELECT} FROM ({DIRECT_DUCK.replace('FROM cat', 'FROM fcat')})", "fcat"),
+        lambda s, d: in_order(direct.direct_projection(read_direct_catalog(s, price_list_files(s, d, mixed=False)), ("row_no",))),
+        duck(f"SELECT row_number() OVER (ORDER BY row_no) AS nth, {DIRECT_SELECT} FROM ({DIRECT_DUCK.replace('FROM cat', 'FROM fcat')})", "fcat"),
     ),
     "image_cells_strict": (
         lambda s, d: _cells(s, d, c.image_cells_strict),

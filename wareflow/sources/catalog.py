@@ -38,7 +38,7 @@ def _file_flags(spark: SparkSession, paths: list[str]) -> DataFrame:
     return lines.groupBy("file").agg(F.bool_and("ok").alias("utf8"), F.min_by("value", "place").alias("header"))
 
 
-def _read(spark: SparkSession, files: list[str], encoding: str, all_files: list[str]) -> DataFrame:
+def _read(spark: SparkSession, files: list[str], encoding: str, all_files: list[str], first_file: int) -> DataFrame:
     df = (
         spark.read.option("header", True)
         .option("multiLine", True)
@@ -47,10 +47,10 @@ def _read(spark: SparkSession, files: list[str], encoding: str, all_files: list[
         .option("encoding", encoding)
         .csv([unquote(f) for f in files])  # metadata paths are URL-encoded
     )
-    return number_rows(df, all_files)
+    return number_rows(df, all_files, first_file)
 
 
-def _parts(spark: SparkSession, path: str | list[str]) -> list[DataFrame]:
+def _parts(spark: SparkSession, path: str | list[str], first_file: int = 0) -> list[DataFrame]:
     """One table for each header and encoding, rows numbered over all files."""
     paths = [path] if isinstance(path, str) else list(path)
     flags = _file_flags(spark, paths).collect()
@@ -60,7 +60,7 @@ def _parts(spark: SparkSession, path: str | list[str]) -> list[DataFrame]:
     for row in sorted(flags, key=lambda r: r["file"]):
         alike.setdefault((row["utf8"], row["header"]), []).append(row["file"])
     all_files = sorted(row["file"] for row in flags)
-    return [_read(spark, files, "UTF-8" if utf8 else "ISO-8859-1", all_files) for (utf8, _), files in alike.items()]
+    return [_read(spark, files, "UTF-8" if utf8 else "ISO-8859-1", all_files, first_file) for (utf8, _), files in alike.items()]
 
 
 def _together(parts: list[DataFrame]) -> DataFrame:
@@ -104,9 +104,12 @@ def unify_layout(df: DataFrame, extra: dict[str, str] | None = None) -> DataFram
     )
 
 
-def read_products(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Raw catalogue rows, ready for ``parse_catalog``; each file may have either layout."""
-    return _together([unify_layout(part) for part in _parts(spark, path)])
+def read_products(spark: SparkSession, path: str | list[str], first_file: int = 0) -> DataFrame:
+    """Raw catalogue rows, ready for ``parse_catalog``; each file may have either layout.
+
+    ``first_file`` is the number of the first file, where files were numbered before.
+    """
+    return _together([unify_layout(part) for part in _parts(spark, path, first_file)])
 
 
 def read_direct_catalog(spark: SparkSession, path: str | list[str]) -> DataFrame:

@@ -1,4 +1,9 @@
-"""Price lists arriving as files: each is parsed once, codes seen before are left out."""
+"""Price lists arriving as files: each is parsed once, codes seen before are left out.
+
+The stream lists files and no more; a delivery is the list of those that came since the last one (at most
+``max_files``). Its files are read inside its own step, so one that cannot be read fails its delivery
+and no other. Deliveries are kept as file paths: a failed one is read again from its files.
+"""
 
 from __future__ import annotations
 
@@ -11,6 +16,22 @@ from pyspark.sql.streaming import StreamingQuery
 
 from wareflow.functions.cleaning import null_if_missing
 from wareflow.operators.cleaning import first_by_upc, parse_catalog
+from wareflow.sources.catalog import read_products
+
+Reader = Callable[[SparkSession, list[str], int], DataFrame]
+Process = Callable[[DataFrame, str, int], None]
+_LISTING = "path string, modificationTime timestamp, length bigint, content binary"
+_DELIVERY = "path string, file_no bigint"
+
+
+def price_lists(spark: SparkSession, paths: list[str], first_file: int) -> DataFrame:
+    """Raw rows of CSV price lists of either layout; row numbers go on from the files before."""
+    return read_products(spark, paths, first_file)
+
+
+def raw_tables(schema) -> Reader:
+    """Reader of Parquet files that hold raw rows with their own ``row_no``."""
+    return lambda spark, paths, first_file: spark.read.schema(schema).parquet(*paths)
 
 
 def _table(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -41,6 +62,11 @@ def failed_deliveries(spark: SparkSession, target: str) -> DataFrame:
     return _table(spark, f"{target}/errors", "message string").join(_done(spark, target), "batch_id", "left_anti")
 
 
+def delivered_files(spark: SparkSession, target: str) -> DataFrame:
+    """(batch_id, path, file_no) of all files that were ever delivered, in the order of their numbers."""
+    return _table(spark, f"{target}/deliveries", _DELIVERY)
+
+
 def _replace_batch(df: DataFrame, path: str, batch_id: int) -> None:
     (
         df.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
@@ -72,47 +98,57 @@ def ingest_batch(raw: DataFrame, target: str, batch_id: int) -> None:
         new.unpersist()
 
 
+def _attempt(spark: SparkSession, target: str, batch_id: int, read: Reader, process: Process) -> bool:
+    """Reads and processes a listed delivery; a failure is recorded."""
+    files = delivered_files(spark, target).where(F.col("batch_id") == batch_id).orderBy("file_no").collect()
+    try:
+        process(read(spark, [r["path"] for r in files], files[0]["file_no"]), target, batch_id)
+    except Exception as error:  # noqa: BLE001 - any failure of one delivery
+        _replace_batch(spark.createDataFrame([(str(error),)], "message string"), f"{target}/errors", batch_id)
+        return False
+    return True
+
+
 def incremental_ingest(
-    stream: DataFrame,
+    spark: SparkSession,
+    incoming: str,
     target: str,
     checkpoint: str,
-    process: Callable[[DataFrame, str, int], None] = ingest_batch,
+    read: Reader = price_lists,
+    process: Process = ingest_batch,
+    max_files: int = 1000,
+    files: str = "*",
 ) -> StreamingQuery:
-    """Run all waiting deliveries of a file stream of raw rows through ``process`` and stop.
+    """Run all waiting deliveries of the folder ``incoming`` through ``process`` and stop.
 
-    A failing delivery is recorded in ``target/errors``, its rows in ``target/failed``, and it does not
-    hold up the next one; ``rerun_failed`` runs it again.
+    ``read`` makes raw rows of the paths of a delivery. A delivery that cannot be read or processed is
+    recorded in ``target/errors`` and does not hold up the next one; ``rerun_failed`` runs it again.
+    ``files`` is a pattern of the names of the files that count.
     """
 
-    def one_delivery(raw: DataFrame, batch_id: int) -> None:
-        try:
-            process(raw, target, batch_id)
-        except Exception as error:  # noqa: BLE001 - any failure of one delivery
-            failed = raw.sparkSession.createDataFrame([(str(error),)], "message string")
-            _replace_batch(failed, f"{target}/errors", batch_id)
-            _replace_batch(raw, f"{target}/failed", batch_id)
-
+    def one_delivery(listed: DataFrame, batch_id: int) -> None:
+        session = listed.sparkSession
+        paths = sorted(r["path"] for r in listed.select("path").collect())  # at most max_files
+        if not paths:
+            return
+        earlier = delivered_files(session, target).where(F.col("batch_id") < batch_id).agg(F.max("file_no")).first()[0]
+        first = 0 if earlier is None else earlier + 1
+        numbered = session.createDataFrame([(p, first + i) for i, p in enumerate(paths)], _DELIVERY)
+        _replace_batch(numbered, f"{target}/deliveries", batch_id)
+        _attempt(session, target, batch_id, read, process)
+
+    listing = spark.readStream.format("binaryFile").schema(_LISTING).option("recursiveFileLookup", True)
     return (
-        stream.writeStream.foreachBatch(one_delivery)
+        listing.option("pathGlobFilter", files).option("maxFilesPerTrigger", max_files).load(incoming)
+        .select("path")
+        .writeStream.foreachBatch(one_delivery)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
 
 
-def rerun_failed(
-    spark: SparkSession,
-    target: str,
-    process: Callable[[DataFrame, str, int], None] = ingest_batch,
-) -> list[int]:
+def rerun_failed(spark: SparkSession, target: str, read: Reader = price_lists, process: Process = ingest_batch) -> list[int]:
     """Run the recorded deliveries again, oldest first; returns those that still fail."""
     waiting = [r["batch_id"] for r in failed_deliveries(spark, target).select("batch_id").distinct().orderBy("batch_id").collect()]
-    still = []
-    for batch_id in waiting:
-        raw = spark.read.parquet(f"{target}/failed").where(F.col("batch_id") == batch_id).drop("batch_id")
-        try:
-            process(raw, target, batch_id)
-        except Exception as error:  # noqa: BLE001 - any failure of one delivery
-            _replace_batch(spark.createDataFrame([(str(error),)], "message string"), f"{target}/errors", batch_id)
-            still.append(batch_id)
-    return still
+    return [batch_id for batch_id in waiting if not _attempt(spark, target, batch_id, read, process)]
