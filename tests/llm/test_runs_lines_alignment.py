@@ -7,7 +7,6 @@ from fractions import Fraction
 from zlib import crc32
 
 import numpy as np
-import public_tokenizers
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
@@ -267,8 +266,7 @@ def test_windows_are_forgotten(spark, tokenizers, monkeypatch):
     """Results do not depend on what a worker remembers."""
     rows = corpus(6, 30)[7:]
     aligner = token_alignment._Aligner(queries.VOCABULARY, queries.PIECES)
-    monkeypatch.setattr(token_alignment, "WINDOWS", 5)
-    monkeypatch.setattr(token_alignment, "WORDS", 5)
+    monkeypatch.setattr(token_alignment, "CHARACTERS", 50)
     want = [r[-1] for r in aligned_rows(tokenizers, rows)]
     assert [g for _, t in rows for g in aligner.align([t])[4]] == want
 
@@ -286,12 +284,14 @@ def test_alignment_query(spark, tokenizers):
     assert sorted(tuple(r[c] for c in columns) for r in queries.op11(spark, SF).collect()) == want
 
 
-def test_whole_texts_where_pieces_may_cross_blanks():
-    encoder = token_alignment._PieceEncoder(public_tokenizers.path("piece_bpe_32k.model"))
-    texts = [" " + t for t in ODD if t]
-    by_words = encoder.encode(texts)
-    encoder.by_words = False
-    assert all((x == y).all() for x, y in zip(by_words, encoder.encode(texts), strict=True))
+def test_units_give_what_whole_texts_give():
+    """As for a model that cannot be read by units."""
+    texts = [t or "" for t in ODD] + ["a\n  b", "a\n b ", "a \n\n   b\x1c  c\u2028 d", " \t ", "x\n   "]
+    aligner = token_alignment._Aligner(queries.VOCABULARY, queries.PIECES)
+    by_units = aligner.align(texts)
+    aligner.unit = re.compile("(?s).+")
+    aligner.forget()
+    assert all(list(x) == list(y) for x, y in zip(by_units, aligner.align(texts), strict=True))
 
 
 def test_kept_column_names(spark):

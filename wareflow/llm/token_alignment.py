@@ -4,13 +4,14 @@ Tokenizer A is a byte-level BPE vocabulary, B a sentencepiece model; both read t
 before it. Byte offsets at which tokens of both end cut the tokens into groups; the tokens of a group
 are linked with each other.
 
-1. Each text is tokenised whole by both. (Words that came before are not tokenised again: A's words are
-   those of its pattern; B's are cut before blanks, where its model has no piece across.) A text counts
-   only if the bytes of both token rows are those of the text.
+1. Each text is tokenised whole by both. Neither has tokens across a blank that follows a character other
+   than white space, so what stands between two such blanks, a unit, is tokenised alike in all texts,
+   and each worker does so once. A text counts only if the bytes of both token rows are those of the text.
 2. Anchors are shared ends that a token with a leading blank follows on both sides. They cut the token
    rows into windows, mostly of one word.
 3. Windows with the same ids on both sides are aligned alike, so each worker aligns a window once and
-   remembers it by its two tuples of ids, up to `WINDOWS` of them; beyond that it forgets all.
+   remembers it by its two tuples of ids. Units and windows are remembered up to `CHARACTERS` in all;
+   beyond that all are forgotten, so memory is bounded and results do not depend on it.
 4. `score_links` counts, for each pair of ids, the documents that link it. The pairs of most documents,
    at most `FREQUENT` by their share of all, are broadcast with their counts; only the others are
    shuffled, so no pair is a hot key.
@@ -24,26 +25,56 @@ on all machines.
 from __future__ import annotations
 
 import re
-from itertools import repeat
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
 import sentencepiece
+import tiktoken
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from sentencepiece import sentencepiece_model_pb2
 
 from wareflow.llm.arrays import BYTE_BASE, WORD_BASE, lists, map_columns, mix, process_cache, quoted, range_hashes, set_aside
-from wareflow.llm.bpe import _Encoder, _pieces
+from wareflow.llm.bpe import PATTERN, _Encoder, _pieces
 from wareflow.operators.shared import shared_folder, stored
 
-WINDOWS, WORDS = 100_000, 100_000
+CHARACTERS = 2_000_000
 FREQUENT = 1 << 18
 BLANK = "▁"
 
 
-class _PieceEncoder:
-    """Ids of whole texts by a sentencepiece model; encodings of up to `WORDS` words are kept."""
+class _Bytes:
+    """A byte-level BPE vocabulary: tiktoken's reading of it, where its ids are in the order of its merges.
+
+    Texts with letters beyond U+024F, on which readers of different Unicode versions may differ, go
+    through the encoder that keeps to the vocabulary's own.
+    """
+
+    def __init__(self, path: str):
+        self.exact = _Encoder(path, specials=False, cached=20_000)
+        known = self.exact.vocabulary
+        made = known._made
+        self.fast = None
+        if (np.diff(made) > 0).all() and len(made) + 256 == len(known.ids):
+            self.fast = tiktoken.Encoding("units", pat_str=PATTERN, mergeable_ranks=known.ids, special_tokens={})
+        self.bytes = known.bytes
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in a row, and the number of ids of each text."""
+        far = [self.fast is None or not (t.isascii() or not self.exact.far.search(t)) for t in texts]
+        if all(far):
+            return self.exact.encode(texts)
+        ids = [[] if f else self.fast.encode_ordinary(t) for t, f in zip(texts, far, strict=True)]
+        if any(far):
+            flat, counts = self.exact.encode([t for t, f in zip(texts, far, strict=True) if f])
+            own = iter(np.split(flat, np.cumsum(counts)[:-1]))
+            ids = [next(own).tolist() if f else i for i, f in zip(ids, far, strict=True)]
+        return np.fromiter(chain.from_iterable(ids), np.int64), np.array([len(i) for i in ids], np.int64)
+
+
+class _Pieces:
+    """A sentencepiece model, and whether units can be tokenised one by one."""
 
     def __init__(self, path: str):
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -53,39 +84,15 @@ class _PieceEncoder:
         rules = spec.normalizer_spec
         plain = rules.name == "identity" and rules.add_dummy_prefix and not rules.remove_extra_whitespaces
         # no piece has a blank after another character: what stands before a blank never changes what follows
-        self.by_words = plain and not any(BLANK in p.lstrip(BLANK) for p in pieces)
-        self.word = re.compile(" *[^ ]+| +")
+        self.by_units = plain and not any(BLANK in p.lstrip(BLANK) for p in pieces)
         self.bytes = [bytes([int(p[3:5], 16)]) if self.model.is_byte(i) else p.replace(BLANK, " ").encode() for i, p in enumerate(pieces)]
-        self.forget()
-
-    def forget(self) -> None:
-        self.index: dict[str, int] = {}
-        self.flat, self.ends = np.zeros(0, np.int32), np.zeros(1, np.int64)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and the number of ids of each text; every text begins with a blank."""
-        if not self.by_words:
-            ids = self.model.encode([t[1:] for t in texts], num_threads=1)
-            return np.array([i for own in ids for i in own], np.int64), np.array([len(own) for own in ids], np.int64)
-        parts = [self.word.findall(t) for t in texts]
-        words = [w for p in parts for w in p]
-        if len(self.index) > WORDS:
-            self.forget()
-        at = np.fromiter(map(self.index.get, words, repeat(-1)), np.int64, len(words))
-        missing = np.flatnonzero(at < 0).tolist()
-        if missing:
-            new = list(dict.fromkeys(words[i] for i in missing))
-            # the model adds the first blank itself, but not to an empty text
-            ids = [own or [self.model.piece_to_id(BLANK)] for own in self.model.encode([w[1:] for w in new], num_threads=1)]
-            n = len(self.index)
-            self.flat = np.concatenate([self.flat, np.array([i for own in ids for i in own], np.int32)])
-            self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum([len(own) for own in ids])])
-            self.index.update(zip(new, range(n, n + len(new)), strict=True))
-            at[missing] = [self.index[words[i]] for i in missing]
-        counts = self.ends[at + 1] - self.ends[at]
-        total = np.concatenate([[0], np.cumsum(counts)])
-        ids = self.flat[np.repeat(self.ends[at] - total[:-1], counts) + np.arange(total[-1])].astype(np.int64)
-        return ids, np.diff(total[np.cumsum([0] + [len(p) for p in parts])])
+        # the model adds the first blank itself, but not to an empty text
+        blank = [self.model.piece_to_id(BLANK)]
+        ids = [own or blank for own in self.model.encode([t[1:] for t in texts], num_threads=1)]
+        return np.fromiter(chain.from_iterable(ids), np.int64), np.array([len(own) for own in ids], np.int64)
 
 
 class _Tokens:
@@ -109,46 +116,83 @@ def _spread(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 
 class _Aligner:
-    """Both tokenizers, and the windows aligned so far."""
+    """Both tokenizers, and the units and windows seen so far."""
 
     def __init__(self, path_a: str, path_b: str):
-        self.encode_a, self.encode_b = _Encoder(path_a, specials=False, cached=150_000), _PieceEncoder(path_b)
-        self.a, self.b = _Tokens(self.encode_a.vocabulary.bytes), _Tokens(self.encode_b.bytes)
+        self.encode_a, self.encode_b = _Bytes(path_a), _Pieces(path_b)
+        self.a, self.b = _Tokens(self.encode_a.bytes), _Tokens(self.encode_b.bytes)
+        # a unit begins with a blank behind a character that is no white space
+        self.unit = re.compile(r" \s*\S*(?:[^\S ]\s*\S*)*" if self.encode_b.by_units else r"(?s).+")
         self.forget()
 
     def forget(self) -> None:
+        self.held = 0
+        self.units: dict[str, int] = {}
+        # of unit k: tokens of A and B, whether its bytes are given back, and its windows
+        self.n_a, self.n_b, self.good = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool)
+        self.window_at, self.windows = np.zeros(1, np.int64), np.zeros(0, np.int64)
         self.index: dict[tuple[bytes, bytes], int] = {}
-        self.groups: list[str] = []
-        self.n_groups, self.pair_at, self.pairs = np.zeros(0, np.int64), np.zeros(1, np.int64), np.zeros(0, np.int64)
+        self.n_groups = np.zeros(0, np.int64)
+        # of window k: pairs[pair_at[k]:pair_at[k + 1]], and its groups as text with a ; behind each
+        self.pair_at, self.pairs = np.zeros(1, np.int64), np.zeros(0, np.int64)
+        self.name_at, self.names = np.zeros(1, np.int64), np.zeros(0, np.uint8)
 
     def align(self, texts: list[str]) -> tuple:
         """(n_a, n_b, n_groups, n_links, groups, pairs in a row, times of each, pairs per text) of each text."""
         n = len(texts)
-        texts = [" " + t if t else "" for t in texts]
-        (a, of_a), (b, of_b) = self.encode_a.encode(texts), self.encode_b.encode(texts)
-        a = a.astype(np.int64)
-        good = self._given_back(texts, a, of_a, b, of_b)
-        a, b = a[np.repeat(good, of_a)], b[np.repeat(good, of_b)]
-        of_a, of_b = np.where(good, of_a, 0), np.where(good, of_b, 0)
+        parts = [self.unit.findall(" " + t) if t else [] for t in texts]
+        unit = self._known([u for p in parts for u in p])
+        unit_text = np.repeat(np.arange(n), [len(p) for p in parts])
+        bad = np.bincount(unit_text[~self.good[unit]], minlength=n) > 0
+        unit, unit_text = unit[~bad[unit_text]], unit_text[~bad[unit_text]]
+        of_a, of_b = (np.bincount(unit_text, x[unit], n).astype(np.int64) for x in (self.n_a, self.n_b))
+        counts = self.window_at[unit + 1] - self.window_at[unit]
+        window, window_text = self.windows[_spread(self.window_at[unit], counts)], np.repeat(unit_text, counts)
+        sizes = self.name_at[window + 1] - self.name_at[window]
+        names = self.names[_spread(self.name_at[window], sizes)].tobytes()
+        cut = np.append(0, np.cumsum(np.bincount(window_text, sizes, n).astype(np.int64))).tolist()
+        groups = [names[x : max(x, y - 1)].decode() for x, y in zip(cut, cut[1:], strict=False)]
+        n_groups = np.bincount(window_text, self.n_groups[window], n).astype(np.int64)
+        links = self.pair_at[window + 1] - self.pair_at[window]
+        n_links = np.bincount(window_text, links, n).astype(np.int64)
+        # windows of a text first, then their pairs, each with how often it occurs
+        key, often = np.unique(window_text * max(1, len(self.n_groups)) + window, return_counts=True)
+        window, window_text = key % max(1, len(self.n_groups)), key // max(1, len(self.n_groups))
+        links = self.pair_at[window + 1] - self.pair_at[window]
+        kinds, kind = np.unique(self.pairs[_spread(self.pair_at[window], links)], return_inverse=True)
+        of_text, at = np.unique(np.repeat(window_text, links) * max(1, len(kinds)) + kind, return_inverse=True)
+        times = np.bincount(at, np.repeat(often, links), len(of_text)).astype(np.int64)
+        return of_a, of_b, n_groups, n_links, groups, kinds[of_text % max(1, len(kinds))], times, np.bincount(of_text // max(1, len(kinds)), minlength=n)
+
+    def _known(self, units: list[str]) -> np.ndarray:
+        """The number of each unit; new ones are tokenised, compared with their bytes and aligned first."""
+        if self.held > CHARACTERS:
+            self.forget()
+        at = np.fromiter(map(self.units.get, units, repeat(-1)), np.int64, len(units))
+        missing = np.flatnonzero(at < 0).tolist()
+        if missing:
+            new = list(dict.fromkeys(units[i] for i in missing))
+            (a, of_a), (b, of_b) = self.encode_a.encode(new), self.encode_b.encode(new)
+            a = a.astype(np.int64)
+            good = self._given_back(new, a, of_a, b, of_b)
+            counts, windows = self._cut(a[np.repeat(good, of_a)], np.where(good, of_a, 0), b[np.repeat(good, of_b)])
+            self.units.update(zip(new, range(len(self.n_a), len(self.n_a) + len(new)), strict=True))
+            self.held += sum(map(len, new))
+            self.n_a, self.n_b = np.concatenate([self.n_a, of_a]), np.concatenate([self.n_b, of_b])
+            self.good = np.concatenate([self.good, good])
+            self.window_at = np.concatenate([self.window_at, self.window_at[-1] + np.cumsum(counts)])
+            self.windows = np.concatenate([self.windows, windows])
+            at[missing] = [self.units[units[i]] for i in missing]
+        return at
+
+    def _cut(self, a: np.ndarray, of_a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(windows per unit, their numbers in a row): cut where tokens with a leading blank begin on both sides."""
         sizes_a, sizes_b = self.a.sizes[a], self.b.sizes[b]
         start_a, start_b = np.cumsum(sizes_a) - sizes_a, np.cumsum(sizes_b) - sizes_b
-        # windows: from each place where a token with a leading blank begins on both sides
         anchors = np.intersect1d(start_a[self.a.blank[a]], start_b[self.b.blank[b]], assume_unique=True)
         edge_a, edge_b = np.append(np.searchsorted(start_a, anchors), len(a)), np.append(np.searchsorted(start_b, anchors), len(b))
-        text_ends_a = np.cumsum(of_a)
-        window_text = np.searchsorted(text_ends_a, edge_a[:-1], "right")
-        window = self._remembered(a, b, edge_a, edge_b)
-        per_text = np.bincount(window_text, minlength=n)
-        names, cut = [self.groups[w] for w in window.tolist()], np.cumsum(np.append(0, per_text)).tolist()
-        groups = [";".join(names[x:y]) for x, y in zip(cut, cut[1:], strict=False)]
-        links = (self.pair_at[window + 1] - self.pair_at[window]).astype(np.int64)
-        pairs = self.pairs[_spread(self.pair_at[window], links)]
-        kinds, kind = np.unique(pairs, return_inverse=True)
-        of_text, times = np.unique(np.repeat(window_text, links) * max(1, len(kinds)) + kind, return_counts=True)
-        distinct = kinds[of_text % max(1, len(kinds))] if len(kinds) else kinds
-        n_groups = np.bincount(window_text, self.n_groups[window], n).astype(np.int64)
-        n_links = np.bincount(window_text, links, n).astype(np.int64)
-        return of_a, of_b, n_groups, n_links, groups, distinct, times, np.bincount(of_text // max(1, len(kinds)), minlength=n)
+        unit = np.searchsorted(np.cumsum(of_a), edge_a[:-1], "right")
+        return np.bincount(unit, minlength=len(of_a)), self._remembered(a, b, edge_a, edge_b)
 
     def _given_back(self, texts: list[str], a: np.ndarray, of_a: np.ndarray, b: np.ndarray, of_b: np.ndarray) -> np.ndarray:
         """Whether the bytes of both token rows are those of the text."""
@@ -169,8 +213,6 @@ class _Aligner:
 
     def _remembered(self, a: np.ndarray, b: np.ndarray, edge_a: np.ndarray, edge_b: np.ndarray) -> np.ndarray:
         """The number of each window among those remembered; new ones are aligned first."""
-        if len(self.index) > WINDOWS:
-            self.forget()
         n_a, n_b = np.diff(edge_a), np.diff(edge_b)
         hashed = range_hashes(mix(a.astype(np.uint64)), edge_a[:-1], edge_a[1:], WORD_BASE)
         hashed = mix(hashed) + range_hashes(mix(b.astype(np.uint64)), edge_b[:-1], edge_b[1:], BYTE_BASE)
@@ -183,7 +225,9 @@ class _Aligner:
             flat = ids[_spread(edge[check], count[check])] == ids[_spread(edge[like[check]], count[check])]
             same[np.repeat(check, count[check])[~flat]] = False
         one = np.concatenate([one, np.flatnonzero(~same)])
-        keys = [(a[s:t].astype(np.int32).tobytes(), b[u:v].astype(np.int32).tobytes()) for s, t, u, v in zip(edge_a[one].tolist(), edge_a[one + 1].tolist(), edge_b[one].tolist(), edge_b[one + 1].tolist(), strict=True)]
+        raw_a, raw_b = a.astype(np.int32).tobytes(), b.astype(np.int32).tobytes()
+        edges = (x.tolist() for x in (4 * edge_a[one], 4 * edge_a[one + 1], 4 * edge_b[one], 4 * edge_b[one + 1]))
+        keys = [(raw_a[s:t], raw_b[u:v]) for s, t, u, v in zip(*edges, strict=True)]
         missing = list(dict.fromkeys(k for k in keys if k not in self.index))
         if missing:
             self._learn(missing)
@@ -194,27 +238,48 @@ class _Aligner:
         return out
 
     def _learn(self, windows: list[tuple[bytes, bytes]]) -> None:
-        """Aligns windows: tokens between shared ends are linked with each other."""
-        n_groups, per_window, made = [], [], []
-        for key in windows:
-            a, b = (np.frombuffer(k, np.int32) for k in key)
-            end_a, end_b = np.cumsum(self.a.sizes[a]), np.cumsum(self.b.sizes[b])
-            shared = np.intersect1d(end_a, end_b, assume_unique=True)
-            cut_a, cut_b = (np.append(0, np.searchsorted(e, shared) + 1).tolist() for e in (end_a, end_b))
-            ids_a, ids_b, names = a.tolist(), b.tolist(), []
-            before = len(made)
-            for s, t, u, v in zip(cut_a, cut_a[1:], cut_b, cut_b[1:], strict=False):
-                own_a, own_b = ids_a[s:t], ids_b[u:v]
-                names.append(",".join(map(str, own_a)) + "|" + ",".join(map(str, own_b)))
-                made += [(x << 32) | y for x in own_a for y in own_b]
-            n_groups.append(len(names))
-            per_window.append(len(made) - before)
-            self.groups.append(";".join(names))
-        n = len(self.index)
-        self.index.update(zip(windows, range(n, n + len(windows)), strict=True))
-        self.n_groups = np.concatenate([self.n_groups, np.array(n_groups, np.int64)])
-        self.pair_at = np.concatenate([self.pair_at, self.pair_at[-1] + np.cumsum(per_window)])
-        self.pairs = np.concatenate([self.pairs, np.array(made, np.int64)])
+        """Aligns windows, all at once: tokens between shared ends are linked with each other."""
+        a, b = (np.frombuffer(b"".join(w[i] for w in windows), np.int32).astype(np.int64) for i in (0, 1))
+        window_ends = np.cumsum([len(w[0]) // 4 for w in windows])
+        end_a, end_b = np.cumsum(self.a.sizes[a]), np.cumsum(self.b.sizes[b])
+        # both sides of a window have the same bytes, so shared ends never reach over its border
+        shared = np.intersect1d(end_a, end_b, assume_unique=True)
+        cut_a, cut_b = (np.append(0, np.searchsorted(e, shared) + 1) for e in (end_a, end_b))
+        n_a, n_b = np.diff(cut_a), np.diff(cut_b)
+        window = np.searchsorted(window_ends, cut_a[:-1], "right")
+        at = _spread(np.zeros(len(n_a), np.int64), n_a * n_b)
+        owner = np.repeat(np.arange(len(n_a)), n_a * n_b)
+        pairs = (a[cut_a[owner] + at // n_b[owner]] << 32) | b[cut_b[owner] + at % n_b[owner]]
+        n = len(windows)
+        known = len(self.index)
+        self.index.update(zip(windows, range(known, known + n), strict=True))
+        self.n_groups = np.concatenate([self.n_groups, np.bincount(window, minlength=n)])
+        self.pair_at = np.concatenate([self.pair_at, self.pair_at[-1] + np.cumsum(np.bincount(window, n_a * n_b, n).astype(np.int64))])
+        self.pairs = np.concatenate([self.pairs, pairs])
+        # ids in the order of the text: a group's of A, then its of B; each with the mark behind it
+        place_a = np.arange(len(a)) + np.repeat(cut_b[:-1], n_a)
+        place_b = np.arange(len(b)) + np.repeat(cut_a[1:], n_b)
+        ids, marks = np.empty(len(a) + len(b), np.int64), np.full(len(a) + len(b), ord(","), np.uint8)
+        ids[place_a], ids[place_b] = a, b
+        marks[place_a[cut_a[1:] - 1]], marks[place_b[cut_b[1:] - 1]] = ord("|"), ord(";")
+        names, ends = _written(ids, marks)
+        self.names = np.concatenate([self.names, names])
+        self.name_at = np.concatenate([self.name_at, self.name_at[-1] + ends[np.cumsum(np.bincount(window, n_a + n_b, n).astype(np.int64)) - 1]])
+
+
+def _written(numbers: np.ndarray, marks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers in decimal, each with its mark behind it; and where each mark's byte ends."""
+    digits = 1 + sum((numbers >= 10**k).astype(np.int64) for k in range(1, 10))
+    ends = np.cumsum(digits + 1)
+    out = np.empty(int(ends[-1]) if len(ends) else 0, np.uint8)
+    out[ends - 1] = marks
+    rest, k = numbers.copy(), 0
+    while k < 10:
+        own = digits > k
+        out[ends[own] - 2 - k] = 48 + rest[own] % 10
+        rest //= 10
+        k += 1
+    return out, ends
 
 
 def align(docs: DataFrame, path_a: str, path_b: str, text: str = "text", keep: list[str] | None = None) -> DataFrame:
