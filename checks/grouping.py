@@ -8,6 +8,7 @@ from checks.parsing import Query
 from checks.views import base_key_sql, duck, products, ratio_ctes, text_rule, title_sql, view
 from wareflow.functions import names as n
 from wareflow.operators import grouping as g
+from wareflow.operators.similar_names import ratio_matches, text_matches
 
 
 def members(s, d):
@@ -19,14 +20,14 @@ def _simple(s, d):
 
 
 def _close_pairs(s, d):
-    """Base names of a brand with the later ones whose match ratio reaches the limit; bounds come first."""
+    """Base names of a brand with the later ones whose match ratio reaches the limit."""
     bases = g.name_nodes(products(s, d)).groupBy("brand", "base_key").agg(F.min("node_no").alias("first"))
-    bases = bases.withColumn("letters", n.letter_counts(F.col("base_key")))
-    a = bases.select("brand", F.col("base_key").alias("x"), F.col("first").alias("_a"), F.col("letters").alias("_p"))
-    b = bases.select("brand", F.col("base_key").alias("y"), F.col("first").alias("_b"), F.col("letters").alias("_q"))
-    possible = n.ratio_can_reach(F.col("x"), F.col("y"), F.col("_p"), F.col("_q"), g.THRESHOLD)
-    pairs = a.join(b, "brand").where((F.col("_a") < F.col("_b")) & possible).select("x", "y").distinct()
-    return pairs.select("x", "y", F.round(g.sequence_ratio("x", "y"), 9).alias("ratio")).where(F.col("ratio") >= g.THRESHOLD)
+    named = bases.select("brand", F.col("base_key").alias("source"))
+    close = ratio_matches(named, named.withColumnRenamed("source", "target"), g.THRESHOLD)
+    of = lambda column, first: bases.select("brand", F.col("base_key").alias(column), F.col("first").alias(first))
+    pairs = close.join(of("source", "_a"), ["brand", "source"]).join(of("target", "_b"), ["brand", "target"]).where("_a < _b")
+    pairs = pairs.select(F.col("source").alias("x"), F.col("target").alias("y")).distinct()
+    return pairs.select("x", "y", F.round(g.sequence_ratio("x", "y"), 9).alias("ratio"))
 
 
 _BASE_PAIRS_DUCK = """SELECT DISTINCT a.base_key AS x, b.base_key AS y FROM
@@ -38,9 +39,9 @@ def _text_pairs(s, d):
     """First name of each group with the later names of its brand that the text rules join to it."""
     nodes = g.name_nodes(products(s, d))
     seeds = members(s, d).select(F.col("group_no").alias("node_no")).distinct().join(nodes, "node_no")
-    seeds = seeds.select("brand", F.col("node_no").alias("seed_no"), F.col("base_key").alias("base"))
-    joined = nodes.join(seeds, "brand").where((F.col("node_no") > F.col("seed_no")) & n.similar_by_text(F.col("base"), F.col("name_key")))
-    return joined.select("seed_no", "node_no")
+    seeds = seeds.select("brand", F.col("node_no").alias("seed_no"), F.col("base_key").alias("source"))
+    met = text_matches(seeds.select("brand", "source").distinct(), nodes)
+    return met.join(seeds, ["brand", "source"]).where("node_no > seed_no").select("seed_no", "node_no")
 
 
 def _ordered_groups(s, d):

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from wareflow.functions import names as n
 from wareflow.operators import grouping as g
+from wareflow.operators.similar_names import ratio_matches, text_matches
 
 STOP = {"the", "a", "an", "of", "for", "with", "and", "or"}
 
@@ -44,7 +45,7 @@ def random_rows(seed, n_rows):
 
 
 def test_rounds_equal_the_loop(spark):
-    for seed, block in ((1, 2), (2, 5), (3, 500)):
+    for seed, block in ((1, 9), (2, 25), (3, 500)):
         rows = random_rows(seed, 150)
         df = spark.createDataFrame(rows, "row_no bigint, brand string, name string").repartition(3)
         bases = {r.name: r.base for r in df.select("name", n.base_name_key(F.col("name")).alias("base")).collect()}
@@ -52,6 +53,42 @@ def test_rounds_equal_the_loop(spark):
         assert got == loop_leaders(rows, bases), (seed, block)
 
 
+def test_rounds_of_a_large_brand(spark):
+    """Names of one brand, most of them unlike all others: equal to the loop, and few rounds a turn."""
+    rng = random.Random(5)
+    syllables = ["ka", "lo", "mi", "ra", "ven", "tor", "su", "bel", "na", "chi", "po", "du", "fex", "gri"]
+    vocabulary = ["".join(rng.choice(syllables) for _ in range(3)) for _ in range(150)]
+    names = list(dict.fromkeys(" ".join(rng.choice(vocabulary) for _ in range(rng.randrange(1, 5))) + f" {rng.choice([50, 250])}ml" for _ in range(430)))
+    rows = [(i, "A", name) for i, name in enumerate(names)]
+    df = spark.createDataFrame(rows, "row_no bigint, brand string, name string").repartition(3)
+    nodes = g.name_nodes(df)
+    bases = {r.name: r.base_key for r in nodes.collect()}
+    log = []
+    got = {r.node_no: r.seed_no for r in g.name_leaders(nodes, block=60, log=log).collect()}
+    assert got == loop_leaders(rows, bases)
+    assert max(turn for turn, _ in log) <= 9 and sum(left == 0 for _, left in log) in (2, 3)
+
+
+def test_indexes_find_all_similar_names(spark):
+    """Every pair of a base and a name, by the plain rules; odd names too."""
+    rows = random_rows(11, 90)
+    odd = ["a", "ab", "the of", "x" * 90 + " soap", "x" * 88 + " soaps", "Crème brûlée", "soap soap soap", "日本 石鹸", "  rose   oil "]
+    names = sorted({name for _, _, name in rows} | set(odd))
+    nodes = g.name_nodes(spark.createDataFrame([(i, "A" if i % 3 else "B", x) for i, x in enumerate(names)], "row_no bigint, brand string, name string"))
+    plain = nodes.collect()
+    sources = nodes.select("brand", F.col("base_key").alias("source")).distinct()
+    text = {(r.source, r.node_no) for r in text_matches(sources, nodes).collect()}
+    for pack in (3, 2048):
+        ratio = {(r.brand, r.source, r.target) for r in ratio_matches(sources, sources.withColumnRenamed("source", "target"), 0.7, pack).collect()}
+        bases = {(r.brand, r.base_key) for r in plain}
+        assert ratio == {(p, a, b) for p, a in bases for q, b in bases if p == q and SequenceMatcher(None, a, b).ratio() >= 0.7}
+    want = set()
+    for brand, base in {(r.brand, r.base_key) for r in plain}:
+        wanted = set(base.split()) - STOP
+        want |= {(base, r.node_no) for r in plain if r.brand == brand and (base in r.name_key or (len(wanted) >= 2 and wanted <= set(r.name_key.split())))}
+    assert text == want
+
+
 def test_base_names(spark):
     cases = {
         "Shampoo Black 50ml": "Shampoo",

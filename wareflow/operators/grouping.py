@@ -1,25 +1,26 @@
 """Grouping of variants into products: brand blocks, similar names, first seed wins.
 
 A row joins the earliest seed of its brand that it is similar to; a row similar to no earlier seed
-is a seed itself. The work is done on distinct (brand, name) pairs, in rounds:
+is a seed itself. The work is done on distinct (brand, name) pairs, in turns. Each turn takes the first
+undecided names of every brand, twice as many as the turn before (``BLOCK`` at first), so the turns are
+as many as the doublings from ``BLOCK`` to the names of the largest brand.
 
-1. The first ``BLOCK`` undecided names of every brand are settled in order, one bounded task per
-   brand. Brands up to that size are done.
+1. The names of a turn are settled. In the first turn, where they are at most ``BLOCK`` a brand, in one
+   bounded task per brand; later ones in rounds over an index of similar names: a name with a seed among
+   its earlier matches is a member, a name without an undecided one among them is a seed.
 2. The seeds found are earlier than every other undecided name of their brand, so each of those is
-   tested against them and joins the earliest match. Names still undecided go to the next round.
+   looked up among them and joins the earliest match. Names still undecided go to the next turn.
 
-Only seeds are ever compared with names, never names with each other, and what a round emits per
-name is bounded by the seeds of one block. Every comparison is exact; bounds only skip those that
-cannot succeed.
+Names are compared by ``similar_names`` alone, so what a turn compares are names that share a rare word
+or character triple, and packs of base names of like length. Every comparison is exact.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from difflib import SequenceMatcher
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,19 +28,10 @@ from wareflow.functions import names as n
 from wareflow.functions.text import strip, title_case
 from wareflow.operators.ordering import rank_in_key, running
 from wareflow.operators.shared import shared_folder, stored
+from wareflow.operators.similar_names import first_names, ratio_matches, ratio_reaches, text_matches
 
 THRESHOLD = 0.7
 BLOCK = 500
-CACHED_RATIOS = 200_000
-
-
-def ratio_reaches(a: str, b: str, threshold: float) -> bool:
-    """Exact test of the match ratio, the cheap upper bounds first."""
-    total = len(a) + len(b)
-    if total and 2.0 * min(len(a), len(b)) / total < threshold:
-        return False
-    matcher = SequenceMatcher(None, a, b)
-    return matcher.quick_ratio() >= threshold and matcher.ratio() >= threshold
 
 
 @F.pandas_udf(T.DoubleType())
@@ -48,20 +40,6 @@ def sequence_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b)], dtype="float64")
 
 
-def _ratio_filter(threshold: float):
-    @F.pandas_udf(T.BooleanType())
-    def reaches(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        known: dict[tuple[str, str], bool] = {}
-        for a, b in batches:
-            if len(known) > CACHED_RATIOS:
-                known.clear()
-            for pair in set(zip(a, b)) - known.keys():
-                known[pair] = ratio_reaches(*pair, threshold)
-            yield pd.Series([known[pair] for pair in zip(a, b)], dtype="bool")
-
-    return reaches
-
-
 def name_nodes(products: DataFrame) -> DataFrame:
     """Distinct (brand, name) with the first row number and all that the comparisons need."""
     base = n.base_name_key(F.col("name"))
@@ -102,65 +80,88 @@ def _settle_block(threshold: float):
     return settle
 
 
-def _first_names(nodes: DataFrame, block: int) -> DataFrame:
-    in_order = Window.partitionBy("brand").orderBy("node_no")
-    return nodes.withColumn("_n", F.row_number().over(in_order)).where(F.col("_n") <= block).drop("_n")
+def _earliest(matches: DataFrame, sources: DataFrame, keys: list[str], least: dict[str, str]) -> DataFrame:
+    """For each target of `matches` (by `keys`) the least of some columns over its sources."""
+    met = matches.join(sources, ["brand", "source"])
+    return met.groupBy(*keys).agg(*[F.min(c).alias(name) for name, c in least.items()])
 
 
-def _join_seeds(rest: DataFrame, seeds: DataFrame, threshold: float) -> DataFrame:
-    """``rest`` with ``seed_no``: the earliest of the given seeds each name is similar to, or NULL."""
-    # the ratio depends on the base name alone, so it is tested once per distinct base name
-    bases = rest.select("brand", "base_key").distinct().withColumn("_letters", n.letter_counts(F.col("base_key")))
-    of_seed = seeds.select(
-        "brand", "seed_no", F.col("base_key").alias("_seed_base"), n.letter_counts(F.col("base_key")).alias("_seed_letters")
-    )
-    possible = n.ratio_can_reach(
-        F.col("_seed_base"), F.col("base_key"), F.col("_seed_letters"), F.col("_letters"), threshold
-    )
-    by_ratio = (
-        bases.join(of_seed, "brand")
-        .where(possible)
-        .where(_ratio_filter(threshold)("_seed_base", "base_key"))
-        .groupBy("brand", "base_key")
-        .agg(F.min("seed_no").alias("_by_ratio"))
-    )
-    by_text = (
-        rest.select("brand", "node_no", "name_key")
-        .join(of_seed.drop("_seed_letters"), "brand")
-        .where(n.similar_by_text(F.col("_seed_base"), F.col("name_key")))
-        .groupBy("node_no")
-        .agg(F.min("seed_no").alias("_by_text"))
-    )
+def _joined_to(names: DataFrame, seeds: DataFrame, threshold: float) -> DataFrame:
+    """``names`` with ``seed_no``: the earliest of the given (earlier) seeds each is similar to, or NULL."""
+    sources = seeds.groupBy("brand", F.col("base_key").alias("source")).agg(F.min("seed_no").alias("seed_no"))
+    bases = names.select("brand", F.col("base_key").alias("target")).distinct()
+    by_ratio = _earliest(ratio_matches(sources, bases, threshold), sources, ["brand", "target"], {"_by_ratio": "seed_no"})
+    by_text = _earliest(text_matches(sources, names), sources, ["node_no"], {"_by_text": "seed_no"})
     return (
-        rest.join(by_ratio, ["brand", "base_key"], "left")
+        names.join(by_ratio.withColumnRenamed("target", "base_key"), ["brand", "base_key"], "left")
         .join(by_text, "node_no", "left")
         .withColumn("seed_no", F.least("_by_ratio", "_by_text"))
         .drop("_by_ratio", "_by_text")
     )
 
 
-def name_leaders(nodes: DataFrame, threshold: float = THRESHOLD, block: int = BLOCK) -> DataFrame:
-    """(node_no, seed_no) for every node of ``name_nodes``. Runs the rounds, so it is not lazy."""
+def _settled_in_rounds(heads: DataFrame, threshold: float, folder: str, log: list | None) -> DataFrame:
+    """(brand, node_no, seed_no, base_key) of all ``heads``, none of which has an earlier seed outside them.
+
+    Base names stand for the names that have them: per base name, its earliest undecided name and its
+    earliest seed are all that other names ask for.
+    """
+    heads = heads.select("brand", "node_no", "name_key", "base_key")
+    sources = heads.select("brand", F.col("base_key").alias("source")).distinct()
+    by_ratio = stored(ratio_matches(sources, sources.withColumnRenamed("source", "target"), threshold), folder, "by-ratio")
+    by_text = stored(text_matches(sources, heads), folder, "by-text")
+    state = heads.select("brand", "node_no", "base_key", F.lit(None).cast("boolean").alias("seed"))
+
+    def seen(state: DataFrame) -> DataFrame:
+        """With the earliest undecided name (open) and the earliest seed (first) among a name's matches."""
+        own = {"open": F.when(F.col("seed").isNull(), F.col("node_no")), "first": F.when(F.col("seed"), F.col("node_no"))}
+        base = state.groupBy("brand", F.col("base_key").alias("source")).agg(*[F.min(c).alias(name) for name, c in own.items()])
+        ratio = _earliest(by_ratio, base, ["brand", "target"], {"open_r": "open", "first_r": "first"}).withColumnRenamed("target", "base_key")
+        text = _earliest(by_text, base, ["node_no"], {"open_t": "open", "first_t": "first"})
+        joined = state.join(ratio, ["brand", "base_key"], "left").join(text, "node_no", "left")
+        return joined.select(*state.columns, *[F.least(f"{name}_r", f"{name}_t").alias(name) for name in own])
+
+    turn, left = 0, 1
+    while left:
+        member, waits = F.col("first") < F.col("node_no"), F.col("open") < F.col("node_no")
+        decided = F.when(F.col("seed").isNotNull(), F.col("seed")).when(member, False).when(~F.coalesce(waits, F.lit(False)), True)
+        state = stored(seen(state).withColumn("seed", decided).drop("open", "first"), folder, f"state-{turn}")
+        left = state.where("seed IS NULL").count()
+        turn += 1
+        if log is not None:
+            log.append((turn, left))
+    leader = F.when(F.col("seed"), F.col("node_no")).otherwise(F.col("first"))
+    return stored(seen(state).select("brand", "node_no", leader.alias("seed_no"), "base_key"), folder, "settled")
+
+
+def name_leaders(nodes: DataFrame, threshold: float = THRESHOLD, block: int = BLOCK, log: list | None = None) -> DataFrame:
+    """(node_no, seed_no) for every node of ``name_nodes``. Runs the turns, so it is not lazy.
+
+    ``log`` gets (round, names still undecided) of every round of the later turns.
+    """
     folder = shared_folder(nodes.sparkSession)
     schema = "brand string, node_no bigint, seed_no bigint, base_key string"
     undecided = stored(nodes.select("brand", "node_no", "name_key", "base_key"), folder, "nodes")
     decided = []
+    turn = 0
     while True:
-        number = len(decided)
-        heads = _first_names(undecided, block)
-        settled = stored(
-            heads.groupBy("brand").applyInPandas(_settle_block(threshold), schema), folder, f"heads-{number}"
-        )
+        heads = first_names(undecided, block << turn, block)
+        if turn:
+            heads = stored(heads, folder, f"heads-{turn}")
+            settled = _settled_in_rounds(heads, threshold, f"{folder}/turn-{turn}", log)
+        else:
+            settled = stored(heads.groupBy("brand").applyInPandas(_settle_block(threshold), schema), folder, "settled")
         decided.append(settled.select("node_no", "seed_no"))
         rest = undecided.join(settled.select("node_no"), "node_no", "left_anti")
         if rest.isEmpty():
             break
-        seeds = settled.where("node_no = seed_no")
-        joined = stored(_join_seeds(rest, seeds, threshold), folder, f"joined-{number}")
+        rest = stored(rest, folder, f"rest-{turn}")
+        joined = stored(_joined_to(rest, settled.where("node_no = seed_no"), threshold), folder, f"joined-{turn}")
         decided.append(joined.where("seed_no IS NOT NULL").select("node_no", "seed_no"))
         undecided = joined.where("seed_no IS NULL").drop("seed_no")
         if undecided.isEmpty():
             break
+        turn += 1
     leaders = decided[0]
     for part in decided[1:]:
         leaders = leaders.unionByName(part)
