@@ -170,6 +170,14 @@ def _resumed_import(s, d):
     return import_columns(resumed_import(rows, answers, path, groups_per_batch=20))
 
 
+def _resumed_after_change(s, d):
+    """A finished run with other batches and without some answers, then one with all that there is."""
+    path = f"{shared_folder(s)}/batches"
+    rows, answers = _conversion(s, d)
+    resumed_import(rows, answers.where(F.length("cache_key") % 7 != 0), path, groups_per_batch=30)
+    return import_columns(resumed_import(rows, answers, path, groups_per_batch=20))
+
+
 def _limited_files(s, d):
     """Two batches of many: the file names still count all batches."""
     rows = catalogue_files(import_rows(s, d, KEPT, groups_per_batch=20, max_batches=2), 40)

@@ -133,9 +133,13 @@ _BLOCK = """list_max(flatten(list_transform(range(al, ah), lambda i: list_transf
 
 
 def ratio_ctes(pairs: str) -> str:
-    """DuckDB CTEs ``blocks`` and ``ratios(x, y, ratio)`` over a query giving distinct (x, y)."""
+    """DuckDB CTEs ``blocks`` and ``ratios(x, y, ratio)`` over a query giving distinct (x, y).
+
+    Only pairs whose shared letters allow a ratio of 0.7 are scored.
+    """
     return f"""
-pairs AS ({pairs}),
+pairs AS MATERIALIZED (SELECT x, y FROM ({pairs}) WHERE 2.0 * list_sum(list_transform(list_distinct(string_split(x, '')),
+  lambda c: least(length(x) - length(replace(x, c, '')), length(y) - length(replace(y, c, ''))))) / (length(x) + length(y)) >= 0.7),
 blocks AS (
   SELECT x, y, al, ah, bl, bh, {_BLOCK} AS m FROM (SELECT x, y, 0 AS al, length(x) AS ah, 0 AS bl, length(y) AS bh FROM pairs)
   UNION ALL
@@ -145,7 +149,7 @@ blocks AS (
     SELECT x, y, -m.i + m.k AS al, ah, -m.j + m.k AS bl, bh FROM blocks WHERE m.k > 0
   ) WHERE al < ah AND bl < bh
 ),
-ratios AS (SELECT x, y, 2.0 * sum(m.k) / (length(any_value(x)) + length(any_value(y))) AS ratio FROM blocks GROUP BY x, y)"""
+ratios AS MATERIALIZED (SELECT x, y, 2.0 * sum(m.k) / (length(any_value(x)) + length(any_value(y))) AS ratio FROM blocks GROUP BY x, y)"""
 
 
 STOP = "['the','a','an','of','for','with','and','or']"
@@ -158,26 +162,24 @@ def text_rule(base: str, name: str) -> str:
 
 
 MEMBERS_DUCK = f"""
-WITH RECURSIVE nodes AS (
-  SELECT *, row_number() OVER (PARTITION BY brand ORDER BY node_no) AS rk
-  FROM (SELECT brand, name, min(row_no) AS node_no, lower(name) AS nk, any_value(base_key) AS bk, any_value(base_name) AS bn
-        FROM {{based}} GROUP BY brand, name)
+WITH RECURSIVE nodes AS MATERIALIZED (
+  SELECT brand, name, min(row_no) AS node_no, lower(name) AS nk, any_value(base_key) AS bk, any_value(base_name) AS bn
+  FROM {{based}} GROUP BY brand, name
 ), {ratio_ctes('''SELECT DISTINCT a.bk AS x, b.bk AS y FROM nodes a JOIN nodes b ON a.brand = b.brand AND a.node_no < b.node_no
    WHERE a.bk <> b.bk AND 2.0 * least(length(a.bk), length(b.bk)) / (length(a.bk) + length(b.bk)) >= 0.7''')},
-edges AS (
+edges AS MATERIALIZED (
   SELECT b.brand, b.node_no, list(a.node_no ORDER BY a.node_no) AS earlier
   FROM nodes a JOIN nodes b ON a.brand = b.brand AND a.node_no < b.node_no
   LEFT JOIN ratios r ON r.x = a.bk AND r.y = b.bk
   WHERE a.bk = b.bk OR r.ratio >= 0.7 OR {text_rule('a.bk', 'b.nk')}
   GROUP BY b.brand, b.node_no
 ),
-walk AS (
-  SELECT brand, 1 AS step, [node_no] AS seeds FROM nodes WHERE rk = 1
-  UNION ALL
-  SELECT w.brand, w.step + 1, CASE WHEN list_has_any(w.seeds, coalesce(e.earlier, CAST([] AS BIGINT[]))) THEN w.seeds ELSE list_append(w.seeds, n.node_no) END
-  FROM walk w JOIN nodes n ON n.brand = w.brand AND n.rk = w.step + 1 LEFT JOIN edges e ON e.node_no = n.node_no
+seeds AS MATERIALIZED (
+  SELECT brand, list_reduce(list({{{{'no': n.node_no, 'earlier': coalesce(earlier, CAST([] AS BIGINT[]))}}}} ORDER BY n.node_no),
+    lambda found, node: {{{{'no': node.no, 'earlier': CASE WHEN list_has_any(found.earlier, node.earlier) THEN found.earlier ELSE list_append(found.earlier, node.no) END}}}},
+    {{{{'no': CAST(0 AS BIGINT), 'earlier': CAST([] AS BIGINT[])}}}}).earlier AS seeds
+  FROM nodes n LEFT JOIN edges e USING (brand, node_no) GROUP BY brand
 ),
-seeds AS (SELECT brand, arg_max(seeds, step) AS seeds FROM walk GROUP BY brand),
 leaders AS (
   SELECT n.brand, n.name, n.node_no, CASE WHEN list_contains(s.seeds, n.node_no) THEN n.node_no
      ELSE list_min(list_intersect(s.seeds, e.earlier)) END AS seed_no

@@ -41,49 +41,84 @@ def catalogue_requests(members: DataFrame) -> DataFrame:
     return build_requests(groups, "batch").unionByName(build_requests(members, "variants"))
 
 
+def _import_parts(members: DataFrame, responses: DataFrame, groups_per_batch: int, max_batches: int | None) -> tuple[DataFrame, DataFrame]:
+    """(variants, groups) that ``import_projection`` makes rows of; groups have batch_no, n_batches and handle."""
+    folder = shared_folder(members.sparkSession)
+    # both are read several times below: the roll-up and the parsed options are made once
+    groups, variants = apply_enrichment(stored(groups_of(members), folder, "index"), members, responses)
+    batched = stored(b.assign_batches(groups, groups_per_batch), folder, "batched")
+    # handles follow the enriched title, and are unique over the whole catalogue
+    wanted = b.limit_batches(batched, max_batches).withColumn("n_batches", batched.agg(F.max("batch_no")).scalar())
+    handles = unique_handles(wanted.withColumn("base_name", F.col("title")))
+    if max_batches:
+        variants = variants.join(wanted.select("group_no"), "group_no", "left_semi")
+    variants = variants.select("row_no", "group_no", "brand", "upc", "name", "price", "images", "options")
+    return stored(variants, folder, "variants"), wanted.join(handles, "group_no")
+
+
 def catalogue_import(
     members: DataFrame,
     responses: DataFrame,
     groups_per_batch: int = b.GROUPS_PER_BATCH,
     max_batches: int | None = None,
     keep: tuple[str, ...] = (),
-    done: DataFrame | None = None,
 ) -> DataFrame:
     """Import rows of all groups (or of the first batches), see ``import_projection``.
 
     ``keep`` may name group_no, group_index, batch_no, line_no and n_batches (of the whole catalogue,
-    whatever the limit). Batches in ``done`` (with ``batch_no``) are left out.
+    whatever the limit).
     """
-    folder = shared_folder(members.sparkSession)
-    # both are read several times below: the roll-up and the parsed options are made once
-    groups, variants = apply_enrichment(stored(groups_of(members), folder, "index"), members, responses)
-    batched = stored(b.assign_batches(groups, groups_per_batch), folder, "batched")
-    # handles follow the enriched title, and are unique over the whole catalogue
-    wanted = b.limit_batches(batched, max_batches).withColumn("n_batches", batched.agg(F.max("batch_no")).scalar())
-    handles = unique_handles(wanted.withColumn("base_name", F.col("title")))
-    if done is not None:
-        wanted = b.pending_batches(wanted, done)
-    if max_batches or done is not None:
-        variants = variants.join(wanted.select("group_no"), "group_no", "left_semi")
-    variants = variants.select("row_no", "group_no", "brand", "upc", "name", "price", "images", "options")
-    return import_projection(stored(variants, folder, "variants"), wanted.join(handles, "group_no"), keep)
+    return import_projection(*_import_parts(members, responses, groups_per_batch, max_batches), keep)
 
 
 KEPT = ("group_no", "group_index", "batch_no", "line_no", "n_batches")
 
 
-def resumed_import(members: DataFrame, responses: DataFrame, path: str, **options) -> DataFrame:
+def batch_prints(groups: DataFrame, variants: DataFrame) -> DataFrame:
+    """(batch_no, print): a number that tells whether anything that a batch's rows are made of has changed.
+
+    The sum of a hash of every group and every variant of the batch, so one aggregate each, in any order.
+    The number of batches alone changes no row and does not count.
+    """
+    columns = [c for c in groups.columns if c != "n_batches"]
+    of_groups = groups.select("batch_no", F.xxhash64(F.lit("group"), *columns).alias("h"))
+    of_variants = variants.join(groups.select("group_no", "batch_no"), "group_no").select("batch_no", F.xxhash64(F.lit("variant"), *variants.columns).alias("h"))
+    # sums of halves cannot overflow before 2**31 rows of a batch
+    halves = of_groups.unionByName(of_variants).groupBy("batch_no").agg(
+        F.sum(F.shiftright("h", 32)).alias("high"), F.sum(F.col("h").bitwiseAND(0xFFFFFFFF)).alias("low"), F.count("*").alias("n")
+    )
+    return halves.select("batch_no", F.xxhash64("high", "low", "n").alias("print"))
+
+
+def resumed_import(
+    members: DataFrame,
+    responses: DataFrame,
+    path: str,
+    groups_per_batch: int = b.GROUPS_PER_BATCH,
+    max_batches: int | None = None,
+) -> DataFrame:
     """``catalogue_import`` with the columns ``KEPT``, batch by batch in the table at ``path``.
 
-    Batches found there are not made again; the others are added. Returns the whole table.
+    Every row there carries the print of its batch. Batches found with the print they have now are not
+    made again; changed and new ones are written, and batches that are no more, or hold other rows, do
+    not count. Returns the rows of this run's batches.
     """
     spark = members.sparkSession
+    variants, groups = _import_parts(members, responses, groups_per_batch, max_batches)
+    folder = shared_folder(spark)
+    groups = stored(groups, folder, "groups")
+    prints = stored(batch_prints(groups, variants), folder, "prints")
     try:
-        done = read_batches(spark, path).select("batch_no").distinct()
+        waiting = prints.join(read_batches(spark, path).select("batch_no", "print").distinct(), ["batch_no", "print"], "left_anti")
     except AnalysisException:
-        done = None
-    write_batches(catalogue_import(members, responses, keep=KEPT, done=done, **options), path)
-    return read_batches(spark, path)
+        waiting = prints
+    waiting = stored(waiting, folder, "waiting")
+    pending = groups.join(waiting, "batch_no")
+    own = variants.join(pending.select("group_no"), "group_no", "left_semi")
+    rows = import_projection(own, pending.drop("print"), tuple(k for k in KEPT if k != "n_batches")).join(waiting, "batch_no")
+    write_batches(rows, path)
+    n_batches = groups.agg(F.max("n_batches")).scalar()
+    return read_batches(spark, path).join(prints, ["batch_no", "print"], "left_semi").drop("print").withColumn("n_batches", n_batches)
 
 
 def catalogue_files(rows: DataFrame, max_rows: int = b.ROWS_PER_FILE, name: str = "products") -> DataFrame:
