@@ -479,6 +479,10 @@ QUERIES: dict[str, Query] = {
         _resumed_import,
         _full(f"SELECT {IMPORT_SELECT} FROM out"),
     ),
+    "resume_after_change": (
+        _resumed_after_change,
+        _full(f"SELECT {IMPORT_SELECT} FROM out"),
+    ),
     "run_stats": (
         _run_stats,
         _full(

@@ -10,6 +10,7 @@ from wareflow.functions import images as im
 from wareflow.functions import urls as u
 from wareflow.operators.search import pick_url, query_rows
 from wareflow.operators.shared import shared_folder
+from wareflow.plans.search import with_page_images
 from wareflow.sources.tables import read_pages
 
 
@@ -103,7 +104,33 @@ def _stored_page_images(s, d):
     )
 
 
+def _searched(s, d):
+    """Products with an image of their own for every fourth."""
+    own = F.when(F.col("p_partkey") % 4 == 0, F.array(F.concat(F.lit("https://own.example.com/"), "upc"))).otherwise(F.array().cast("array<string>"))
+    return _part(s, d).select(F.col("p_partkey").alias("row_no"), F.col("p_brand").alias("brand"), F.col("p_name").alias("name"), "upc", own.alias("images"))
+
+
+def _catalogue_images(s, d):
+    """Image rows of all products: own images, then those of the page that the search results lead to."""
+    found = with_page_images(_searched(s, d), view(s, d, "hits"), view(s, d, "shop"))
+    return found.select("row_no", "url", F.posexplode_outer("images").alias("position", "image"))
+
+
+_CANONICAL = "lower(regexp_extract({0}, '^[^:/?#]+://[^/?#]*')) || regexp_extract({0}, '^[^:/?#]+://[^/?#]*([^#]*)', 1)"
+_CATALOGUE_IMAGES_DUCK = f"""WITH picked AS (SELECT product_key, arg_min(url, query_rank) FILTER ({_VALID}) AS url FROM (
+    SELECT product_key, query_rank, arg_min(url, CASE WHEN {_UNWANTED} THEN 1000 ELSE 0 END + result_rank) AS url FROM hits GROUP BY product_key, query_rank) GROUP BY product_key),
+  wanted AS (SELECT p_partkey, p_name, url FROM part LEFT JOIN picked ON product_key = md5(lower(p_brand) || '|' || lower(p_name) || '|' || CAST(p_partkey AS VARCHAR))),
+  found AS (SELECT p_partkey AS page_id, w.url, p_name AS product_name, s.html FROM wanted w
+    JOIN (SELECT {_CANONICAL.format('url')} AS page, arg_min(html, url) AS html FROM shop GROUP BY page) s ON s.page = {_CANONICAL.format('w.url')}),
+  listed AS (SELECT page_id AS row_no, nth AS k, {_full_size_sql('src')} AS image FROM ({RANKED_DUCK.replace('FROM img)', 'FROM found)')}) WHERE nth <= 3
+    UNION ALL SELECT p_partkey, 0, 'https://own.example.com/' || p_partkey FROM part WHERE p_partkey % 4 = 0),
+  single AS (SELECT row_no, image, min(k) AS k FROM listed GROUP BY row_no, image)
+SELECT w.p_partkey AS row_no, w.url, CASE WHEN image IS NOT NULL THEN CAST(row_number() OVER (PARTITION BY w.p_partkey ORDER BY k) - 1 AS INTEGER) END AS position, image
+FROM wanted w LEFT JOIN single s ON s.row_no = w.p_partkey"""
+
+
 QUERIES: dict[str, Query] = {
+    "catalogue_images": (_catalogue_images, duck(_CATALOGUE_IMAGES_DUCK, "hits", "shop")),
     "search_queries": (
         lambda s, d: query_rows(_as_products(s, d)),
         f"""SELECT product_key, generate_subscripts(q, 1) - 1 AS query_rank, unnest(q) AS query FROM (

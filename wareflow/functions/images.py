@@ -156,8 +156,13 @@ def full_size_url(url: Column) -> Column:
     )
 
 
-def extract_images(url: Column, html: Column, product_name: Column, k: int = 3) -> Column:
-    """ARRAY of at most ``k`` full-size image URLs of a page; none for a page that is not http(s)."""
-    best = F.transform(top_images(img_attributes(img_tags(html)), product_name, k), full_size_url)
+def page_images(url: Column, candidates: Column, product_name: Column, k: int = 3) -> Column:
+    """``extract_images`` of a page whose candidates are known."""
+    best = F.transform(top_images(candidates, product_name, k), full_size_url)
     empty = F.array().cast("array<string>")
     return F.when(url.rlike("^https?://"), F.coalesce(best, empty)).otherwise(empty)
+
+
+def extract_images(url: Column, html: Column, product_name: Column, k: int = 3) -> Column:
+    """ARRAY of at most ``k`` full-size image URLs of a page; none for a page that is not http(s)."""
+    return page_images(url, img_attributes(img_tags(html)), product_name, k)

@@ -67,3 +67,10 @@ def is_valid_url(url: Column) -> Column:
     host = F.regexp_extract(bare, r"^https?://([^/?#]*)", 1)
     paired = F.contains(host, F.lit("[")) == F.contains(host, F.lit("]"))
     return F.coalesce(url.rlike("^https?://") & (host != "") & paired, F.lit(False))
+
+
+def canonical_url(url: Column) -> Column:
+    """Scheme and host in lower case, without a fragment; NULL where there is no scheme."""
+    head = F.regexp_extract(url, "^[^:/?#]+://[^/?#]*", 0)
+    rest = F.regexp_extract(url, "^[^:/?#]+://[^/?#]*([^#]*)", 1)
+    return F.when(head != "", F.concat(F.lower(head), rest))
