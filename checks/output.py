@@ -257,12 +257,15 @@ def _write_read(s, d):
 
 
 def _write_read_files(s, d):
-    """Import rows written as one file per batch part and read back with the name of their file."""
+    """Import rows written as one file per batch part, and all their cells read back with the name of their file."""
     path = f"{shared_folder(s)}/files"
     rows = catalogue_files(import_rows(s, d, _KEPT))
     write_import_files(rows.drop("group_no"), path, ["group_index", "line_no"])
+    names = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1).alias("file_name")
     back = s.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
-    return back.select("file_name", F.coalesce("Handle", F.lit("")).alias("handle"), F.coalesce("Image Src", F.lit("")).alias("image"))
+    numbers = {"Variant Price": "double", "Image Position": "bigint"}
+    cells = [F.col(f"`{c}`").cast(numbers[c]).alias(c) if c in numbers else F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in IMPORT_COLUMNS]
+    return back.select(names, *cells)
 
 
 def _resume(s, d):
@@ -440,7 +443,7 @@ QUERIES: dict[str, Query] = {
     "write_read_files": (
         _write_read_files,
         _full(
-            f"""SELECT {_FILE_NAME.format(m=1000)} AS file_name, handle, coalesce(src, '') AS image FROM (
+            f"""SELECT {_FILE_NAME.format(m=1000)} AS file_name, {IMPORT_SELECT} FROM (
             SELECT *, CAST(floor((gi - 1) / 100) AS BIGINT) + 1 AS batch_no, row_number() OVER (PARTITION BY CAST(floor((gi - 1) / 100) AS BIGINT) ORDER BY gi, rows_before + i) AS batch_row,
               count(*) OVER (PARTITION BY CAST(floor((gi - 1) / 100) AS BIGINT)) AS n, (max(gi) OVER () - 1) // 100 + 1 AS nb FROM out)"""
         ),

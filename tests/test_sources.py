@@ -55,9 +55,31 @@ def test_rows_keep_their_order_inside_each_file(spark, tmp_path):
     ).repartition(7)
     path = tmp_path / "files"
     write_import_files(df, str(path), ["id"])
+    assert sorted(p.name for p in path.iterdir()) == ["f0.csv", "f1.csv", "f2.csv"]
     for k in range(3):
-        (part,) = (path / f"file_name=f{k}.csv").glob("part-*")
-        assert part.read_text().split() == ["Handle", *[f"h{i}" for i in range(k * 100, min(k * 100 + 100, 250))]]
+        assert (path / f"f{k}.csv").read_text().split() == ["Handle", *[f"h{i}" for i in range(k * 100, min(k * 100 + 100, 250))]]
+    with pytest.raises(FileExistsError):
+        write_import_files(df, str(path), ["id"])
+    write_import_files(df.where("file_no = 1").withColumn("file_name", F.lit("g.csv")), str(path), ["id"], "append")
+    assert len(list(path.iterdir())) == 4
+    write_import_files(df.where("file_no = 2"), f"file://{path}", ["id"], "overwrite")
+    assert [p.name for p in path.iterdir()] == ["f2.csv"]
+    # a failing job leaves no file and nothing beside them
+    bad = df.withColumn("Handle", F.when(F.col("id") == 77, F.raise_error(F.lit("no such handle"))).otherwise(F.col("Handle")))
+    with pytest.raises(Exception, match="no such handle"):
+        write_import_files(bad, str(path), ["id"], "append")
+    assert [p.name for p in path.iterdir()] == ["f2.csv"]
+
+
+def test_named_files_are_quoted_as_by_spark(spark, tmp_path):
+    rows = [(i, "x.csv", 'say "hi", ok', "two\nlines", " padded ", None, 1.5, "", "back\\slash") for i in range(3)]
+    df = spark.createDataFrame(rows, "n bigint, file_name string, Handle string, Title string, `Body (HTML)` string, Empty string, Price double, Blank string, Path string")
+    write_import_files(df, f"{tmp_path}/named", ["n"])
+    write_import_csv(df.drop("n", "file_name").coalesce(1), f"{tmp_path}/plain")
+    (plain,) = (tmp_path / "plain").glob("part-*")
+    assert (tmp_path / "named" / "x.csv").read_text() == plain.read_text()
+    back = read_import_file(spark, f"{tmp_path}/named/x.csv").orderBy("row_no").collect()
+    assert [tuple(r)[1:] for r in back] == [('say "hi", ok', "two\nlines", " padded ", "", "1.5", "", "back\\slash")] * 3
 
 
 def test_answer_and_batch_tables(spark):

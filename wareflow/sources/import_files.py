@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import re
+import uuid
 
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wareflow.sources.named_files import FORMAT, NamedFiles, file_system
 from wareflow.sources.numbering import number_rows
 
 _WRITE = {
@@ -27,16 +30,23 @@ def write_import_csv(rows: DataFrame, path: str, mode: str = "errorifexists") ->
 
 
 def write_import_files(rows: DataFrame, path: str, order: list[str], mode: str = "errorifexists") -> None:
-    """One CSV per ``file_name``, rows in order; ``file_name`` and ``order`` are not written.
+    """One CSV file per ``file_name`` in the folder ``path``, rows in order; ``file_name`` and ``order`` are not written.
 
-    Each file is bounded by the split, so one task per file is enough, and files spread by name.
+    Each file is bounded by the split, so one task per file is enough, and files spread by name. ``mode``
+    is append, overwrite or errorifexists; files that are not written again go only with overwrite.
     """
+    spark = rows.sparkSession
+    if mode not in ("append", "overwrite", "errorifexists"):
+        raise ValueError(f"unknown mode {mode}")
+    system, target = file_system(path)
+    if mode == "errorifexists" and any(i.is_file for i in system.get_file_info(fs.FileSelector(target, allow_not_found=True))):
+        raise FileExistsError(f"{path} holds files already")
     data = [c for c in rows.columns if c not in {*order, "batch_no", "batch_row", "file_no", "file_name"}]
     placed = rows.repartition("file_name").sortWithinPartitions("file_name", *order)
-    # Spark keeps this sort for the partitioned write, so rows reach each file in order
-    placed.select("file_name", *[F.col(f"`{c}`") for c in data]).write.mode(mode).options(**_WRITE).partitionBy(
-        "file_name"
-    ).csv(path)
+    texts = [F.col(f"`{c}`").cast("string").alias(c) for c in data]
+    spark.dataSource.register(NamedFiles)
+    writer = placed.select("file_name", *texts).write.format(FORMAT).mode("overwrite" if mode == "overwrite" else "append")
+    writer.option("path", path).option("staging", f"_staging-{uuid.uuid4().hex}").save()
 
 
 def read_import_file(spark: SparkSession, path: str | list[str]) -> DataFrame:
