@@ -318,7 +318,7 @@ _LIMITS_DUCK = """WITH r AS (SELECT p_partkey AS product_no,
 SELECT product_no, rule FROM (SELECT product_no, unnest([
   CASE WHEN h > 255 THEN 'handle_max_length' END, CASE WHEN t > 255 THEN 'title_max_length' END, CASE WHEN d > 5000 THEN 'description_max_length' END,
   CASE WHEN long_tag THEN 'tag_max_length' END, CASE WHEN n < 6 THEN 'tag_min_count' END, CASE WHEN n > 10 THEN 'tag_max_count' END, CASE WHEN price < 0 THEN 'price_min' END,
-  CASE WHEN price > 999999 THEN 'price_max' END, CASE WHEN k > 3 THEN 'max_images' END]) AS rule FROM r) WHERE rule IS NOT NULL"""
+  CASE WHEN price > 999999 THEN 'price_max' END, CASE WHEN k > 3 THEN 'max_images_per_product' END]) AS rule FROM r) WHERE rule IS NOT NULL"""
 
 CATEGORY_V = """SELECT 'category_format' AS rule, 'error' AS severity, CAST(NULL AS VARCHAR) AS handle, CAST(NULL AS BIGINT) AS row_no, c AS detail
   FROM (SELECT DISTINCT "Product Category" AS c FROM imp) WHERE c <> '' AND NOT contains(c, '>')

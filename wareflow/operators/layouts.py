@@ -14,38 +14,117 @@ METAFIELDS = {
     USAGE: "suggested_usage",
 }
 
-_HEAD = ["Handle", "Title", "Body (HTML)", "Vendor", "Product Category", "Type", "Tags", "Published"]
-_LABELS = [f"Google Shopping / Custom Label {i}" for i in range(5)]
-_SHOPPING = [
-    "Google Shopping / Google Product Category", "Google Shopping / Gender",
-    "Google Shopping / Age Group", "Google Shopping / MPN", "Google Shopping / Condition",
-    "Google Shopping / Custom Product", *_LABELS,
-]
-
+# The columns of each layout, in order
 IMPORT_COLUMNS = [
-    *_HEAD,
-    *[f"Option{i} {part}" for i in (1, 2, 3) for part in ("Name", "Value", "Linked To")],
-    "Variant SKU", "Variant Grams", "Variant Inventory Tracker", "Variant Inventory Policy",
-    "Variant Fulfillment Service", "Variant Price", "Variant Compare At Price",
-    "Variant Requires Shipping", "Variant Taxable",
-    "Unit Price Total Measure", "Unit Price Total Measure Unit",
-    "Unit Price Base Measure", "Unit Price Base Measure Unit",
-    "Variant Barcode", "Image Src", "Image Position", "Image Alt Text",
-    "Gift Card", "SEO Title", "SEO Description",
-    *_SHOPPING,
-    *METAFIELDS,
-    "Variant Image", "Variant Weight Unit", "Variant Tax Code", "Cost per item", "Status",
+    "Handle",
+    "Title",
+    "Body (HTML)",
+    "Vendor",
+    "Product Category",
+    "Type",
+    "Tags",
+    "Published",
+    "Option1 Name",
+    "Option1 Value",
+    "Option1 Linked To",
+    "Option2 Name",
+    "Option2 Value",
+    "Option2 Linked To",
+    "Option3 Name",
+    "Option3 Value",
+    "Option3 Linked To",
+    "Variant SKU",
+    "Variant Grams",
+    "Variant Inventory Tracker",
+    "Variant Inventory Policy",
+    "Variant Fulfillment Service",
+    "Variant Price",
+    "Variant Compare At Price",
+    "Variant Requires Shipping",
+    "Variant Taxable",
+    "Unit Price Total Measure",
+    "Unit Price Total Measure Unit",
+    "Unit Price Base Measure",
+    "Unit Price Base Measure Unit",
+    "Variant Barcode",
+    "Image Src",
+    "Image Position",
+    "Image Alt Text",
+    "Gift Card",
+    "SEO Title",
+    "SEO Description",
+    "Google Shopping / Google Product Category",
+    "Google Shopping / Gender",
+    "Google Shopping / Age Group",
+    "Google Shopping / MPN",
+    "Google Shopping / Condition",
+    "Google Shopping / Custom Product",
+    "Google Shopping / Custom Label 0",
+    "Google Shopping / Custom Label 1",
+    "Google Shopping / Custom Label 2",
+    "Google Shopping / Custom Label 3",
+    "Google Shopping / Custom Label 4",
+    "Allergy Information (product.metafields.custom.allergy_information)",
+    "Benefits (product.metafields.custom.benefits)",
+    "Custom Ingredients (product.metafields.custom.custom_ingredients)",
+    "Good For (product.metafields.custom.good_for)",
+    "Suggested Usage (product.metafields.custom.suggested_use)",
+    "Variant Image",
+    "Variant Weight Unit",
+    "Variant Tax Code",
+    "Cost per item",
+    "Status",
 ]
 
 DIRECT_COLUMNS = [
-    *_HEAD,
-    *[f"Option{i} {part}" for i in (1, 2, 3) for part in ("Name", "Value")],
-    "Variant SKU", "Variant Grams", "Variant Inventory Tracker", "Variant Inventory Qty",
-    "Variant Inventory Policy", "Variant Fulfillment Service", "Variant Price",
-    "Variant Compare At Price", "Variant Requires Shipping", "Variant Taxable", "Variant Barcode",
-    "Image Src", "Image Position", "Image Alt Text", "Gift Card", "SEO Title", "SEO Description",
-    *_SHOPPING,
-    "Variant Image", "Variant Weight Unit", "Variant Tax Code", "Cost per item",
-    "Included / International", "Price / International", "Compare At Price / International",
+    "Handle",
+    "Title",
+    "Body (HTML)",
+    "Vendor",
+    "Product Category",
+    "Type",
+    "Tags",
+    "Published",
+    "Option1 Name",
+    "Option1 Value",
+    "Option2 Name",
+    "Option2 Value",
+    "Option3 Name",
+    "Option3 Value",
+    "Variant SKU",
+    "Variant Grams",
+    "Variant Inventory Tracker",
+    "Variant Inventory Qty",
+    "Variant Inventory Policy",
+    "Variant Fulfillment Service",
+    "Variant Price",
+    "Variant Compare At Price",
+    "Variant Requires Shipping",
+    "Variant Taxable",
+    "Variant Barcode",
+    "Image Src",
+    "Image Position",
+    "Image Alt Text",
+    "Gift Card",
+    "SEO Title",
+    "SEO Description",
+    "Google Shopping / Google Product Category",
+    "Google Shopping / Gender",
+    "Google Shopping / Age Group",
+    "Google Shopping / MPN",
+    "Google Shopping / Condition",
+    "Google Shopping / Custom Product",
+    "Google Shopping / Custom Label 0",
+    "Google Shopping / Custom Label 1",
+    "Google Shopping / Custom Label 2",
+    "Google Shopping / Custom Label 3",
+    "Google Shopping / Custom Label 4",
+    "Variant Image",
+    "Variant Weight Unit",
+    "Variant Tax Code",
+    "Cost per item",
+    "Included / International",
+    "Price / International",
+    "Compare At Price / International",
     "Status",
 ]

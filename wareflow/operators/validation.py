@@ -18,7 +18,7 @@ LIMITS = {
     "tag_max_count": 10,
     "price_min": 0,
     "price_max": 999999,
-    "max_images": 3,
+    "max_images_per_product": 3,
 }
 KNOWN_CATEGORIES = [
     "Health & Beauty > Hair Care", "Health & Beauty > Skin Care", "Health & Beauty > Makeup",
@@ -163,7 +163,7 @@ def check_limits(products: DataFrame) -> DataFrame:
         "tag_max_count": n_tags > LIMITS["tag_max_count"],
         "price_min": F.col("price") < LIMITS["price_min"],
         "price_max": F.col("price") > LIMITS["price_max"],
-        "max_images": F.col("n_images") > LIMITS["max_images"],
+        "max_images_per_product": F.col("n_images") > LIMITS["max_images_per_product"],
     }
     rules = F.array_compact(F.array(*[F.when(test, F.lit(rule)) for rule, test in broken.items()]))
     return products.select("product_no", F.explode(rules).alias("rule"))
