@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from test_text_operators import LOW, SCHEMA, corpus, frame, sha
 from tokenizers import Tokenizer
 
-from wareflow.llm import line_dedup, periodic_runs, queries, token_alignment
+import corpus_pipeline
+from wareflow.llm import jaccard_join, language_id, line_dedup, periodic_runs, queries, token_alignment, toxicity, url_filter
 
 SF = "/root/testdata/sf0.001"
 SPACE = " \t\n\x0b\x0c\r"
@@ -298,3 +299,33 @@ def test_kept_column_names(spark):
     docs = frame(spark, [(1, "a b c")]).withColumn("x`y", F.lit(1))
     assert "x`y" in periodic_runs.find_runs(docs).columns and "x`y" in line_dedup.dedup_lines(docs).columns
     assert "x`y" in token_alignment.align(docs, queries.VOCABULARY, queries.PIECES).columns
+
+
+INNER = ["j", "head", "labels", "key", "host", "c", "_lower", "_readable", "_lang", "_score", "_labelled", "_label", "_other", "id", "n", "y", "t"]
+
+
+def with_inner_names(df):
+    """`df` with columns named like those that the operators use inside."""
+    return df.withColumns({c: F.lit(f"own {c}") for c in INNER if c not in df.columns})
+
+
+def unharmed(df, but=()):
+    return df.where(" OR ".join(f"`{c}` <> 'own {c}' OR `{c}` IS NULL" for c in INNER if c not in but)).isEmpty()
+
+
+def test_columns_named_like_inner_ones_stay(spark):
+    docs = with_inner_names(spark.createDataFrame([(i, f"some plain words number {i} and more of them", "en") for i in range(12)] + [(20, None, "fr"), (21, "des mots en clair", "fr")], "doc_id bigint, text string, lang string"))
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 0)], "doc_id bigint, toxic int")
+    model = language_id.fit(docs)
+    guessed = language_id.predict(docs, model)
+    assert unharmed(guessed) and {r.doc_id: r.lang_pred for r in guessed.collect()}[21] == "fr"
+    sample = toxicity.labelled_sample(docs, labels, bound=100)
+    assert unharmed(sample) and sorted((r.doc_id, r.toxic) for r in sample.collect()) == [(1, 1), (2, 0), (3, 0)]
+    assert unharmed(jaccard_join.keep_one_of_each(docs)) and jaccard_join.keep_one_of_each(docs).columns == docs.columns
+    kept = corpus_pipeline.drop_toxic(spark, docs, SF)
+    assert unharmed(kept) and kept.columns == docs.columns
+    rules = spark.createDataFrame([("b.c", "/x", "block")], "host string, path string, verdict string")
+    pages = with_inner_names(spark.createDataFrame([(1, "http://a.b.c/x/y"), (2, "http://q.r/")], "page_id bigint, url string"))
+    for listed in (rules, rules.where("false")):
+        judged = url_filter.filter_urls(pages, listed)
+        assert unharmed(judged, but=("host",)) and [r.host for r in judged.orderBy("page_id").collect()] == ["a.b.c", "q.r"]

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wareflow.llm.arrays import FOLDED, WORD_BASE, find_words, map_columns, mix, packed_texts, quoted, range_hashes, slices, text_chunks, unpacked
+from wareflow.llm.arrays import FOLDED, WORD_BASE, find_words, map_columns, mix, packed_texts, quoted, range_hashes, set_aside, slices, text_chunks, unpacked
 from wareflow.llm.url_filter import MAX_BLOCKS, passing
 from wareflow.operators.shared import shared_folder, stored
 
@@ -289,6 +289,7 @@ def link_documents(docs: DataFrame, shingle: int = 4, similar: int = 85, doc_id:
 
 def keep_one_of_each(docs: DataFrame, shingle: int = 5, similar: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """`docs` without near copies: of each component the rows of the smallest id stay, and all rows with a null id."""
-    linked = link_documents(docs.select(*[quoted(c) for c in docs.columns]), shingle, similar, doc_id, text)
+    given, names = set_aside(docs)
+    linked = link_documents(given, shingle, similar, names[doc_id], names[text])
     others = linked.where("doc_id <> component_id").select(F.col("doc_id").alias("_other")).distinct()
-    return docs.join(others, F.col(quoted(doc_id)) == F.col("_other"), "left_anti")
+    return given.join(others, F.col(names[doc_id]) == F.col("_other"), "left_anti").toDF(*docs.columns)

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wareflow.llm.arrays import map_columns, mix, quoted, text_chunks
+from wareflow.llm.arrays import map_columns, mix, quoted, set_aside, text_chunks
 from wareflow.operators.shared import shared_folder, stored
 
 SLOT_BITS = 20
@@ -151,6 +151,9 @@ def predict(docs: DataFrame, model: Model, text: str = "text", lang: str = "lang
                 values.append(float(corrected[i, best[i]] / whole[i]) if ok and whole[i] else 0.0)
         return [pa.array(names, pa.string()), values]
 
-    keeps = [c for c in docs.columns if c not in ("_lower", "_readable")]
-    ready = docs.withColumns({"_lower": _framed(F.col(quoted(text))), "_readable": F.coalesce(F.col(quoted(text)).rlike(r"\p{L}"), F.lit(False))})
-    return map_columns(ready, decide, ["_lower", "_readable"], keeps, f"{quoted(lang)} string, {quoted(score)} double")
+    given, names = set_aside(docs)
+    own = F.col(names[text])
+    ready = given.withColumns({"_lower": _framed(own), "_readable": F.coalesce(own.rlike(r"\p{L}"), F.lit(False))})
+    out = map_columns(ready, decide, ["_lower", "_readable"], list(names.values()), "_lang string, _score double")
+    kept = [F.col(n).alias(c) for c, n in names.items() if c.lower() not in (lang.lower(), score.lower())]
+    return out.select(*kept, F.col("_lang").alias(lang), F.col("_score").alias(score))

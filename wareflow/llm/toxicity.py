@@ -20,7 +20,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wareflow.llm.arrays import map_columns, mix, quoted, text_chunks
+from wareflow.llm.arrays import map_columns, mix, quoted, set_aside, text_chunks
 
 BITS = 20
 GRAM = 5
@@ -153,5 +153,6 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, bound: int, doc_id: str
         limit = int((bound / n) * (1 << 32))
         usable = usable.where(F.xxhash64(F.col(quoted(doc_id))).bitwiseAND((1 << 32) - 1) < limit)
     once = usable.groupBy(F.col(quoted(doc_id)).alias("_labelled")).agg(F.max(F.col(quoted(label)).cast("int")).alias("_label"))
-    rest = docs.drop(label) if label in docs.columns else docs
-    return rest.join(F.broadcast(once), F.col(quoted(doc_id)) == F.col("_labelled")).drop("_labelled").withColumnRenamed("_label", label)
+    given, names = set_aside(docs)
+    kept = [F.col(n).alias(c) for c, n in names.items() if c.lower() != label.lower()]
+    return given.join(F.broadcast(once), F.col(names[doc_id]) == F.col("_labelled")).select(*kept, F.col("_label").alias(label))

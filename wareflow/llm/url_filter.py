@@ -21,7 +21,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wareflow.llm.arrays import quoted
+from wareflow.llm.arrays import quoted, set_aside
 
 MAX_BLOCKS = 1 << 16
 KEYS_PER_BLOCK = 16
@@ -79,9 +79,11 @@ def filter_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: s
     size = listed.agg(F.count("*").alias("n"), F.collect_set(F.struct("labels", "path_length")).alias("shapes")).first()
     added = ("host", "path", "rule", "verdict")
     kept = [c for c in pages.columns if c.lower() not in added]
-    split = pages.select(*[quoted(c) for c in kept], url_host(F.col(quoted(url))).alias("host"), url_path(F.col(quoted(url))).alias("path"))
+    given, names = set_aside(pages)
+    own = [F.col(names[c]).alias(c) for c in kept]
+    split = given.select(*[names[c] for c in kept], url_host(F.col(names[url])).alias("host"), url_path(F.col(names[url])).alias("path"))
     if not size["n"]:
-        return split.withColumns({"rule": F.lit(None).cast("string"), "verdict": F.lit(default)})
+        return split.select(*own, "host", "path", F.lit(None).cast("string").alias("rule"), F.lit(default).alias("verdict"))
     longest = max(s["path_length"] for s in size["shapes"])
     head = F.substring("path", 1, longest)
     heads = split.select(F.col("host"), head.alias("head")).distinct()
@@ -104,4 +106,4 @@ def filter_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: s
     rank = F.struct(F.char_length("c.host") + F.char_length("c.path"), F.char_length("c.host"))
     judged = hits.join(exact, "c").groupBy("host", "head").agg(F.max_by(F.struct(F.concat("c.host", "c.path").alias("rule"), "verdict"), rank).alias("j"))
     joined = split.withColumn("head", head).join(judged, ["host", "head"], "left")
-    return joined.select(*[quoted(c) for c in kept], "host", "path", F.col("j.rule").alias("rule"), F.coalesce("j.verdict", F.lit(default)).alias("verdict"))
+    return joined.select(*own, "host", "path", F.col("j.rule").alias("rule"), F.coalesce("j.verdict", F.lit(default)).alias("verdict"))
