@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wareflow.llm import bpe, decontamination, jaccard_join, substring_dedup, toxicity
+from wareflow.llm.arrays import set_aside
 from wareflow.llm.queries import LABELLED, VOCABULARY, remainder, table
 from wareflow.operators.shared import shared_folder, stored
 
@@ -23,7 +24,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose score is below the limit; fitted on the labels that are not held out."""
     labels = table(spark, sf_dir, "labels").where(remainder(F.col("doc_id"), 3) != 1)
     model = toxicity.fit(toxicity.labelled_sample(docs.select("doc_id", "text"), labels, bound=LABELLED))
-    return toxicity.score(docs, model, name="_score").where(F.col("_score") < TOXIC).select(*docs.columns)
+    given, names = set_aside(docs)
+    return toxicity.score(given, model, text=names["text"], name="_score").where(F.col("_score") < TOXIC).drop("_score").toDF(*docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
