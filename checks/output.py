@@ -20,7 +20,7 @@ from wareflow.operators.ordering import global_row_index
 from wareflow.operators.requests import apply_batch
 from wareflow.operators.shared import shared_folder, stored
 from wareflow.operators.stats import run_stats
-from wareflow.plans.catalogue import KEPT, catalogue_files, catalogue_import, groups_of, import_columns, resumed_import
+from wareflow.plans.catalogue import KEPT, catalogue_files, catalogue_import, counted_run, groups_of, import_columns, resumed_import
 from wareflow.sources.import_files import read_import_file, write_import_csv, write_import_files
 from wareflow.sources.tables import read_batches, write_batches
 from wareflow.streaming.ingest import incremental_ingest, ingest_batch, ingested_products, raw_tables, rerun_failed
@@ -356,6 +356,15 @@ def _split(s, d, max_rows):
     return rows.select("group_index", "line_no", "batch_no", "batch_row", "file_no", "file_name")
 
 
+_RUN_STATS_DUCK = f""", parsed AS ({MARKED_DUCK}), nfiles AS (SELECT b, ceil(count(*) / 1000) AS f FROM (SELECT (gi - 1) // 100 AS b FROM out) GROUP BY b),
+            imgs AS (SELECT count(DISTINCT (group_no, src)) AS n FROM out WHERE src IS NOT NULL)
+            SELECT count(*) AS total_rows_read, count(*) FILTER (code IS NOT NULL AND nth = 1 AND nm IS NOT NULL) AS valid_products,
+              count(*) FILTER (code IS NOT NULL AND nth > 1) AS skipped_duplicates, count(*) FILTER (code IS NULL OR (nth = 1 AND nm IS NULL)) AS skipped_incomplete,
+              CAST(0 AS BIGINT) AS parsing_errors, (SELECT count(*) FROM grp) AS total_product_groups, (SELECT count(*) FROM members) AS total_variants,
+              (SELECT count(*) FROM enriched WHERE answered) AS successfully_processed, (SELECT count(*) FROM enriched WHERE NOT answered) AS failed_enrichment,
+              (SELECT n FROM imgs) AS total_images, (SELECT count(*) FROM out) AS csv_rows_generated, (SELECT CAST(sum(f) AS BIGINT) FROM nfiles) AS output_files_generated FROM parsed"""
+
+
 QUERIES: dict[str, Query] = {
     "normal_option_name": (
         lambda s, d: opts(s, d).select("row_no", F.posexplode("options").alias("p", "o")).select(
@@ -488,15 +497,11 @@ QUERIES: dict[str, Query] = {
     ),
     "run_stats": (
         _run_stats,
-        _full(
-            f""", parsed AS ({MARKED_DUCK}), nfiles AS (SELECT b, ceil(count(*) / 1000) AS f FROM (SELECT (gi - 1) // 100 AS b FROM out) GROUP BY b),
-            imgs AS (SELECT count(DISTINCT (group_no, src)) AS n FROM out WHERE src IS NOT NULL)
-            SELECT count(*) AS total_rows_read, count(*) FILTER (code IS NOT NULL AND nth = 1 AND nm IS NOT NULL) AS valid_products,
-              count(*) FILTER (code IS NOT NULL AND nth > 1) AS skipped_duplicates, count(*) FILTER (code IS NULL OR (nth = 1 AND nm IS NULL)) AS skipped_incomplete,
-              CAST(0 AS BIGINT) AS parsing_errors, (SELECT count(*) FROM grp) AS total_product_groups, (SELECT count(*) FROM members) AS total_variants,
-              (SELECT count(*) FROM enriched WHERE answered) AS successfully_processed, (SELECT count(*) FROM enriched WHERE NOT answered) AS failed_enrichment,
-              (SELECT n FROM imgs) AS total_images, (SELECT count(*) FROM out) AS csv_rows_generated, (SELECT CAST(sum(f) AS BIGINT) FROM nfiles) AS output_files_generated FROM parsed"""
-        ),
+        _full(_RUN_STATS_DUCK),
+    ),
+    "counted_run": (
+        lambda s, d: counted_run(cat(s, d), _conversion(s, d)[1], f"{shared_folder(s)}/run"),
+        _full(_RUN_STATS_DUCK),
     ),
     "check_category_format": (lambda s, d: v.check_category_format(imp(s, d)), duck(CATEGORY_V, "imp")),
     "check_category_missing": (

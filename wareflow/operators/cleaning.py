@@ -2,12 +2,21 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wareflow.functions import cleaning as c
 
 
+Watch = Callable[[str, DataFrame], DataFrame]
+
+
+def unwatched(step: str, df: DataFrame) -> DataFrame:
+    return df
+
+
 def first_by_upc(df: DataFrame, key: str = "upc", order: str = "row_no") -> DataFrame:
     """First row per key. Only the first row of a key leaves each map task, so hot keys are harmless."""
     first = Window.partitionBy(key).orderBy(order)
@@ -23,13 +32,15 @@ def _upc_rows(raw: DataFrame) -> DataFrame:
     return raw.withColumn("upc", c.null_if_missing(F.col("upc")))
 
 
-def parse_catalog(raw: DataFrame, multi_image: bool = True) -> DataFrame:
+def parse_catalog(raw: DataFrame, multi_image: bool = True, watch: Watch = unwatched) -> DataFrame:
     """Products from raw rows. A nameless row still takes its code away from later rows.
 
+    ``watch`` may observe the steps: rows read (``read``), first rows of a code (``first``), ``products``.
+
     Every product passes ``is_valid_product``: codes and names are there, quantities are at least
     one and costs never negative.
     """
-    first = first_by_upc(_upc_rows(raw))
+    first = watch("first", first_by_upc(watch("read", _upc_rows(raw))))
     cells = ("brand", "name", "qty", "cost", "tax", "category", "sub_category")
     kept = first.withColumns({n: c.null_if_missing(F.col(n)) for n in cells}).where("name IS NOT NULL")
     images = c.image_cells_multi if multi_image else c.image_cells_strict
@@ -46,7 +57,7 @@ def parse_catalog(raw: DataFrame, multi_image: bool = True) -> DataFrame:
         images(F.col("image_1"), F.col("image_2"), F.col("image_3")).alias("images"),
     )
     priced = c.price(F.col("_cost"), F.col("_vat"))
-    return vat.select(
+    products = vat.select(
         "row_no",
         "brand",
         "upc",
@@ -59,6 +70,7 @@ def parse_catalog(raw: DataFrame, multi_image: bool = True) -> DataFrame:
         "category",
         "images",
     )
+    return watch("products", products)
 
 
 def parse_rejects(raw: DataFrame) -> DataFrame:

@@ -7,13 +7,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wareflow.operators import batches as b
-from wareflow.operators.cleaning import parse_catalog
+from wareflow.operators.cleaning import Watch, parse_catalog, unwatched
 from wareflow.operators.export import import_projection
-from wareflow.operators.grouping import group_index, group_rollup, leader_groups
+from wareflow.operators.grouping import group_images, group_index, group_rollup, leader_groups
 from wareflow.operators.handles import unique_handles
 from wareflow.operators.layouts import IMPORT_COLUMNS
 from wareflow.operators.requests import apply_enrichment, build_requests
 from wareflow.operators.shared import shared_folder, stored
+from wareflow.operators.stats import Counters
+from wareflow.sources.import_files import write_import_files
 from wareflow.sources.tables import read_batches, write_batches
 
 
@@ -41,12 +43,14 @@ def catalogue_requests(members: DataFrame) -> DataFrame:
     return build_requests(groups, "batch").unionByName(build_requests(members, "variants"))
 
 
-def _import_parts(members: DataFrame, responses: DataFrame, groups_per_batch: int, max_batches: int | None) -> tuple[DataFrame, DataFrame]:
+def _import_parts(
+    members: DataFrame, responses: DataFrame, groups_per_batch: int, max_batches: int | None, watch: Watch = unwatched
+) -> tuple[DataFrame, DataFrame]:
     """(variants, groups) that ``import_projection`` makes rows of; groups have batch_no, n_batches and handle."""
     folder = shared_folder(members.sparkSession)
     # both are read several times below: the roll-up and the parsed options are made once
     groups, variants = apply_enrichment(stored(groups_of(members), folder, "index"), members, responses)
-    batched = stored(b.assign_batches(groups, groups_per_batch), folder, "batched")
+    batched = stored(watch("groups", b.assign_batches(groups, groups_per_batch)), folder, "batched")
     # handles follow the enriched title, and are unique over the whole catalogue
     wanted = b.limit_batches(batched, max_batches).withColumn("n_batches", batched.agg(F.max("batch_no")).scalar())
     handles = unique_handles(wanted.withColumn("base_name", F.col("title")))
@@ -126,5 +130,46 @@ def catalogue_files(rows: DataFrame, max_rows: int = b.ROWS_PER_FILE, name: str
     return b.split_files(b.rows_in_batches(rows), max_rows, name)
 
 
+def counted_run(raw: DataFrame, responses: DataFrame, path: str, max_rows: int = b.ROWS_PER_FILE, groups_per_batch: int = b.GROUPS_PER_BATCH) -> DataFrame:
+    """The whole conversion into files below ``path``/files and a table of images, ``path``/images; returns ``run_stats``.
+
+    Every counter is collected while a step's table is written, so none is read again for it.
+    """
+    spark, folder = raw.sparkSession, shared_folder(raw.sparkSession)
+    rows = F.count("*")
+    counters = Counters(
+        {
+            "read": {"rows_read": rows, "coded": F.count("upc")},
+            "first": {"first_rows": rows},
+            "products": {"products": rows},
+            "members": {"variants": rows},
+            "groups": {"groups": rows, "answered": F.count_if("answered")},
+            "images": {"images": rows},
+            "rows": {"lines": rows, "files": F.count_if((F.col("batch_row") - 1) % max_rows == 0)},
+        }
+    )
+    products = stored(parse_catalog(raw, watch=counters.watch), folder, "parsed")
+    members = stored(counters.watch("members", leader_groups(products)), folder, "members")
+    counters.watch("images", group_images(members)).write.mode("overwrite").parquet(f"{path}/images")
+    variants, groups = _import_parts(members, responses, groups_per_batch, None, counters.watch)
+    lines = catalogue_files(import_projection(variants, groups, tuple(k for k in KEPT if k != "group_no")), max_rows)
+    write_import_files(counters.watch("rows", lines).drop("n_batches"), f"{path}/files", ["group_index", "line_no"])
+    stats = {
+        "total_rows_read": counters["rows_read"],
+        "valid_products": counters["products"],
+        "skipped_duplicates": counters["coded"] - counters["first_rows"],
+        "skipped_incomplete": counters["rows_read"] - counters["coded"] + counters["first_rows"] - counters["products"],
+        "parsing_errors": 0,
+        "total_product_groups": counters["groups"],
+        "total_variants": counters["variants"],
+        "successfully_processed": counters["answered"],
+        "failed_enrichment": counters["groups"] - counters["answered"],
+        "total_images": counters["images"],
+        "csv_rows_generated": counters["lines"],
+        "output_files_generated": counters["files"],
+    }
+    return spark.createDataFrame([tuple(stats.values())], ", ".join(f"{name} bigint" for name in stats))
+
+
 def import_columns(rows: DataFrame) -> DataFrame:
     return rows.select(*[F.col(f"`{c}`") for c in IMPORT_COLUMNS])
