@@ -28,3 +28,11 @@ def stored(df: DataFrame, folder: str, name: str) -> DataFrame:
     path = f"{folder}/{name}"
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_tables(spark: SparkSession, folder: str, names: list[str]) -> None:
+    """Removes tables below a ``shared_folder`` that nothing reads any more."""
+    java = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    for name in names:
+        path = java(f"{folder}/{name}")
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
