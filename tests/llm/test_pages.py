@@ -4,6 +4,7 @@ import random
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from wareflow.llm import html_extraction, queries, url_filter
 
@@ -66,7 +67,7 @@ TEXT = "Title & more\nFirst bold text\nafter break\nSecond <x> é\none\ntwo"
     [
         (None, ""),
         ("", ""),
-        ("plain words", ""),
+        ("plain words", "plain words"),
         (f"<html><head><title>t</title><script>var a='</p>';</script></head><body><nav><ul><li>Menu</ul></nav>{ARTICLE}<footer>foot</footer></body></html>", TEXT),
         (f"<body><header>Site</header><div class='ad'>Buy now</div>{ARTICLE}<aside>Side</aside><form>mail <input></form>", TEXT),
         (f"<body>{ARTICLE.replace('</article>', '<div class=comments><p>nice</div><div class=share>x</div></article>')}<section id='comments'>long reader text</section>", TEXT),
@@ -87,7 +88,7 @@ def test_extract_votes_per_host(spark):
     got = html_extraction.extract(pages)
     assert got.columns == ["page_id", "url", "html", "text"]
     texts = {r["page_id"]: r["text"] for r in got.collect()}
-    assert texts[9] == "short main" and texts[11] == "" and got.count() == len(rows)
+    assert texts[9] == ("much longer text in the box " * 9).strip() and texts[11] == "" and got.count() == len(rows)
     assert html_extraction.extract(pages.limit(0)).count() == 0
 
 
@@ -167,3 +168,13 @@ def test_extract_with_several_templates(spark):
     assert all(got[i] == f"shop {i - 10} {LONG}".strip() for i in range(10, 14))
     assert got[30] == f"shop {LONG}".strip()
     assert all(got[40 + i] == f"{c} {LONG}".strip() for i, c in enumerate("abcdefgh"))
+
+
+def test_own_names_of_columns_and_hosts_too_many_to_broadcast(spark, monkeypatch):
+    """Columns named like inner ones stay as they are, and both joins give the same texts."""
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet").withColumns({"_host": F.lit("h"), "_paths": F.lit("p"), "host": F.lit(1)})
+    got = html_extraction.extract(pages)
+    rows = sorted(map(repr, got.collect()))
+    assert got.columns == [*pages.columns, "text"] and got.where("_host = 'h' AND _paths = 'p' AND host = 1").count() == pages.count()
+    monkeypatch.setattr(html_extraction, "BROADCAST_BYTES", 0)
+    assert sorted(map(repr, html_extraction.extract(pages).collect())) == rows

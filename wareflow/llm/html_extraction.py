@@ -6,8 +6,8 @@
 2. The paths are votes; Spark adds them up per host. Paths with a quarter of the host's votes win, at most
    four: a host may have several templates.
 3. A page whose own best container has a winning path is extracted with it; another page with the winning
-   path that has most votes of those it has text under (of equal ones the longest, then the last by name).
-   A page with none of them, or without a host, is extracted with its own best container.
+   path that has most votes of those that hold half of its unlinked text (of equal ones the longest, then
+   the last by name). A page with none of them, or without a host, is extracted with its own best container.
 
 Blocks with unlinked text that stand around the chosen container, but in no container of their own or in
 one with the title (h1), belong to the text; other containers beside it do not. Inside the chosen
@@ -30,15 +30,18 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wareflow.llm.arrays import map_columns, quoted
+from wareflow.llm.arrays import map_columns, quoted, set_aside
+from wareflow.operators.shared import shared_folder, stored
 from wareflow.llm.url_filter import url_host
 
 # Tags by role in HTML
+BROADCAST_BYTES = 16 << 20  # winning paths up to this measured size are broadcast
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 RAW = {"script", "style", "noscript", "template", "textarea", "iframe", "svg", "title", "object", "canvas", "math"}
 SIDE = {"nav", "footer", "aside", "form", "button", "select", "dialog", "menu", "head", "fieldset", "label", *RAW}
@@ -214,9 +217,9 @@ def _walk(root: Node):
 
 
 def _containers(root: Node) -> list[Node]:
-    """Containers outside side content; the root is one on a page with tags but without `<body>`."""
+    """Containers outside side content; the root is one on a page without `<body>`."""
     nodes = list(_walk(root))
-    implied = any(isinstance(x, Node) for x in root.items) and all(n.tag != "body" for n in nodes)
+    implied = all(n.tag != "body" for n in nodes)
     return [n for n in nodes if n.tag in CONTAINERS or implied and n is root]
 
 
@@ -301,7 +304,10 @@ def page_path(page: str | None) -> str | None:
 
 
 def page_text(page: str | None, paths: str | list[str] | None) -> str:
-    """The main text with a winning path of the host, first ones first, or else with the page's own best container."""
+    """The main text with a winning path of the host, first ones first, or else with the page's own best container.
+
+    A path of the host that is not the page's own counts only where it holds half of the unlinked text.
+    """
     if not page:
         return ""
     root = parse(page)
@@ -311,8 +317,10 @@ def page_text(page: str | None, paths: str | list[str] | None) -> str:
     paths = [paths] if isinstance(paths, str) else paths or []
     chosen = best.path
     if chosen not in paths:
-        filled = {n.path for n in _containers(root) if n.own}
-        chosen = next((p for p in paths if p in filled), chosen)
+        held = Counter()
+        for n in _containers(root):
+            held[n.path] += n.own - n.linked
+        chosen = next((p for p in paths if 2 * held[p] >= root.own - root.linked > 0), chosen)
     return "\n".join(block_texts(root, [n for n in _containers(root) if n.path == chosen]))
 
 
@@ -339,7 +347,14 @@ def extract(pages: DataFrame, url: str = "url", page: str = "html", text: str =
     def texts(column: pa.Array, paths: pa.Array) -> list:
         return [pa.array([page_text(p, q) for p, q in zip(column.to_pylist(), paths.to_pylist(), strict=True)], pa.string())]
 
-    won = winners(vote(pages, url, page)).withColumnsRenamed({"host": "_host", "paths": "_paths"})
-    joined = pages.withColumn("_host", url_host(F.col(quoted(url)))).join(won, "_host", "left")
-    keeps = [c for c in pages.columns]
-    return map_columns(joined, texts, [page, "_paths"], keeps, f"{quoted(text)} string")
+    given, names = set_aside(pages)
+    host, folder = url_host(F.col(names[url])), shared_folder(pages.sparkSession)
+    won = stored(winners(vote(given, names[url], names[page])), folder, "paths")
+    size = won.agg(F.coalesce(F.sum(F.octet_length("host") + F.octet_length(F.array_join("paths", ",")) + 64), F.lit(0))).first()[0]
+    # few hosts: no page is shuffled; else the key is spelled anew, so Spark can split the pages of a hot host
+    won = won.select(F.concat(F.lit("host "), "host").alias("_host"), F.col("paths").alias("_paths"))
+    won = F.broadcast(won) if size <= BROADCAST_BYTES else won
+    joined = given.withColumn("_host", F.concat(F.lit("host "), F.coalesce(host, F.lit("")))).join(won, "_host", "left")
+    out = map_columns(joined, texts, [names[page], "_paths"], list(names.values()), "_text string")
+    kept = [F.col(n).alias(c) for c, n in names.items() if c.lower() != text.lower()]
+    return out.select(*kept, F.col("_text").alias(text))
