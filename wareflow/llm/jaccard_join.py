@@ -34,9 +34,11 @@ from pyspark.sql import functions as F
 
 from wareflow.llm.arrays import FOLDED, WORD_BASE, find_words, map_columns, mix, packed_texts, quoted, range_hashes, set_aside, slices, text_chunks, unpacked
 from wareflow.llm.url_filter import MAX_BLOCKS, passing
-from wareflow.operators.shared import shared_folder, stored
+from wareflow.operators.shared import drop_tables, shared_folder, stored
 
 GROWTH = 1.6
+# tables that `link_documents` writes on its way
+WORK = ["classes", "signatures", "regions", "texts", "distances", "links", "members", "open", "sketches", "split", "pairs", "found"]
 _U = np.uint64
 
 
@@ -283,6 +285,8 @@ def link_documents(docs: DataFrame, shingle: int = 4, similar: int = 85, doc_id:
     links = stored(links.unionByName(classes.where("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b")).distinct()), folder, "links")
     labels = stored(components(links, f"{folder}/first"), folder, "labels")
     labels = _split_regions(regions, texts, links, labels, shingle, similar, folder)
+    # all that is read from here on are the keys and the labels
+    drop_tables(docs.sparkSession, folder, [*WORK, "first", "second"])
     joined = _labelled(keys, labels, "id", "component_id")
     return joined.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), "component_id")
 
