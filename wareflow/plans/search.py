@@ -28,10 +28,13 @@ def with_page_images(products: DataFrame, results: DataFrame, pages: DataFrame,
     the product's name, so a page's images are scored once for each product that picked it.
     """
     key = u.search_key(F.col("brand"), F.col("name"), F.col("upc"))
-    picked = products.withColumn("_key", key).join(pick_url(results).withColumnRenamed("product_key", "_key"), "_key", "left")
+    # both sides grow with the products, and Spark's guess of an aggregate's size may be far too low: never a broadcast
+    chosen = pick_url(results).withColumnRenamed("product_key", "_key").hint("merge")
+    picked = products.withColumn("_key", key).join(chosen, "_key", "left")
     # products without a page are spread; a page that many products picked is split by AQE
     page = F.coalesce(u.canonical_url(F.col("url")), F.concat(F.lit("none "), F.col("row_no").cast("string")))
-    joined = picked.withColumn("_page", page).join(page_candidates(pages).withColumnRenamed("page", "_page"), "_page", "left")
+    found = page_candidates(pages).withColumnRenamed("page", "_page").hint("merge")
+    joined = picked.withColumn("_page", page).join(found, "_page", "left")
     own = F.coalesce("images", F.array().cast("array<string>"))
     images = F.array_distinct(F.concat(own, im.page_images(F.col("url"), F.col("candidates"), F.col("name"), k)))
     return joined.withColumn("images", images).drop("_key", "_page", "candidates")
