@@ -95,7 +95,7 @@ def _stored_page_images(s, d):
     pages.write.parquet(path)
     return (
         read_pages(s, path)
-        .join(pages.select("url", "product_name"), "url")
+        .join(pages.select("url", "product_name").hint("merge"), "url")
         .select(
             "url",
             F.size(im.img_attributes(im.img_tags(F.col("html")))).alias("n_images"),
