@@ -83,10 +83,13 @@ def _candidates(s, d):
     return view(s, d, "img").withColumn("candidates", im.img_attributes(im.img_tags(F.col("html"))))
 
 
+def _images(s, d):
+    """One row per image. Exploded as it is made: for a column, Spark would first make it once more to filter by its size."""
+    return view(s, d, "img").select("page_id", F.explode(im.img_attributes(im.img_tags(F.col("html")))).alias("c"))
+
+
 def _sources(s, d):
-    return _candidates(s, d).select("page_id", F.explode("candidates").alias("c")).select(
-        "page_id", F.col("c.pos").alias("pos"), F.col("c.src").alias("src")
-    )
+    return _images(s, d).select("page_id", F.col("c.pos").alias("pos"), F.col("c.src").alias("src"))
 
 
 def _stored_page_images(s, d):
@@ -172,7 +175,7 @@ QUERIES: dict[str, Query] = {
         ),
     ),
     "img_attributes": (
-        lambda s, d: _candidates(s, d).select("page_id", F.explode("candidates").alias("c")).select(
+        lambda s, d: _images(s, d).select(
             "page_id", "c.pos", "c.src", F.lower("c.alt").alias("alt"), F.col("c.class").alias("css"), F.col("c.width").alias("w"), F.col("c.height").alias("h")
         ),
         duck(f"SELECT page_id, pos, src, alt, css, w, h FROM ({TAGS_DUCK})", "img"),
