@@ -73,3 +73,11 @@ def test_chunks_of_a_batch_are_answered_in_one_frame():
     assert list(frame.itertuples(index=False, name=None)) == [
         ("k0", "tags", "P0", "ok", None, 4), ("k1", "tags", None, "failed", "OSError: gone", 4), ("k2", "tags", None, "miss", None, 4),
     ]
+
+
+def test_a_conversion_parses_its_catalogue_once(spark, monkeypatch):
+    views, output = importlib.import_module("checks.views"), importlib.import_module("checks.output")
+    parsed, parse = [], views.parse_catalog
+    monkeypatch.setattr(views, "parse_catalog", lambda raw: parsed.append(raw) or parse(raw))
+    output._conversion(spark, "/root/testdata/sf0.001")
+    assert len(parsed) == 1
