@@ -114,6 +114,25 @@ def test_jaccard_join(spark, length, similar):
     assert sorted(map(tuple, got)) == linked(rows, length, similar)
 
 
+def test_jaccard_signatures_are_counted_after_they_are_dealt(spark, monkeypatch):
+    plans, store = {}, jaccard_join.stored
+    monkeypatch.setattr(jaccard_join, "stored", lambda df, folder, name: plans.setdefault(name, df) and store(df, folder, name))
+    jaccard_join.link_documents(frame(spark, corpus(5, 40))).collect()
+    steps = re.findall(r"HashAggregate|Exchange|MapInArrow", plans["signatures"]._jdf.queryExecution().executedPlan().toString())
+    assert steps[steps.index("MapInArrow") - 1] == "Exchange", "no task holds a table of all its signatures before the shuffle"
+
+
+def test_a_worker_sends_each_signature_once(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "ROWS", 7)
+    text = " ".join(f"w{i}" for i in range(90))
+    docs = spark.createDataFrame([(i, text) for i in range(300, 0, -1)], "id bigint, text string").coalesce(1)
+    given = jaccard_join._signatures(docs, 5, 80)
+    each = given.groupBy("signature").agg(F.min("id"), F.max("id"), F.count("*")).collect()
+    got = jaccard_join._signatures(docs, 5, 80, once=True).collect()
+    assert sorted(map(tuple, got)) == sorted(tuple(r)[:3] for r in each)
+    assert {tuple(r)[1:] for r in each} == {(1, 300, 300)}
+
+
 def test_jaccard_odd_rows(spark):
     text = " ".join(f"w{i}" for i in range(30))
     rows = [(None, text), (3, text), (3, text), (9, text.upper()), (4, None), (5, "")]

@@ -37,6 +37,10 @@ from wareflow.llm.url_filter import MAX_BLOCKS, passing
 from wareflow.operators.shared import drop_tables, shared_folder, stored
 
 GROWTH = 1.6
+# signatures in one batch of rows, and those among which a worker sends each only once
+ROWS, RUN = 50_000, 400_000
+# shingles, and so signatures at most about, that one task counts
+PER_TASK = 500_000
 # tables that `link_documents` writes on its way
 WORK = ["classes", "signatures", "regions", "texts", "distances", "links", "members", "open", "sketches", "split", "pairs", "found"]
 _U = np.uint64
@@ -115,38 +119,53 @@ def _set_keys(docs: DataFrame, length: int) -> DataFrame:
     return map_columns(docs, run, ["text"], ["id"], "n bigint, k1 bigint, k2 bigint")
 
 
-def _signatures(docs: DataFrame, length: int, similar: int) -> DataFrame:
-    """(signature, id) of every document."""
+def _signatures(docs: DataFrame, length: int, similar: int, once: bool = False) -> DataFrame:
+    """(signature, id) of every document; with `once`, (signature, low, high): each signature once for a run of documents."""
     cuts = Cuts(similar)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
         for batch in slices(batches, 2):
-            held, size = [], 0
             for number, s in zip(batch.column(0).to_pylist(), shingle_sets(batch.column(1), length), strict=True):
                 if len(s):
                     got = cuts.signatures(s)
                     held.append((number, got))
                     size += len(got)
-                if size > 50_000:
-                    yield _rows(held)
+                if size > (RUN if once else ROWS):
+                    yield from _rows(held)
                     held, size = [], 0
-            if held:
-                yield _rows(held)
+        if held:
+            yield from _rows(held)
 
-    def _rows(held: list) -> pa.RecordBatch:
+    def _rows(held: list) -> Iterator[pa.RecordBatch]:
         ids = np.repeat([n for n, _ in held], [len(s) for _, s in held]).astype(np.int64)
         flat = np.concatenate([s for _, s in held]).view(np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(flat), pa.array(ids)], names=["signature", "id"])
+        if not len(flat):
+            return
+        columns, names = [flat, ids], ["signature", "id"]
+        if once:
+            order = np.argsort(flat)
+            flat, ids = flat[order], ids[order]
+            first = np.flatnonzero(np.concatenate([[True], flat[1:] != flat[:-1]]))
+            columns, names = [flat[first], np.minimum.reduceat(ids, first), np.maximum.reduceat(ids, first)], ["signature", "low", "high"]
+        for lo in range(0, len(columns[0]), ROWS):
+            yield pa.RecordBatch.from_arrays([pa.array(c[lo : lo + ROWS]) for c in columns], names=names)
 
-    return docs.where("id IS NOT NULL").mapInArrow(run, "signature bigint, id bigint")
+    kind = "signature bigint, low bigint, high bigint" if once else "signature bigint, id bigint"
+    return docs.where("id IS NOT NULL").mapInArrow(run, kind)
 
 
 def _regions(docs: DataFrame, classes: DataFrame, length: int, similar: int, folder: str) -> DataFrame:
-    """(x, pivot): members of regions, classes in place of documents."""
-    signatures = _signatures(docs, length, similar)
-    shared = signatures.groupBy("signature").agg(F.min("id").alias("pivot"), F.max("id").alias("other")).where("pivot < other")
+    """(x, pivot): members of regions, classes in place of documents.
+
+    Few signatures are shared, so adding them up in the map tasks would only fill their memory: they are
+    dealt out as they come, to so many tasks that each has about as many whatever the input.
+    """
+    tasks = -(-(classes.agg(F.sum("n")).first()[0] or 1) // PER_TASK)
+    ranges = _signatures(docs, length, similar, once=True).repartition(tasks, "signature")
+    shared = ranges.groupBy("signature").agg(F.min("low").alias("pivot"), F.max("high").alias("other")).where("pivot < other")
     shared = stored(shared.select("signature", "pivot"), folder, "signatures")
-    met = signatures.join(shared, "signature").where("id <> pivot").select("id", "pivot").distinct()
+    met = _signatures(docs, length, similar).join(shared, "signature").where("id <> pivot").select("id", "pivot").distinct()
     named = classes.select("id", "rep")
     met = met.join(named, "id").select(F.col("rep").alias("x"), "pivot")
     met = met.join(named.withColumnsRenamed({"id": "pivot", "rep": "p"}), "pivot").where("x <> p").select("x", F.col("p").alias("pivot")).distinct()
