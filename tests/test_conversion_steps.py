@@ -7,11 +7,24 @@ from pyspark.sql import functions as F
 
 from checks.views import dealt
 from wareflow.operators import grouping, shared
+from wareflow.plans import catalogue as plans
 from wareflow.plans.catalogue import catalogue_files
 
 SF = "/root/testdata/sf0.001"
 
 
+def limit_at(spark, monkeypatch, step):
+    """The limit of methods in force when a step of the plans is reached, where the run ends."""
+    seen = []
+
+    def reached(*_):
+        seen.append(int(spark.conf.get(shared.METHOD_LIMIT)))
+        raise InterruptedError
+
+    monkeypatch.setattr(plans, step, reached)
+    return seen
+
+
 @pytest.mark.parametrize("rows, tasks", [(12_000, 3), (300_000, 60), (1_200_000, 64), (7_200_000, 144)])
 def test_files_of_a_shuffle_do_not_grow_with_rows_alone(spark, rows, tasks):
     assert dealt(spark.range(rows), "id", 5000).rdd.getNumPartitions() == tasks
@@ -54,3 +67,10 @@ def test_file_names_take_one_pass_over_the_rows(spark, tmp_path, counted):
     got = [(r.batch_no, r.batch_row, r.file_no, r.file_name) for r in files.orderBy("group_index", "line_no").collect()]
     want = [(b, k + 1, k // 5 + 1, f"products_batch{b:03d}_part{k // 5 + 1:03d}.csv") for b, n in ((1, 12), (2, 12), (3, 6)) for k in range(n)]
     assert got == want
+
+
+def test_resumed_import_runs_compiled(spark, tmp_path, monkeypatch):
+    seen = limit_at(spark, monkeypatch, "_import_parts")
+    with pytest.raises(InterruptedError):
+        plans.resumed_import(spark.range(1), spark.range(1), str(tmp_path))
+    assert seen == [8000]
