@@ -74,3 +74,11 @@ def test_resumed_import_runs_compiled(spark, tmp_path, monkeypatch):
     with pytest.raises(InterruptedError):
         plans.resumed_import(spark.range(1), spark.range(1), str(tmp_path))
     assert seen == [8000]
+
+
+def test_counted_run_runs_compiled(spark, tmp_path, monkeypatch):
+    seen = limit_at(spark, monkeypatch, "stored")
+    raw = importlib.import_module("checks.views").view(spark, SF, "cat")
+    with pytest.raises(InterruptedError):
+        plans.counted_run(raw, spark.range(1), str(tmp_path))
+    assert seen == [8000]
